@@ -323,3 +323,177 @@ def q_error_distribution(spark, d):
 def q_missing_predictions(spark, d):
     valid = valid_ratings(spark, d)
     return ev.missing_predictions(valid, ev.baseline_predictions(train_ratings(spark, d), valid))
+
+
+# ------------------------------------------------------- wide feature path
+from starcast.operators import vocabulary as vb  # noqa: E402
+from starcast.operators import wide as wd  # noqa: E402
+
+
+def wide_long(spark, d):
+    return vb.wide_features_long(tb.business(spark, d))
+
+
+@register("wide_features_long", with_ctes("SELECT * FROM wide_long", "wide_long"))
+def q_wide_features_long(spark, d):
+    return wide_long(spark, d)
+
+
+@register("flatten_paths", with_ctes("""
+    SELECT business_id, feature FROM wide_long WHERE kind IN ('attribute', 'hours')""", "wide_long"))
+def q_flatten_paths(spark, d):
+    return vb.flatten_paths(tb.business(spark, d))
+
+
+@register("feature_vocabulary", with_ctes("SELECT * FROM vocab", "vocab"))
+def q_feature_vocabulary(spark, d):
+    return vb.feature_vocabulary(wide_long(spark, d))
+
+
+@register("feature_values", with_ctes("SELECT DISTINCT feature, raw, value FROM wide_long", "wide_long"))
+def q_feature_values(spark, d):
+    return vb.feature_values(wide_long(spark, d))
+
+
+@register("feature_index", with_ctes("""
+    SELECT feature, kind, CAST(row_number() OVER (ORDER BY feature) - 1 AS INTEGER) AS idx FROM vocab""",
+                                     "vocab"))
+def q_feature_index(spark, d):
+    return vb.feature_index(vb.feature_vocabulary(wide_long(spark, d)))
+
+
+def wide_inputs(spark, d, missing):
+    long = wide_long(spark, d)
+    index = vb.feature_index(vb.feature_vocabulary(long))
+    defaults = wd.slot_defaults(index, missing)
+    bvec = wd.business_vectors(long, index, missing=missing, defaults=defaults)
+    b, u = few_tables(spark, d, fill="null")
+    return bvec, b, u, defaults
+
+
+def wide_matrices(spark, d, missing=wd.MISSING_SENTINEL):
+    bvec, b, u, defaults = wide_inputs(spark, d, missing)
+    train = wd.wide_matrix(train_ratings(spark, d), bvec, b, u, defaults, missing=missing, keep=["stars"])
+    valid = wd.wide_matrix(valid_ratings(spark, d), bvec, b, u, defaults, missing=missing, keep=["stars"])
+    return train, valid
+
+
+@register("assemble_wide")
+def q_assemble_wide(spark, d):
+    from pyspark.ml.functions import vector_to_array
+
+    train, _ = wide_matrices(spark, d)
+    arr = vector_to_array(F.col("features"))
+    return train.select("user_id", "business_id", "stars", F.size(arr).alias("width"),
+                        F.size(F.filter(arr, lambda x: x != 0)).alias("n_set"))
+
+
+@register("fill_missing_marker", with_ctes(f"""
+    SELECT r.user_id, r.business_id,
+           {", ".join(f"coalesce(CAST({c} AS DOUBLE), -1000000.0) AS {c}" for c in ft.FEW_FEATURES)}
+    FROM ratings r LEFT JOIN bfeat_null b ON r.business_id = b.business_id
+         LEFT JOIN ufeat_null u ON r.user_id = u.user_id""", "ratings", "bfeat_null", "ufeat_null"))
+def q_fill_missing_marker(spark, d):
+    m = few_matrix(spark, d, ft.dedupe_last(tb.raw_ratings(spark, d)), fill="null")
+    return m.select("user_id", "business_id",
+                    *[F.coalesce(F.col(c).cast("double"), F.lit(wd.MISSING_SENTINEL)).alias(c)
+                      for c in ft.FEW_FEATURES])
+
+
+@register("fill_missing_zero", with_ctes(f"""
+    SELECT business_id, {", ".join(f"coalesce({c}, 0) AS {c}" for c in ft.BUSINESS_FEATURES)}
+    FROM bfeat_null""", "bfeat_null"))
+def q_fill_missing_zero(spark, d):
+    b, _ = few_tables(spark, d, fill="null")
+    return b.fillna(0)
+
+
+# ------------------------------------------------------------- file formats
+from starcast.session import scratch_path  # noqa: E402
+from starcast.sources import files as fl  # noqa: E402
+
+
+def _as_text_ids(df):
+    return df.select(*[F.col(c).cast("string").alias(c) if c in ft.PAIR_KEYS else F.col(c) for c in df.columns])
+
+
+@register("read_ratings_csv", with_ctes("""
+    SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(business_id AS VARCHAR) AS business_id, stars
+    FROM train""", "train"))
+def q_read_ratings_csv(spark, d):
+    path = fl.write_ratings_csv(train_ratings(spark, d), scratch_path(spark, "ratings-csv"))
+    return fl.read_ratings_csv(spark, path)
+
+
+@register("read_pairs_csv", with_ctes("""
+    SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(business_id AS VARCHAR) AS business_id
+    FROM valid""", "valid"))
+def q_read_pairs_csv(spark, d):
+    path = fl.write_ratings_csv(valid_ratings(spark, d), scratch_path(spark, "pairs-csv"))
+    return fl.read_pairs_csv(spark, path)
+
+
+def _json_roundtrip(spark, d):
+    out = {}
+    for name, df in tb.entities(spark, d).items():
+        path = fl.write_json_lines(_as_text_ids(df), scratch_path(spark, f"{name}-json"))
+        out[name] = fl.read_json_lines(spark, path, name)
+    return out
+
+
+@register("read_json_lines", with_ctes("""
+    SELECT CAST(business_id AS VARCHAR) AS business_id, * EXCLUDE (business_id) FROM bfeat""", "bfeat"))
+def q_read_json_lines(spark, d):
+    e = _json_roundtrip(spark, d)
+    return ft.business_features(e["business"], e["checkin"], e["photo"], e["tip"])
+
+
+@register("read_json_users", with_ctes("""
+    SELECT CAST(user_id AS VARCHAR) AS user_id, * EXCLUDE (user_id) FROM ufeat""", "ufeat"))
+def q_read_json_users(spark, d):
+    e = _json_roundtrip(spark, d)
+    return ft.user_features(e["user"], e["tip"])
+
+
+@register("predictions_roundtrip", with_ctes("""
+    SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(business_id AS VARCHAR) AS business_id, prediction
+    FROM baseline""", "baseline"))
+def q_predictions_roundtrip(spark, d):
+    valid = valid_ratings(spark, d)
+    pred = ev.baseline_predictions(train_ratings(spark, d), valid)
+    path = fl.write_predictions_csv(pred, scratch_path(spark, "predictions-csv"))
+    return fl.read_predictions_csv(spark, path)
+
+
+# ----------------------------------------------------------------- scaling
+from starcast.operators import scaling as sc_  # noqa: E402
+
+
+def _minmax_sql(src: str, stats_src: str) -> str:
+    cols = ft.FEW_FEATURES
+    stats = ", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in cols)
+    scaled = ", ".join(
+        f"(CAST(m.{c} AS DOUBLE) - s.lo_{c}) / CASE WHEN s.hi_{c} = s.lo_{c} THEN 1.0 "
+        f"ELSE CAST(s.hi_{c} - s.lo_{c} AS DOUBLE) END AS {c}" for c in cols)
+    return (f"SELECT m.user_id, m.business_id, m.stars, {scaled} FROM {src} m, "
+            f"(SELECT {stats} FROM {stats_src}) s")
+
+
+@register("minmax_stats", with_ctes(" UNION ALL ".join(
+    f"SELECT '{c}' AS feature, CAST(min({c}) AS DOUBLE) AS fmin, CAST(max({c}) AS DOUBLE) AS fmax "
+    f"FROM train_matrix" for c in ft.FEW_FEATURES), "train_matrix"))
+def q_minmax_stats(spark, d):
+    return sc_.minmax_stats(few_matrix(spark, d, train_ratings(spark, d)), ft.FEW_FEATURES)
+
+
+@register("minmax_scale", with_ctes(_minmax_sql("valid_matrix", "train_matrix"), "valid_matrix", "train_matrix"))
+def q_minmax_scale(spark, d):
+    train = few_matrix(spark, d, train_ratings(spark, d))
+    valid = few_matrix(spark, d, valid_ratings(spark, d)).drop("cold_start")
+    return sc_.minmax_scale(valid, ft.FEW_FEATURES, sc_.minmax_fit(train, ft.FEW_FEATURES))
+
+
+@register("minmax_scale_refit", with_ctes(_minmax_sql("valid_matrix", "valid_matrix"), "valid_matrix"))
+def q_minmax_scale_refit(spark, d):
+    valid = few_matrix(spark, d, valid_ratings(spark, d)).drop("cold_start")
+    return sc_.minmax_scale(valid, ft.FEW_FEATURES, refit=True)

@@ -160,3 +160,56 @@ def with_ctes(body: str, *names: str) -> str:
         return body
     parts = ",\n".join(f"{n} AS ({CTES[n][1]})" for n in order)
     return f"WITH {parts}\n{body}"
+
+
+def _encode_text_sql(expr: str) -> str:
+    return (f"CASE WHEN {expr} = 'True' THEN 1.0::DOUBLE WHEN {expr} = 'False' THEN 0.0::DOUBLE "
+            f"ELSE CAST({hash32_sql(expr)} AS DOUBLE) END")
+
+
+CTES.update({
+    "attrs_flat": (["biz"], """
+        SELECT business_id, 'small' AS attribute, a_small AS raw FROM biz WHERE NOT no_attributes
+        UNION ALL SELECT business_id, 'metal', a_metal FROM biz WHERE NOT no_attributes
+        UNION ALL SELECT business_id, 'kind', a_kind FROM biz WHERE NOT no_attributes
+        UNION ALL SELECT business_id, 'price', a_price FROM biz WHERE NOT no_attributes"""),
+    "attrs_nested": (["biz"], """
+        SELECT business_id, 'garage' AS key, k_garage AS raw FROM biz WHERE NOT no_attributes
+        UNION ALL SELECT business_id, 'lot', k_lot FROM biz WHERE NOT no_attributes
+        UNION ALL SELECT business_id, 'valet', 'None' FROM biz WHERE NOT no_attributes"""),
+    "hours_long": (["biz"], """
+        SELECT business_id, day, hours_text, CASE WHEN m < 0 THEN m + 24.0 ELSE m END AS hours
+        FROM (SELECT business_id, day, hours_text,
+                     ((CAST(split_part(split_part(hours_text, '-', 2), ':', 1) AS INT) * 60
+                       + CAST(split_part(split_part(hours_text, '-', 2), ':', 2) AS INT))
+                      - (CAST(split_part(split_part(hours_text, '-', 1), ':', 1) AS INT) * 60
+                         + CAST(split_part(split_part(hours_text, '-', 1), ':', 2) AS INT))) / 60.0::DOUBLE AS m
+              FROM (SELECT business_id, 'Monday' AS day, h_monday AS hours_text FROM biz
+                    UNION ALL SELECT business_id, 'Friday', h_friday FROM biz))"""),
+    "wide_long": (["biz", "attrs_flat", "attrs_nested", "hours_long"], f"""
+        SELECT business_id, trim(token) AS feature, 'category' AS kind, CAST(NULL AS VARCHAR) AS raw,
+               1.0::DOUBLE AS value
+        FROM (SELECT business_id, unnest(string_split(categories, ',')) AS token FROM biz
+              WHERE categories IS NOT NULL)
+        UNION ALL
+        SELECT business_id, 'attributes$' || attribute, 'attribute', raw, {_encode_text_sql('raw')}
+        FROM attrs_flat
+        UNION ALL
+        SELECT business_id, 'attributes$parking$' || key, 'attribute', raw,
+               CASE raw WHEN 'True' THEN 1.0::DOUBLE WHEN 'False' THEN 0.0::DOUBLE ELSE NULL END
+        FROM attrs_nested
+        UNION ALL
+        SELECT business_id, 'hours$' || day, 'hours', hours_text, hours FROM hours_long
+        UNION ALL SELECT business_id, 'is_open', 'scalar', NULL, CAST(is_open AS DOUBLE) FROM biz
+        UNION ALL SELECT business_id, 'latitude', 'scalar', NULL, latitude FROM biz
+        UNION ALL SELECT business_id, 'longitude', 'scalar', NULL, longitude FROM biz
+        UNION ALL SELECT business_id, 'review_count', 'scalar', NULL, CAST(review_count AS DOUBLE) FROM biz
+        UNION ALL SELECT business_id, 'stars', 'scalar', NULL, stars FROM biz
+        UNION ALL SELECT business_id, 'state', 'scalar', state, {_encode_text_sql('state')} FROM biz"""),
+    "vocab": (["wide_long"], """
+        SELECT feature, CASE min(CASE kind WHEN 'category' THEN 0 WHEN 'attribute' THEN 1
+                                           WHEN 'hours' THEN 2 ELSE 3 END)
+                        WHEN 0 THEN 'category' WHEN 1 THEN 'attribute' WHEN 2 THEN 'hours'
+                        ELSE 'scalar' END AS kind
+        FROM wide_long GROUP BY feature"""),
+})
