@@ -497,3 +497,173 @@ def q_minmax_scale(spark, d):
 def q_minmax_scale_refit(spark, d):
     valid = few_matrix(spark, d, valid_ratings(spark, d)).drop("cold_start")
     return sc_.minmax_scale(valid, ft.FEW_FEATURES, refit=True)
+
+
+# ------------------------------------------------------------------ models
+import numpy as np  # noqa: E402
+
+from starcast.operators import mlp as nn  # noqa: E402
+from starcast.operators import scoring as scr  # noqa: E402
+from starcast.operators import trees as tr  # noqa: E402
+from starcast.plans.oracle import CTES  # noqa: E402
+
+# Tree counts used by the registered model queries (the library defaults are
+# the reference's 800 / 300); epochs likewise.
+QUERY_TREES = 10
+QUERY_WIDE_TREES = 5
+QUERY_EPOCHS = 5
+QUERY_WIDE_EPOCHS = 1
+
+CTES["valid_scaled"] = (["valid_matrix", "train_matrix"], _minmax_sql("valid_matrix", "train_matrix"))
+
+
+def linear_weights(n: int) -> tuple[list[float], float]:
+    """Fixed linear model used to check partition-wise scoring."""
+    return [((i * 7) % 11 - 5) / 10.0 for i in range(n)], 3.0
+
+
+def mlp_fixed_params(n_in: int, hidden: int = 8) -> list[np.ndarray]:
+    """Fixed two-layer network used to check the forward pass."""
+    w1 = np.array([[((i * 3 + j * 5) % 7 - 3) / 10.0 for j in range(hidden)] for i in range(n_in)])
+    b1 = np.array([(j % 3 - 1) / 10.0 for j in range(hidden)])
+    w2 = np.array([[((j * 5) % 9 - 4) / 10.0] for j in range(hidden)])
+    return [w1, b1, w2, np.array([3.0])]
+
+
+def _linear_sql() -> str:
+    w, b = linear_weights(len(ft.FEW_FEATURES))
+    terms = " + ".join(f"({wi})::DOUBLE * {c}" for wi, c in zip(w, ft.FEW_FEATURES))
+    return with_ctes(f"""
+        SELECT user_id, business_id, round({b}::DOUBLE + {terms}, 9) AS raw,
+               least(greatest(round({b}::DOUBLE + {terms}, 9), 1.0), 5.0) AS prediction
+        FROM valid_scaled""", "valid_scaled")
+
+
+def _mlp_sql() -> str:
+    w1, b1, w2, b2 = mlp_fixed_params(len(ft.FEW_FEATURES))
+    hidden = []
+    for j in range(w1.shape[1]):
+        terms = " + ".join(f"({w1[i, j]})::DOUBLE * {c}" for i, c in enumerate(ft.FEW_FEATURES))
+        hidden.append(f"greatest(({b1[j]})::DOUBLE + {terms}, 0.0) AS h{j}")
+    out = " + ".join(f"({w2[j, 0]})::DOUBLE * h{j}" for j in range(w1.shape[1]))
+    return with_ctes(f"""
+        SELECT user_id, business_id, round(({b2[0]})::DOUBLE + {out}, 9) AS prediction
+        FROM (SELECT user_id, business_id, {", ".join(hidden)} FROM valid_scaled)""", "valid_scaled")
+
+
+def scaled_few(spark, d):
+    train = few_matrix(spark, d, train_ratings(spark, d)).drop("cold_start")
+    valid = few_matrix(spark, d, valid_ratings(spark, d)).drop("cold_start")
+    stats = sc_.minmax_fit(train, ft.FEW_FEATURES)
+    return sc_.minmax_scale(train, ft.FEW_FEATURES, stats), sc_.minmax_scale(valid, ft.FEW_FEATURES, stats)
+
+
+@register("score_partitions", _linear_sql())
+def q_score_partitions(spark, d):
+    _, valid = scaled_few(spark, d)
+    w, b = linear_weights(len(ft.FEW_FEATURES))
+    raw = scr.score_partitions(valid, scr.LinearModel(w, b), ft.FEW_FEATURES)
+    r = F.round("raw", 9)
+    return raw.select("user_id", "business_id", r.alias("raw"), fn.clip_rating(r).alias("prediction"))
+
+
+@register("mlp_score", _mlp_sql())
+def q_mlp_score(spark, d):
+    from pyspark.ml.functions import array_to_vector
+
+    _, valid = scaled_few(spark, d)
+    params = mlp_fixed_params(len(ft.FEW_FEATURES))
+    vec = valid.select("user_id", "business_id", array_to_vector(F.array(*ft.FEW_FEATURES)).alias("features"))
+    layers = [len(ft.FEW_FEATURES), params[0].shape[1], 1]
+    out = nn.score_mlp(vec, nn.flatten(params), layers)
+    return out.select("user_id", "business_id", F.round("prediction", 9).alias("prediction"))
+
+
+def few_model_inputs(spark, d):
+    train = few_matrix(spark, d, train_ratings(spark, d)).drop("cold_start")
+    valid = few_matrix(spark, d, valid_ratings(spark, d)).drop("cold_start")
+    return train, valid
+
+
+@register("assemble_few")
+def q_assemble_few(spark, d):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    train, _ = few_model_inputs(spark, d)
+    asm = VectorAssembler(inputCols=ft.FEW_FEATURES, outputCol="features").transform(train)
+    return asm.select("user_id", "business_id", "stars", vector_to_array("features").alias("features"))
+
+
+@register("gbt_few")
+def q_gbt_few(spark, d):
+    train, valid = few_model_inputs(spark, d)
+    model = tr.few_pipeline(n_estimators=QUERY_TREES).fit(train)
+    return tr.predict_clip(model, valid)
+
+
+@register("predict_clip")
+def q_predict_clip(spark, d):
+    train, _ = few_model_inputs(spark, d)
+    model = tr.few_pipeline(n_estimators=QUERY_TREES).fit(train)
+    pairs = tb.raw_split(spark, d, validation=True).select(*ft.PAIR_KEYS).distinct()
+    b, u = few_tables(spark, d)
+    feats = ft.rating_features(pairs, b, u)
+    return model.transform(feats).select("user_id", "business_id", F.col("prediction").alias("raw"),
+                                         fn.clip_rating("prediction").alias("prediction"))
+
+
+@register("model_roundtrip")
+def q_model_roundtrip(spark, d):
+    train, valid = few_model_inputs(spark, d)
+    model = tr.few_pipeline(n_estimators=QUERY_TREES).fit(train)
+    path = tr.save_model(model, scratch_path(spark, "gbt-few-model"))
+    return tr.predict_clip(tr.load_model(path), valid)
+
+
+@register("tune_trees")
+def q_tune_trees(spark, d):
+    train, _ = few_model_inputs(spark, d)
+    _, table = tr.tune_trees(train, tree_counts=(QUERY_TREES // 2, QUERY_TREES))
+    return table
+
+
+@register("gbt_wide")
+def q_gbt_wide(spark, d):
+    train, valid = wide_matrices(spark, d)
+    model = tr.gbt(tr.WIDE_TREE_PARAMS, n_estimators=QUERY_WIDE_TREES).fit(train)
+    return tr.predict_clip(model, valid)
+
+
+def _mlp_few(spark, d, epochs):
+    from pyspark.ml.functions import array_to_vector
+
+    train, valid = scaled_few(spark, d)
+    vec = lambda df: df.select("user_id", "business_id", "stars",
+                               array_to_vector(F.array(*ft.FEW_FEATURES)).alias("features"))
+    tv, vv = vec(train), vec(valid)
+    flat, hist = nn.fit_mlp(tv, nn.FEW_LAYERS, epochs=epochs, validation=vv, seed=1)
+    return flat, hist, vv
+
+
+@register("mlp_fit_few")
+def q_mlp_fit_few(spark, d):
+    flat, _, vv = _mlp_few(spark, d, QUERY_EPOCHS)
+    return nn.score_mlp(vv, flat, nn.FEW_LAYERS)
+
+
+@register("mlp_loss_curve")
+def q_mlp_loss_curve(spark, d):
+    _, hist, _ = _mlp_few(spark, d, QUERY_EPOCHS)
+    return spark.createDataFrame(hist, "epoch int, train_mse double, val_mse double")
+
+
+@register("mlp_fit_wide")
+def q_mlp_fit_wide(spark, d):
+    train, valid = wide_matrices(spark, d, missing=0.0)
+    stats = sc_.vector_minmax_fit(train)
+    train, valid = sc_.vector_minmax_scale(train, stats=stats), sc_.vector_minmax_scale(valid, stats=stats)
+    width = len(stats[0])
+    layers = [width] + nn.WIDE_LAYERS[1:]
+    flat, _ = nn.fit_mlp(train, layers, epochs=QUERY_WIDE_EPOCHS, validation=valid, seed=1)
+    return nn.score_mlp(valid, flat, layers)
