@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starcast.functions import scalars as fn
-from starcast.operators.joins import join_dimension
+from starcast.operators.joins import join_dimension, materialize
 from starcast.schemas import USER_COUNTERS
 
 PAIR_KEYS = ["user_id", "business_id"]
@@ -123,32 +123,49 @@ def user_features(user: DataFrame, tip: DataFrame, fill: str = "zero") -> DataFr
     return joined.select("user_id", *USER_COLUMNS, *[_fill(c, fill) for c in USER_COUNTS])
 
 
+def feature_tables(business: DataFrame, checkin: DataFrame, photo: DataFrame, tip: DataFrame,
+                   user: DataFrame, fill: str = "zero") -> tuple[DataFrame, int, DataFrame, int]:
+    """Both feature tables, checkpointed once into the shared folder and
+    measured: ``(bfeat, bfeat_bytes, ufeat, ufeat_bytes)``. Train and test
+    matrices then reuse them, and the measured sizes are the check that
+    lets ``rating_features`` broadcast a table."""
+    bfeat, _, bbytes = materialize(business_features(business, checkin, photo, tip, fill=fill))
+    ufeat, _, ubytes = materialize(user_features(user, tip, fill=fill))
+    return bfeat, bbytes, ufeat, ubytes
+
+
 def rating_features(pairs: DataFrame, bfeat: DataFrame, ufeat: DataFrame, *,
-                    bfeat_rows: int | None = None, ufeat_rows: int | None = None,
+                    bfeat_bytes: int | None = None, ufeat_bytes: int | None = None,
+                    hot: dict[str, DataFrame] | None = None,
                     fill: str = "zero", keep: list[str] | None = None) -> DataFrame:
     """Pairs ⟕ business features ⟕ user features -> pair keys, ``keep``
     columns (e.g. stars), the 31 features and a ``cold_start`` flag.
 
     A pair whose business or user has no record keeps its row: features
     are filled (0 with ``fill='zero'``) and ``cold_start`` is true.
+    ``*_bytes`` (from ``feature_tables``) allow a checked broadcast; ``hot``
+    (from ``joins.hot_keys_by`` on the pairs) salts hot keys otherwise.
     """
     keep = keep or []
+    hot = hot or {}
     b = bfeat.withColumn("_b_known", F.lit(True))
     u = ufeat.withColumn("_u_known", F.lit(True))
     left = pairs.select(*PAIR_KEYS, *keep)
-    j = join_dimension(left, b, "business_id", dim_rows=bfeat_rows)
-    j = join_dimension(j, u, "user_id", dim_rows=ufeat_rows)
+    j = join_dimension(left, b, "business_id", dim_bytes=bfeat_bytes, hot=hot.get("business_id"))
+    j = join_dimension(j, u, "user_id", dim_bytes=ufeat_bytes, hot=hot.get("user_id"))
     cold = F.col("_b_known").isNull() | F.col("_u_known").isNull()
     return j.select(*PAIR_KEYS, *keep, *[_fill(c, fill) for c in FEW_FEATURES], cold.alias("cold_start"))
 
 
-def cold_start_pairs(pairs: DataFrame, bfeat: DataFrame, ufeat: DataFrame) -> DataFrame:
+def cold_start_pairs(pairs: DataFrame, bfeat: DataFrame, ufeat: DataFrame, *,
+                     bfeat_bytes: int | None = None, ufeat_bytes: int | None = None) -> DataFrame:
     """Pairs whose business or user has no feature row, with which side is
     unknown (the reference fails on such pairs)."""
     left = pairs.select(*PAIR_KEYS)
     b = bfeat.select("business_id", F.lit(True).alias("_b"))
     u = ufeat.select("user_id", F.lit(True).alias("_u"))
-    j = join_dimension(join_dimension(left, b, "business_id"), u, "user_id")
+    j = join_dimension(join_dimension(left, b, "business_id", dim_bytes=bfeat_bytes), u, "user_id",
+                       dim_bytes=ufeat_bytes)
     return (j.where(F.col("_b").isNull() | F.col("_u").isNull())
             .select(*PAIR_KEYS, F.col("_b").isNull().alias("unknown_business"),
                     F.col("_u").isNull().alias("unknown_user")))

@@ -1,74 +1,120 @@
 """Fact-to-dimension joins that hold up under skew.
 
 The feature joins attach one row per key (a business or a user) to many
-rating rows. Two plans, picked by a checked size:
-
-* the dimension's row count is known (it was materialized and counted)
-  and ``rows * estimated row width`` fits ``broadcast_bytes``: broadcast
-  it. The fact side is then never shuffled, so a hot key costs nothing.
-* otherwise a shuffle join in which every hot key (more than
-  ``hot_rows`` fact rows) is salted: its fact rows are spread over
-  ``ceil(count / hot_rows)`` sub-keys by a hash of the other columns and
-  its dimension row is replicated once per sub-key. At most
-  ``fact rows / hot_rows`` keys can be hot, so the hot-key table that is
-  broadcast has a proven bound. AQE's skew-join split stays on as well.
+rating rows. The plan is picked by a checked size:
+
+1. The dimension was materialized and measured (``materialize``: exact
+   payload bytes from one aggregate) and fits ``broadcast_bytes``:
+   broadcast it. The fact
+   side is not shuffled at all, so a key holding a third of the rows costs
+   nothing extra.
+2. A hot-key table is supplied (``hot_keys_by`` over a materialized fact):
+   a shuffle join in which each hot key's fact rows are spread over
+   ``ceil(count / hot_rows)`` salts by a hash of the row's other columns,
+   and its single dimension row is replicated once per salt. At most
+   ``fact rows / hot_rows`` keys can be hot, which bounds the broadcast
+   hot-key table.
+3. Otherwise a plain shuffle join: AQE turns it into a broadcast join
+   when the dimension's measured shuffle output is under
+   ``spark.sql.adaptive.autoBroadcastJoinThreshold`` (a runtime size
+   check), and otherwise splits oversized fact partitions (skew join).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 DEFAULT_HOT_ROWS = 1_000_000
 
 
-def estimated_row_bytes(df: DataFrame) -> int:
-    """Per-row size estimate from the schema's default type sizes."""
-    return 16 + sum(max(f.dataType.defaultSize(), 8) for f in df.schema.fields)
+_FIXED = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+ROW_OVERHEAD = 16
 
 
-def materialize(df: DataFrame) -> tuple[DataFrame, int]:
-    """Cut the lineage into the shared checkpoint folder and count the rows.
+def _payload(field: T.StructField):
+    """Aggregate giving a column's total bytes, or None if not measurable."""
+    c, t = F.col(field.name), field.dataType
+    if isinstance(t, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) + F.count(F.lit(1)) * 8
+    if isinstance(t, _FIXED):
+        return F.count(F.lit(1)) * 8
+    if isinstance(t, T.ArrayType) and isinstance(t.elementType, _FIXED):
+        return F.coalesce(F.sum(F.size(c)), F.lit(0)) * 8 + F.count(F.lit(1)) * 16
+    return None
 
-    A reliable checkpoint survives executor loss; the count that follows
-    reads the written data, not the original inputs.
+
+def materialize(df: DataFrame) -> tuple[DataFrame, int, int | None]:
+    """Cut the lineage into the shared checkpoint folder, then count the
+    rows and measure the payload bytes in one aggregate over the written
+    data: ``(df, rows, bytes)``. ``bytes`` is None when a column type
+    (vector, map, struct) cannot be measured; callers bound it instead.
+
+    A reliable checkpoint survives executor loss and later reads do not
+    recompute the inputs.
     """
     done = df.checkpoint(eager=True)
-    return done, done.count()
+    parts = [_payload(f) for f in done.schema.fields]
+    aggs = [F.count(F.lit(1)).alias("rows")]
+    if all(p is not None for p in parts):
+        total = F.count(F.lit(1)) * ROW_OVERHEAD
+        for p in parts:
+            total = total + p
+        aggs.append(total.alias("bytes"))
+    row = done.agg(*aggs).first()
+    return done, int(row["rows"]), (int(row["bytes"]) if "bytes" in row.asDict() else None)
 
 
-def fits_broadcast(df: DataFrame, rows: int | None, broadcast_bytes: int) -> bool:
-    return rows is not None and rows * estimated_row_bytes(df) <= broadcast_bytes
+def fits_broadcast(dim_bytes: int | None, broadcast_bytes: int) -> bool:
+    return dim_bytes is not None and dim_bytes <= broadcast_bytes
 
 
-def hot_keys(fact: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
-    """Keys with more than ``hot_rows`` fact rows and their salt width.
+def hot_keys_by(fact: DataFrame, keys: list[str], hot_rows: int = DEFAULT_HOT_ROWS) -> dict[str, DataFrame]:
+    """Hot keys of several single-column keys in one aggregation pass.
 
-    Map-side combined count; its row count is at most fact rows / hot_rows.
+    ``groupingSets`` counts every key column in one Expand + partial
+    aggregate + shuffle; each returned table ``(key, _salts)`` has at most
+    ``fact rows / hot_rows`` rows. Meant for a materialized fact.
     """
-    return (fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-            .where(F.col("_n") > hot_rows)
-            .select(*keys, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_salts")))
-
-
-def join_dimension(fact: DataFrame, dim: DataFrame, key: str | list[str], how: str = "left", *,
-                   dim_rows: int | None = None,
-                   broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
-                   hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
-    """``fact ⟕ dim`` on ``key`` with a size-checked broadcast or a salted
-    shuffle join for hot keys (see module doc)."""
-    keys = [key] if isinstance(key, str) else list(key)
-    if fits_broadcast(dim, dim_rows, broadcast_bytes):
-        return fact.join(F.broadcast(dim), keys, how)
-    hot = F.broadcast(hot_keys(fact, keys, hot_rows))
-    others = [c for c in fact.columns if c not in keys]
+    sets = [[k] for k in keys]
+    counts = (fact.groupingSets(sets, *keys)
+              .agg(F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_g"))
+              .where(F.col("_n") > hot_rows))
+    out = {}
+    n = len(keys)
+    for i, k in enumerate(keys):
+        gid = sum(1 << (n - 1 - j) for j in range(n) if j != i)  # all but k aggregated away
+        out[k] = (counts.where(F.col("_g") == gid)
+                  .select(k, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_salts")))
+    return out
+
+
+def salted_join(fact: DataFrame, dim: DataFrame, key: str, hot: DataFrame, how: str = "left") -> DataFrame:
+    """Shuffle join on ``(key, salt)``: hot keys' fact rows are spread over
+    their salts, their dimension rows replicated per salt."""
+    hot = F.broadcast(hot)
+    others = [c for c in fact.columns if c != key]
     spread = F.xxhash64(*[F.col(c) for c in others]) if others else F.lit(0)
-    fact_s = (fact.join(hot, keys, "left")
+    fact_s = (fact.join(hot, key, "left")
               .withColumn("_salt", F.when(F.col("_salts").isNull(), F.lit(0))
                           .otherwise(F.pmod(spread, F.col("_salts")).cast("int")))
               .drop("_salts"))
-    dim_s = (dim.join(hot, keys, "left")
+    dim_s = (dim.join(hot, key, "left")
              .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)))
              .drop("_salts"))
-    return fact_s.join(dim_s, keys + ["_salt"], how).drop("_salt")
+    return fact_s.join(dim_s, [key, "_salt"], how).drop("_salt")
+
+
+def join_dimension(fact: DataFrame, dim: DataFrame, key: str, how: str = "left", *,
+                   dim_bytes: int | None = None,
+                   broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+                   hot: DataFrame | None = None) -> DataFrame:
+    """``fact ⟕ dim`` on ``key`` (see module doc for the three plans);
+    ``dim_bytes`` is a proven upper bound of the dimension's size."""
+    if fits_broadcast(dim_bytes, broadcast_bytes):
+        return fact.join(F.broadcast(dim), key, how)
+    if hot is not None:
+        return salted_join(fact, dim, key, hot, how)
+    return fact.join(dim, key, how)

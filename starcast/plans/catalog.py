@@ -48,9 +48,17 @@ def few_tables(spark, d, fill="zero"):
     return b, u
 
 
+def matrix_tables(spark, d, fill="zero"):
+    """Feature tables checkpointed and counted (size-checked broadcast)."""
+    e = tb.entities(spark, d)
+    b, bbytes, u, ubytes = ft.feature_tables(e["business"], e["checkin"], e["photo"], e["tip"], e["user"],
+                                             fill=fill)
+    return b, u, dict(bfeat_bytes=bbytes, ufeat_bytes=ubytes)
+
+
 def few_matrix(spark, d, ratings: DataFrame, fill="zero"):
-    b, u = few_tables(spark, d, fill)
-    return ft.rating_features(ratings, b, u, fill=fill, keep=["stars"])
+    b, u, rows = matrix_tables(spark, d, fill)
+    return ft.rating_features(ratings, b, u, fill=fill, keep=["stars"], **rows)
 
 
 # ------------------------------------------------------------ scalar functions
@@ -258,8 +266,8 @@ def q_rating_features(spark, d):
          LEFT JOIN ufeat u ON v.user_id = u.user_id""", "raw_ratings", "bfeat", "ufeat"))
 def q_pair_features(spark, d):
     pairs = tb.raw_split(spark, d, validation=True).select(*ft.PAIR_KEYS).distinct()
-    b, u = few_tables(spark, d)
-    return ft.rating_features(pairs, b, u)
+    b, u, rows = matrix_tables(spark, d)
+    return ft.rating_features(pairs, b, u, **rows)
 
 
 @register("cold_start_pairs", with_ctes("""
@@ -269,15 +277,15 @@ def q_pair_features(spark, d):
          LEFT JOIN ufeat u ON r.user_id = u.user_id
     WHERE b.business_id IS NULL OR u.user_id IS NULL""", "ratings", "bfeat", "ufeat"))
 def q_cold_start_pairs(spark, d):
-    b, u = few_tables(spark, d)
-    return ft.cold_start_pairs(ft.dedupe_last(tb.raw_ratings(spark, d)), b, u)
+    b, u, rows = matrix_tables(spark, d)
+    return ft.cold_start_pairs(ft.dedupe_last(tb.raw_ratings(spark, d)), b, u, **rows)
 
 
 @register("labelled_features", with_ctes("SELECT * FROM train_matrix", "train_matrix"))
 def q_labelled_features(spark, d):
     pairs = tb.raw_split(spark, d, validation=False).select(*ft.PAIR_KEYS).distinct()
-    b, u = few_tables(spark, d)
-    feats = ft.rating_features(pairs, b, u).drop("cold_start")
+    b, u, rows = matrix_tables(spark, d)
+    feats = ft.rating_features(pairs, b, u, **rows).drop("cold_start")
     return ft.labelled_features(feats, train_ratings(spark, d))
 
 
@@ -328,6 +336,7 @@ def q_missing_predictions(spark, d):
 # ------------------------------------------------------- wide feature path
 from starcast.operators import vocabulary as vb  # noqa: E402
 from starcast.operators import wide as wd  # noqa: E402
+from starcast.operators.joins import materialize  # noqa: E402
 
 
 def wide_long(spark, d):
@@ -366,15 +375,17 @@ def wide_inputs(spark, d, missing):
     long = wide_long(spark, d)
     index = vb.feature_index(vb.feature_vocabulary(long))
     defaults = wd.slot_defaults(index, missing)
-    bvec = wd.business_vectors(long, index, missing=missing, defaults=defaults)
-    b, u = few_tables(spark, d, fill="null")
-    return bvec, b, u, defaults
+    bvec, bvec_rows, _ = materialize(wd.business_vectors(long, index, missing=missing, defaults=defaults))
+    b, u, rows = matrix_tables(spark, d, fill="null")
+    return bvec, b, u, defaults, dict(bvec_rows=bvec_rows, ufeat_bytes=rows["ufeat_bytes"])
 
 
 def wide_matrices(spark, d, missing=wd.MISSING_SENTINEL):
-    bvec, b, u, defaults = wide_inputs(spark, d, missing)
-    train = wd.wide_matrix(train_ratings(spark, d), bvec, b, u, defaults, missing=missing, keep=["stars"])
-    valid = wd.wide_matrix(valid_ratings(spark, d), bvec, b, u, defaults, missing=missing, keep=["stars"])
+    bvec, b, u, defaults, rows = wide_inputs(spark, d, missing)
+    train = wd.wide_matrix(train_ratings(spark, d), bvec, b, u, defaults, missing=missing, keep=["stars"],
+                           **rows)
+    valid = wd.wide_matrix(valid_ratings(spark, d), bvec, b, u, defaults, missing=missing, keep=["stars"],
+                           **rows)
     return train, valid
 
 
@@ -607,8 +618,8 @@ def q_predict_clip(spark, d):
     train, _ = few_model_inputs(spark, d)
     model = tr.few_pipeline(n_estimators=QUERY_TREES).fit(train)
     pairs = tb.raw_split(spark, d, validation=True).select(*ft.PAIR_KEYS).distinct()
-    b, u = few_tables(spark, d)
-    feats = ft.rating_features(pairs, b, u)
+    b, u, rows = matrix_tables(spark, d)
+    feats = ft.rating_features(pairs, b, u, **rows)
     return model.transform(feats).select("user_id", "business_id", F.col("prediction").alias("raw"),
                                          fn.clip_rating("prediction").alias("prediction"))
 
