@@ -43,7 +43,8 @@ def write_predictions_csv(predictions: DataFrame, path: str) -> str:
     """Write ``user_id, business_id, prediction`` with the reference header."""
     out = predictions.select(*[F.col(c).alias(h) for c, h in
                                zip(["user_id", "business_id", "prediction"], PREDICTIONS_HEADER)])
-    out.write.mode("overwrite").option("header", True).csv(path)
+    (out.write.mode("overwrite").option("header", True)
+     .option("ignoreLeadingWhiteSpace", False).csv(path))
     return path
 
 
