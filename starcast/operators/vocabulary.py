@@ -18,7 +18,7 @@ pivoted and no group grows with the data.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,8 +27,8 @@ from starcast.schemas import BUSINESS_DENYLIST, BUSINESS_MAPS
 
 KINDS = ("category", "attribute", "hours", "scalar")
 DISCOVERY_DENYLIST = BUSINESS_DENYLIST + BUSINESS_MAPS
-# Upper bound on the vocabulary: the index is built in one task and the
-# names are shipped to every task; a larger vocabulary is an error.
+# Upper bound on the vocabulary: the names reach the driver and are
+# broadcast to every task; a larger vocabulary is an error.
 MAX_FEATURES = 100_000
 
 
@@ -103,11 +103,15 @@ def feature_values(long: DataFrame) -> DataFrame:
 def feature_index(vocabulary: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
     """Dense index 0..n-1 in code-point order of the names.
 
-    The vocabulary is bounded (checked against ``max_features``), so the
-    global ``row_number`` runs in a single task over at most that many rows.
+    The sorted names are fetched once (distributed top-k, at most
+    ``max_features + 1`` rows, more is an error) and the index table is
+    built from them: the vocabulary is the model's schema, needed on the
+    driver for the vector width and slot defaults anyway.
     """
-    n = vocabulary.count()
-    if n > max_features:
-        raise ValueError(f"vocabulary has {n} names, above max_features={max_features}")
-    w = Window.orderBy("feature")
-    return vocabulary.select("feature", "kind", (F.row_number().over(w) - 1).cast("int").alias("idx"))
+    rows = (vocabulary.select("feature", "kind").orderBy("feature")
+            .limit(max_features + 1).collect())
+    if len(rows) > max_features:
+        raise ValueError(f"vocabulary has more than max_features={max_features} names")
+    spark = vocabulary.sparkSession
+    return spark.createDataFrame([(r.feature, r.kind, i) for i, r in enumerate(rows)],
+                                 "feature string, kind string, idx int")

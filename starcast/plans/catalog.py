@@ -377,7 +377,8 @@ def wide_inputs(spark, d, missing):
     defaults = wd.slot_defaults(index, missing)
     bvec, bvec_rows, _ = materialize(wd.business_vectors(long, index, missing=missing, defaults=defaults))
     b, u, rows = matrix_tables(spark, d, fill="null")
-    return bvec, b, u, defaults, dict(bvec_rows=bvec_rows, ufeat_bytes=rows["ufeat_bytes"])
+    return bvec, b, u, defaults, dict(bvec_rows=bvec_rows, ufeat_bytes=rows["ufeat_bytes"],
+                                      bcounts_bytes=rows["bfeat_bytes"])
 
 
 def wide_matrices(spark, d, missing=wd.MISSING_SENTINEL):

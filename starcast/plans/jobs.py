@@ -103,17 +103,17 @@ def _wide_tables(spark, folder, index, missing, handle_unknown):
     defaults = wd.slot_defaults(index, missing)
     bvec, bvec_rows, _ = materialize(
         wd.business_vectors(long, index, missing=missing, handle_unknown=handle_unknown, defaults=defaults))
-    bfeat, _, ufeat, ubytes = ft.feature_tables(e["business"], e["checkin"], e["photo"], e["tip"], e["user"],
-                                                fill="null")
-    return bvec, bvec_rows, bfeat, ufeat, ubytes, defaults
+    bfeat, bbytes, ufeat, ubytes = ft.feature_tables(e["business"], e["checkin"], e["photo"], e["tip"],
+                                                     e["user"], fill="null")
+    return bvec, bvec_rows, bfeat, ufeat, dict(ufeat_bytes=ubytes, bcounts_bytes=bbytes), defaults
 
 
 def wide_matrix_for(spark, folder, pairs, index, *, missing=wd.MISSING_SENTINEL, keep=None,
                     handle_unknown="error", hot_rows: int | None = DEFAULT_HOT_ROWS):
-    bvec, bvec_rows, bfeat, ufeat, ubytes, defaults = _wide_tables(spark, folder, index, missing, handle_unknown)
+    bvec, bvec_rows, bfeat, ufeat, sizes, defaults = _wide_tables(spark, folder, index, missing, handle_unknown)
     pairs, hot = _hot(pairs, hot_rows)
     return wd.wide_matrix(pairs, bvec, bfeat, ufeat, defaults, missing=missing, keep=keep,
-                          bvec_rows=bvec_rows, ufeat_bytes=ubytes, hot=hot)
+                          bvec_rows=bvec_rows, hot=hot, **sizes)
 
 
 def wide_train(spark, folder, train_csv, model_dir, *, vocabulary: DataFrame | None = None,
@@ -123,7 +123,7 @@ def wide_train(spark, folder, train_csv, model_dir, *, vocabulary: DataFrame | N
     the vocabulary index ``model_dir/vocabulary`` (Parquet)."""
     if vocabulary is None:
         vocabulary, _ = discover_vocabulary(spark, f"{folder.rstrip('/')}/business.json")
-    index, _, _ = materialize(vb.feature_index(vocabulary))
+    index = vb.feature_index(vocabulary)
     train = wide_matrix_for(spark, folder, read_ratings_ordered(spark, train_csv), index, keep=["stars"],
                             hot_rows=hot_rows)
     model = tr.gbt(params, n_estimators=n_estimators).fit(train)
