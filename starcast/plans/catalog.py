@@ -679,3 +679,29 @@ def q_mlp_fit_wide(spark, d):
     layers = [width] + nn.WIDE_LAYERS[1:]
     flat, _ = nn.fit_mlp(train, layers, epochs=QUERY_WIDE_EPOCHS, validation=valid, seed=1)
     return nn.score_mlp(valid, flat, layers)
+
+
+# ------------------------------------------------------- text sinks, shapes
+@register("write_feature_list", with_ctes("SELECT feature AS value FROM vocab", "vocab"))
+def q_write_feature_list(spark, d):
+    path = fl.write_feature_list(vb.feature_vocabulary(wide_long(spark, d)), scratch_path(spark, "features"))
+    return spark.read.text(path)
+
+
+@register("write_feature_values", with_ctes("""
+    SELECT feature || ' : ' || coalesce(raw, CAST(value AS VARCHAR), 'None') AS value
+    FROM (SELECT DISTINCT feature, raw, value FROM wide_long)""", "wide_long"))
+def q_write_feature_values(spark, d):
+    path = fl.write_feature_values(vb.feature_values(wide_long(spark, d)), scratch_path(spark, "feature-values"))
+    return spark.read.text(path)
+
+
+@register("wide_matrix_shape", with_ctes("""
+    SELECT CAST((SELECT count(*) FROM train) AS BIGINT) AS n_rows,
+           CAST((SELECT count(*) FROM vocab) + 24 AS INTEGER) AS n_columns""", "train", "vocab"))
+def q_wide_matrix_shape(spark, d):
+    from pyspark.ml.functions import vector_to_array
+
+    train, _ = wide_matrices(spark, d)
+    return train.agg(F.count(F.lit(1)).alias("n_rows"),
+                     F.max(F.size(vector_to_array(F.col("features")))).alias("n_columns"))
