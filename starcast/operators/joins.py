@@ -46,16 +46,25 @@ def _payload(field: T.StructField):
     return None
 
 
-def materialize(df: DataFrame) -> tuple[DataFrame, int, int | None]:
-    """Cut the lineage into the shared checkpoint folder, then count the
-    rows and measure the payload bytes in one aggregate over the written
-    data: ``(df, rows, bytes)``. ``bytes`` is None when a column type
-    (vector, map, struct) cannot be measured; callers bound it instead.
-
-    A reliable checkpoint survives executor loss and later reads do not
-    recompute the inputs.
+def write_table(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read
+    it back: the plan runs once, later reads do not recompute the inputs,
+    and a lost executor costs a re-read, not a recomputation. (A
+    ``Dataset.checkpoint`` would run the plan twice unless cached.)"""
+    from starcast.session import scratch_path
+
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def materialize(df: DataFrame, name: str = "table") -> tuple[DataFrame, int, int | None]:
+    """Write the table to the shared folder (``write_table``), then count
+    the rows and measure the payload bytes in one aggregate over the
+    written data: ``(df, rows, bytes)``. ``bytes`` is None when a column
+    type (vector, map, struct) cannot be measured; callers bound it instead.
     """
-    done = df.checkpoint(eager=True)
+    done = write_table(df, name)
     parts = [_payload(f) for f in done.schema.fields]
     aggs = [F.count(F.lit(1)).alias("rows")]
     if all(p is not None for p in parts):

@@ -61,6 +61,14 @@ def few_matrix(spark, d, ratings: DataFrame, fill="zero"):
     return ft.rating_features(ratings, b, u, fill=fill, keep=["stars"], **rows)
 
 
+def few_matrices(spark, d, fill="zero"):
+    """Train and validation matrices over one set of feature tables."""
+    b, u, rows = matrix_tables(spark, d, fill)
+    train = ft.rating_features(train_ratings(spark, d), b, u, fill=fill, keep=["stars"], **rows)
+    valid = ft.rating_features(valid_ratings(spark, d), b, u, fill=fill, keep=["stars"], **rows)
+    return train.drop("cold_start"), valid.drop("cold_start")
+
+
 # ------------------------------------------------------------ scalar functions
 @register("geo_default", with_ctes("""
     SELECT business_id, latitude, longitude, coalesce(latitude, 0.0) AS b_latitude,
@@ -500,8 +508,7 @@ def q_minmax_stats(spark, d):
 
 @register("minmax_scale", with_ctes(_minmax_sql("valid_matrix", "train_matrix"), "valid_matrix", "train_matrix"))
 def q_minmax_scale(spark, d):
-    train = few_matrix(spark, d, train_ratings(spark, d))
-    valid = few_matrix(spark, d, valid_ratings(spark, d)).drop("cold_start")
+    train, valid = few_matrices(spark, d)
     return sc_.minmax_scale(valid, ft.FEW_FEATURES, sc_.minmax_fit(train, ft.FEW_FEATURES))
 
 
@@ -564,8 +571,7 @@ def _mlp_sql() -> str:
 
 
 def scaled_few(spark, d):
-    train = few_matrix(spark, d, train_ratings(spark, d)).drop("cold_start")
-    valid = few_matrix(spark, d, valid_ratings(spark, d)).drop("cold_start")
+    train, valid = few_matrices(spark, d)
     stats = sc_.minmax_fit(train, ft.FEW_FEATURES)
     return sc_.minmax_scale(train, ft.FEW_FEATURES, stats), sc_.minmax_scale(valid, ft.FEW_FEATURES, stats)
 
@@ -592,9 +598,7 @@ def q_mlp_score(spark, d):
 
 
 def few_model_inputs(spark, d):
-    train = few_matrix(spark, d, train_ratings(spark, d)).drop("cold_start")
-    valid = few_matrix(spark, d, valid_ratings(spark, d)).drop("cold_start")
-    return train, valid
+    return few_matrices(spark, d)
 
 
 @register("assemble_few")
@@ -610,14 +614,14 @@ def q_assemble_few(spark, d):
 @register("gbt_few")
 def q_gbt_few(spark, d):
     train, valid = few_model_inputs(spark, d)
-    model = tr.few_pipeline(n_estimators=QUERY_TREES).fit(train)
+    model = tr.fit(tr.few_pipeline(n_estimators=QUERY_TREES), train)
     return tr.predict_clip(model, valid)
 
 
 @register("predict_clip")
 def q_predict_clip(spark, d):
     train, _ = few_model_inputs(spark, d)
-    model = tr.few_pipeline(n_estimators=QUERY_TREES).fit(train)
+    model = tr.fit(tr.few_pipeline(n_estimators=QUERY_TREES), train)
     pairs = tb.raw_split(spark, d, validation=True).select(*ft.PAIR_KEYS).distinct()
     b, u, rows = matrix_tables(spark, d)
     feats = ft.rating_features(pairs, b, u, **rows)
@@ -628,7 +632,7 @@ def q_predict_clip(spark, d):
 @register("model_roundtrip")
 def q_model_roundtrip(spark, d):
     train, valid = few_model_inputs(spark, d)
-    model = tr.few_pipeline(n_estimators=QUERY_TREES).fit(train)
+    model = tr.fit(tr.few_pipeline(n_estimators=QUERY_TREES), train)
     path = tr.save_model(model, scratch_path(spark, "gbt-few-model"))
     return tr.predict_clip(tr.load_model(path), valid)
 
@@ -643,7 +647,7 @@ def q_tune_trees(spark, d):
 @register("gbt_wide")
 def q_gbt_wide(spark, d):
     train, valid = wide_matrices(spark, d)
-    model = tr.gbt(tr.WIDE_TREE_PARAMS, n_estimators=QUERY_WIDE_TREES).fit(train)
+    model = tr.fit(tr.gbt(tr.WIDE_TREE_PARAMS, n_estimators=QUERY_WIDE_TREES), train)
     return tr.predict_clip(model, valid)
 
 
@@ -705,3 +709,31 @@ def q_wide_matrix_shape(spark, d):
     train, _ = wide_matrices(spark, d)
     return train.agg(F.count(F.lit(1)).alias("n_rows"),
                      F.max(F.size(vector_to_array(F.col("features")))).alias("n_columns"))
+
+
+# ------------------------------------------- end-to-end wide job on tables
+def wide_fit_tables(spark, d, model_dir, n_estimators=QUERY_WIDE_TREES):
+    """Fit the wide model on the training split; save model + vocabulary."""
+    long = wide_long(spark, d)
+    index = vb.feature_index(vb.feature_vocabulary(long))
+    train, _ = wide_matrices(spark, d)
+    model = tr.fit(tr.gbt(tr.WIDE_TREE_PARAMS, n_estimators=n_estimators), train)
+    model.write().overwrite().save(f"{model_dir}/model")
+    index.write.mode("overwrite").parquet(f"{model_dir}/vocabulary")
+    return model
+
+
+def wide_score_tables(spark, d, model_dir, output_csv):
+    """The scoring job: load model and vocabulary, build the wide matrix of
+    the validation pairs, score on the executors, clip, write CSV."""
+    from pyspark.ml.regression import GBTRegressionModel
+
+    model = GBTRegressionModel.load(f"{model_dir}/model")
+    index = spark.read.parquet(f"{model_dir}/vocabulary")
+    defaults = wd.slot_defaults(index, wd.MISSING_SENTINEL)
+    bvec, bvec_rows, _ = materialize(wd.business_vectors(wide_long(spark, d), index, defaults=defaults))
+    b, u, rows = matrix_tables(spark, d, fill="null")
+    pairs = tb.raw_split(spark, d, validation=True).select(*ft.PAIR_KEYS).distinct()
+    m = wd.wide_matrix(pairs, bvec, b, u, defaults, bvec_rows=bvec_rows, ufeat_bytes=rows["ufeat_bytes"],
+                       bcounts_bytes=rows["bfeat_bytes"])
+    return fl.write_predictions_csv(tr.predict_clip(model, m), output_csv)

@@ -77,7 +77,7 @@ def narrow_train_predict(spark, folder, train_csv, test_csv, output_csv=None, *,
     """Fit on the training ratings, predict the test pairs, clip, and write
     the predictions CSV when ``output_csv`` is given."""
     train_m, test_m = narrow_matrices(spark, folder, train_csv, test_csv, hot_rows=hot_rows)
-    model = tr.few_pipeline(params, n_estimators=n_estimators).fit(train_m)
+    model = tr.fit(tr.few_pipeline(params, n_estimators=n_estimators), train_m)
     pred = tr.predict_clip(model, test_m)
     if output_csv:
         fl.write_predictions_csv(pred, output_csv)
@@ -126,7 +126,7 @@ def wide_train(spark, folder, train_csv, model_dir, *, vocabulary: DataFrame | N
     index = vb.feature_index(vocabulary)
     train = wide_matrix_for(spark, folder, read_ratings_ordered(spark, train_csv), index, keep=["stars"],
                             hot_rows=hot_rows)
-    model = tr.gbt(params, n_estimators=n_estimators).fit(train)
+    model = tr.fit(tr.gbt(params, n_estimators=n_estimators), train)
     model.write().overwrite().save(f"{model_dir.rstrip('/')}/model")
     index.write.mode("overwrite").parquet(f"{model_dir.rstrip('/')}/vocabulary")
     return model
