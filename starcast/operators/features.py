@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starcast.functions import scalars as fn
-from starcast.operators.joins import join_dimension, materialize
+from starcast.operators.joins import DEFAULT_BROADCAST_BYTES, join_dimension, materialize
 from starcast.schemas import USER_COUNTERS
 
 PAIR_KEYS = ["user_id", "business_id"]
@@ -137,6 +137,7 @@ def feature_tables(business: DataFrame, checkin: DataFrame, photo: DataFrame, ti
 def rating_features(pairs: DataFrame, bfeat: DataFrame, ufeat: DataFrame, *,
                     bfeat_bytes: int | None = None, ufeat_bytes: int | None = None,
                     hot: dict[str, DataFrame] | None = None,
+                    broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
                     fill: str = "zero", keep: list[str] | None = None) -> DataFrame:
     """Pairs ⟕ business features ⟕ user features -> pair keys, ``keep``
     columns (e.g. stars), the 31 features and a ``cold_start`` flag.
@@ -151,8 +152,10 @@ def rating_features(pairs: DataFrame, bfeat: DataFrame, ufeat: DataFrame, *,
     b = bfeat.withColumn("_b_known", F.lit(True))
     u = ufeat.withColumn("_u_known", F.lit(True))
     left = pairs.select(*PAIR_KEYS, *keep)
-    j = join_dimension(left, b, "business_id", dim_bytes=bfeat_bytes, hot=hot.get("business_id"))
-    j = join_dimension(j, u, "user_id", dim_bytes=ufeat_bytes, hot=hot.get("user_id"))
+    j = join_dimension(left, b, "business_id", dim_bytes=bfeat_bytes, hot=hot.get("business_id"),
+                       broadcast_bytes=broadcast_bytes)
+    j = join_dimension(j, u, "user_id", dim_bytes=ufeat_bytes, hot=hot.get("user_id"),
+                       broadcast_bytes=broadcast_bytes)
     cold = F.col("_b_known").isNull() | F.col("_u_known").isNull()
     return j.select(*PAIR_KEYS, *keep, *[_fill(c, fill) for c in FEW_FEATURES], cold.alias("cold_start"))
 

@@ -61,3 +61,30 @@ def test_materialize_unmeasurable_types(spark):
     df = spark.createDataFrame([(1, {"a": "b"})], "k long, m map<string,string>")
     _, rows, nbytes = jn.materialize(df)
     assert rows == 1 and nbytes is None
+
+
+def test_matrix_paths_agree_on_tables(spark):
+    """Broadcast plan, salted shuffle plan and plain shuffle plan give the
+    same 31-column matrix on the benchmark tables."""
+    import os
+
+    import pytest
+
+    from starcast.operators import features as ft
+    from starcast.plans import catalog as c
+    from starcast.sources import tables as tb
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("benchmark tables not present")
+    b, u, sizes = c.matrix_tables(spark, sf)
+    pairs, _, _ = jn.materialize(ft.dedupe_last(tb.raw_ratings(spark, sf)))
+    hot = jn.hot_keys_by(pairs, ["business_id", "user_id"], hot_rows=3)
+    assert hot["business_id"].count() > 0
+    cols = ["user_id", "business_id", "stars", *ft.FEW_FEATURES, "cold_start"]
+    bcast = ft.rating_features(pairs, b, u, keep=["stars"], **sizes)
+    salted = ft.rating_features(pairs, b, u, keep=["stars"], hot=hot, broadcast_bytes=0, **sizes)
+    plain = ft.rating_features(pairs, b, u, keep=["stars"], broadcast_bytes=0, **sizes)
+    assert "Broadcast" in plan(bcast)
+    rows = lambda df: sorted(tuple(r) for r in df.select(*cols).collect())
+    assert rows(bcast) == rows(salted) == rows(plain)
