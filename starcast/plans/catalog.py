@@ -9,13 +9,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starcast.functions import scalars as fn
 from starcast.operators import evaluate as ev
 from starcast.operators import features as ft
-from starcast.plans.oracle import hash32_sql, with_ctes
+from starcast.operators import mlp as nn
+from starcast.operators import scaling as sc_
+from starcast.operators import scoring as scr
+from starcast.operators import trees as tr
+from starcast.operators import vocabulary as vb
+from starcast.operators import wide as wd
+from starcast.operators.joins import materialize
+from starcast.plans.oracle import CTES, hash32_sql, with_ctes
+from starcast.session import scratch_path
+from starcast.sources import files as fl
 from starcast.sources import tables as tb
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -342,9 +352,6 @@ def q_missing_predictions(spark, d):
 
 
 # ------------------------------------------------------- wide feature path
-from starcast.operators import vocabulary as vb  # noqa: E402
-from starcast.operators import wide as wd  # noqa: E402
-from starcast.operators.joins import materialize  # noqa: E402
 
 
 def wide_long(spark, d):
@@ -429,8 +436,6 @@ def q_fill_missing_zero(spark, d):
 
 
 # ------------------------------------------------------------- file formats
-from starcast.session import scratch_path  # noqa: E402
-from starcast.sources import files as fl  # noqa: E402
 
 
 def _as_text_ids(df):
@@ -486,7 +491,6 @@ def q_predictions_roundtrip(spark, d):
 
 
 # ----------------------------------------------------------------- scaling
-from starcast.operators import scaling as sc_  # noqa: E402
 
 
 def _minmax_sql(src: str, stats_src: str) -> str:
@@ -519,12 +523,7 @@ def q_minmax_scale_refit(spark, d):
 
 
 # ------------------------------------------------------------------ models
-import numpy as np  # noqa: E402
 
-from starcast.operators import mlp as nn  # noqa: E402
-from starcast.operators import scoring as scr  # noqa: E402
-from starcast.operators import trees as tr  # noqa: E402
-from starcast.plans.oracle import CTES  # noqa: E402
 
 # Tree counts used by the registered model queries (the library defaults are
 # the reference's 800 / 300); epochs likewise.
