@@ -390,9 +390,9 @@ def wide_inputs(spark, d, missing):
     long = wide_long(spark, d)
     index = vb.feature_index(vb.feature_vocabulary(long))
     defaults = wd.slot_defaults(index, missing)
-    bvec, bvec_rows, _ = materialize(wd.business_vectors(long, index, missing=missing, defaults=defaults))
+    bvec, _, _ = materialize(wd.business_vectors(long, index, missing=missing, defaults=defaults))
     b, u, rows = matrix_tables(spark, d, fill="null")
-    return bvec, b, u, defaults, dict(bvec_rows=bvec_rows, ufeat_bytes=rows["ufeat_bytes"],
+    return bvec, b, u, defaults, dict(bvec_bytes=wd.vectors_bytes(bvec), ufeat_bytes=rows["ufeat_bytes"],
                                       bcounts_bytes=rows["bfeat_bytes"])
 
 
@@ -730,9 +730,10 @@ def wide_score_tables(spark, d, model_dir, output_csv):
     model = GBTRegressionModel.load(f"{model_dir}/model")
     index = spark.read.parquet(f"{model_dir}/vocabulary")
     defaults = wd.slot_defaults(index, wd.MISSING_SENTINEL)
-    bvec, bvec_rows, _ = materialize(wd.business_vectors(wide_long(spark, d), index, defaults=defaults))
+    bvec, _, _ = materialize(wd.business_vectors(wide_long(spark, d), index, defaults=defaults))
     b, u, rows = matrix_tables(spark, d, fill="null")
     pairs = tb.raw_split(spark, d, validation=True).select(*ft.PAIR_KEYS).distinct()
-    m = wd.wide_matrix(pairs, bvec, b, u, defaults, bvec_rows=bvec_rows, ufeat_bytes=rows["ufeat_bytes"],
+    m = wd.wide_matrix(pairs, bvec, b, u, defaults, bvec_bytes=wd.vectors_bytes(bvec),
+                       ufeat_bytes=rows["ufeat_bytes"],
                        bcounts_bytes=rows["bfeat_bytes"])
     return fl.write_predictions_csv(tr.predict_clip(model, m), output_csv)

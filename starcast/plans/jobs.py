@@ -101,19 +101,19 @@ def _wide_tables(spark, folder, index, missing, handle_unknown):
     e = read_entities(spark, folder)
     long = vb.wide_features_long(e["business"])
     defaults = wd.slot_defaults(index, missing)
-    bvec, bvec_rows, _ = materialize(
+    bvec, _, _ = materialize(
         wd.business_vectors(long, index, missing=missing, handle_unknown=handle_unknown, defaults=defaults))
     bfeat, bbytes, ufeat, ubytes = ft.feature_tables(e["business"], e["checkin"], e["photo"], e["tip"],
                                                      e["user"], fill="null")
-    return bvec, bvec_rows, bfeat, ufeat, dict(ufeat_bytes=ubytes, bcounts_bytes=bbytes), defaults
+    return bvec, bfeat, ufeat, dict(bvec_bytes=wd.vectors_bytes(bvec), ufeat_bytes=ubytes,
+                                    bcounts_bytes=bbytes), defaults
 
 
 def wide_matrix_for(spark, folder, pairs, index, *, missing=wd.MISSING_SENTINEL, keep=None,
                     handle_unknown="error", hot_rows: int | None = DEFAULT_HOT_ROWS):
-    bvec, bvec_rows, bfeat, ufeat, sizes, defaults = _wide_tables(spark, folder, index, missing, handle_unknown)
+    bvec, bfeat, ufeat, sizes, defaults = _wide_tables(spark, folder, index, missing, handle_unknown)
     pairs, hot = _hot(pairs, hot_rows)
-    return wd.wide_matrix(pairs, bvec, bfeat, ufeat, defaults, missing=missing, keep=keep,
-                          bvec_rows=bvec_rows, hot=hot, **sizes)
+    return wd.wide_matrix(pairs, bvec, bfeat, ufeat, defaults, missing=missing, keep=keep, hot=hot, **sizes)
 
 
 def wide_train(spark, folder, train_csv, model_dir, *, vocabulary: DataFrame | None = None,

@@ -16,9 +16,20 @@ from starcast.schemas import ENTITY_SCHEMAS, PREDICTIONS, RATINGS
 PREDICTIONS_HEADER = ["user_id", " business_id", " prediction"]
 
 
+def _drop_header_rows(df: DataFrame, names: list[str]) -> DataFrame:
+    """Drop every line that repeats the header (not only the first one),
+    e.g. when files with headers were concatenated."""
+    same = None
+    for n in names:
+        cond = F.trim(F.col(n).cast("string")) == F.lit(n)
+        same = cond if same is None else same & cond
+    return df.where(~F.coalesce(same, F.lit(False)))
+
+
 def read_ratings_csv(spark: SparkSession, path: str) -> DataFrame:
     """Ratings CSV with a header line: user_id, business_id, stars."""
-    return spark.read.schema(RATINGS).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    df = spark.read.schema(RATINGS).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    return _drop_header_rows(df, ["user_id", "business_id"])
 
 
 def read_pairs_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -35,8 +46,9 @@ def read_json_lines(spark: SparkSession, path: str, entity: str) -> DataFrame:
 
 def read_predictions_csv(spark: SparkSession, path: str) -> DataFrame:
     """Predictions CSV (header names may carry leading blanks)."""
-    return (spark.read.schema(PREDICTIONS).option("header", True)
-            .option("ignoreLeadingWhiteSpace", True).csv(path))
+    df = (spark.read.schema(PREDICTIONS).option("header", True)
+          .option("ignoreLeadingWhiteSpace", True).csv(path))
+    return _drop_header_rows(df, ["user_id", "business_id"])
 
 
 def write_predictions_csv(predictions: DataFrame, path: str) -> str:

@@ -134,3 +134,11 @@ def test_wide_and_mlp_jobs(spark, tmpdir_path):
                           val_csv=os.path.join(DATA, "val.csv"), epochs=3)
     assert [h[0] for h in hist] == [1, 2, 3] and all(h[2] is not None for h in hist)
     assert jobs.mlp_score(spark, DATA, os.path.join(DATA, "val.csv"), nn_dir).count() == 3
+
+
+def test_repeated_header_lines_are_dropped(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "cat.csv")
+    with open(path, "w") as f:
+        f.write("user_id,business_id,stars\nu1,b1,2.0\nuser_id,business_id,stars\nu2,b2,3.0\n")
+    rows = sorted((r.user_id, r.stars) for r in fl.read_ratings_csv(spark, path).collect())
+    assert rows == [("u1", 2.0), ("u2", 3.0)]

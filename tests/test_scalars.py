@@ -143,3 +143,24 @@ def test_since_epoch_property(spark, days):
     got = [r.y for r in df.select(fn.since_epoch("x").alias("y")).collect()]
     want = [int(datetime.strptime(t, "%Y-%m-%d").replace(tzinfo=timezone.utc).timestamp()) for t in texts]
     assert got == want
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.dictionaries(st.sampled_from(["a", "b", "c", "d"]),
+                                st.sampled_from(["True", "False", "u'x'", "2", "None"]), max_size=4),
+                min_size=1, max_size=10))
+def test_true_rate_property(spark, maps):
+    def ref(m):
+        vals = [v for v in m.values() if v in ("True", "False")]
+        return 0.0 if not m or not vals else sum(v == "True" for v in vals) / len(vals)
+    df = spark.createDataFrame([(m,) for m in maps], "x map<string,string>")
+    got = [r.y for r in df.select(fn.true_attribute_rate("x").alias("y")).collect()]
+    assert got == [ref(m) for m in maps]
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="ab, ", max_size=12)), min_size=1, max_size=10))
+def test_category_split_property(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    got = [r.y for r in df.select(fn.category_count("x").alias("y")).collect()]
+    assert got == [0 if not t else len(t.split(",")) for t in texts]
