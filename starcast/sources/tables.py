@@ -45,7 +45,7 @@ def raw_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("l_partkey").alias("business_id"),
                     (q + 1).cast("double").alias("stars"),
                     (F.col("l_orderkey") * 1000 + F.col("l_linenumber") * 10 + q).alias("order_key"),
-                    (F.col("o_orderdate") >= F.lit(VALIDATION_FROM).cast("timestamp")).alias("is_validation")))
+                    (F.col("o_orderdate").cast("date") >= F.to_date(F.lit(VALIDATION_FROM))).alias("is_validation")))
 
 
 def raw_split(spark: SparkSession, sf_dir: str, validation: bool) -> DataFrame:
