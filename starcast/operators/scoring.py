@@ -16,6 +16,12 @@ from pyspark.sql import types as T
 
 from starcast.operators.features import PAIR_KEYS
 
+from starcast.session import ship_by_value
+
+# Functions of this module run inside Python workers: ship them by value so
+# executors need no installed copy of the package.
+ship_by_value(__name__)
+
 
 class LinearModel:
     """y = intercept + x . weights (a fixed, fully specified model)."""
@@ -31,11 +37,17 @@ class LinearModel:
 def score_partitions(df: DataFrame, model, columns: list[str], *, keys: list[str] = PAIR_KEYS,
                      predict: Callable | None = None) -> DataFrame:
     """``keys`` + ``raw`` prediction of ``model.predict`` over ``columns``."""
-    bc = df.sparkSession.sparkContext.broadcast(model)
+    from pyspark import cloudpickle
+
+    # Broadcasts use plain pickle; cloudpickle bytes carry the model's class
+    # by value, so executors need no installed copy of its module.
+    bc = df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
     schema = T.StructType([df.schema[k] for k in keys] + [T.StructField("raw", T.DoubleType())])
 
     def run(it):
-        m = bc.value
+        from pyspark import cloudpickle as cp
+
+        m = cp.loads(bc.value)
         fn_ = predict or m.predict
         for pdf in it:
             if len(pdf) == 0:

@@ -71,6 +71,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def ship_by_value(module_name: str) -> None:
+    """Serialize the named module's functions and classes by value when
+    they are sent to Python workers (``mapInPandas`` bodies, broadcast
+    models), so executors need no installed copy of ``starcast``."""
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[module_name])
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
