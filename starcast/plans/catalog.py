@@ -22,7 +22,7 @@ from starcast.operators import scoring as scr
 from starcast.operators import trees as tr
 from starcast.operators import vocabulary as vb
 from starcast.operators import wide as wd
-from starcast.operators.joins import materialize
+from starcast.operators.joins import materialize, write_table
 from starcast.plans.oracle import CTES, hash32_sql, with_ctes
 from starcast.session import scratch_path
 from starcast.sources import files as fl
@@ -387,22 +387,24 @@ def q_feature_index(spark, d):
 
 
 def wide_inputs(spark, d, missing):
-    long = wide_long(spark, d)
+    # written once: the vocabulary and the vectors both read it
+    long = write_table(wide_long(spark, d), "wide-long")
     index = vb.feature_index(vb.feature_vocabulary(long))
     defaults = wd.slot_defaults(index, missing)
     bvec, _, _ = materialize(wd.business_vectors(long, index, missing=missing, defaults=defaults))
     b, u, rows = matrix_tables(spark, d, fill="null")
-    return bvec, b, u, defaults, dict(bvec_bytes=wd.vectors_bytes(bvec), ufeat_bytes=rows["ufeat_bytes"],
-                                      bcounts_bytes=rows["bfeat_bytes"])
+    sizes = dict(bvec_bytes=wd.vectors_bytes(bvec), ufeat_bytes=rows["ufeat_bytes"],
+                 bcounts_bytes=rows["bfeat_bytes"])
+    return bvec, b, u, defaults, sizes, index
 
 
-def wide_matrices(spark, d, missing=wd.MISSING_SENTINEL):
-    bvec, b, u, defaults, rows = wide_inputs(spark, d, missing)
+def wide_matrices(spark, d, missing=wd.MISSING_SENTINEL, with_index=False):
+    bvec, b, u, defaults, rows, index = wide_inputs(spark, d, missing)
     train = wd.wide_matrix(train_ratings(spark, d), bvec, b, u, defaults, missing=missing, keep=["stars"],
                            **rows)
     valid = wd.wide_matrix(valid_ratings(spark, d), bvec, b, u, defaults, missing=missing, keep=["stars"],
                            **rows)
-    return train, valid
+    return (train, valid, index) if with_index else (train, valid)
 
 
 @register("assemble_wide")
@@ -713,9 +715,7 @@ def q_wide_matrix_shape(spark, d):
 # ------------------------------------------- end-to-end wide job on tables
 def wide_fit_tables(spark, d, model_dir, n_estimators=QUERY_WIDE_TREES):
     """Fit the wide model on the training split; save model + vocabulary."""
-    long = wide_long(spark, d)
-    index = vb.feature_index(vb.feature_vocabulary(long))
-    train, _ = wide_matrices(spark, d)
+    train, _, index = wide_matrices(spark, d, with_index=True)
     model = tr.fit(tr.gbt(tr.WIDE_TREE_PARAMS, n_estimators=n_estimators), train)
     model.write().overwrite().save(f"{model_dir}/model")
     index.write.mode("overwrite").parquet(f"{model_dir}/vocabulary")

@@ -30,7 +30,7 @@ from starcast.operators import scaling as sc
 from starcast.operators import trees as tr
 from starcast.operators import vocabulary as vb
 from starcast.operators import wide as wd
-from starcast.operators.joins import DEFAULT_HOT_ROWS, hot_keys_by, materialize
+from starcast.operators.joins import DEFAULT_HOT_ROWS, hot_keys_by, materialize, write_table
 from starcast.sources import files as fl
 
 ENTITIES = ["business", "checkin", "photo", "tip", "user"]
@@ -89,6 +89,8 @@ def discover_vocabulary(spark, business_json, out_dir=None):
     files ``features`` and ``feature_values`` under ``out_dir``."""
     business = fl.read_json_lines(spark, business_json, "business")
     long = vb.wide_features_long(business)
+    if out_dir:  # both outputs read the long form: write it once
+        long = write_table(long, "wide-long")
     vocab = vb.feature_vocabulary(long)
     values = vb.feature_values(long)
     if out_dir:
