@@ -125,7 +125,7 @@ def user_features(user: DataFrame, tip: DataFrame, fill: str = "zero") -> DataFr
 
 def feature_tables(business: DataFrame, checkin: DataFrame, photo: DataFrame, tip: DataFrame,
                    user: DataFrame, fill: str = "zero") -> tuple[DataFrame, int, DataFrame, int]:
-    """Both feature tables, checkpointed once into the shared folder and
+    """Both feature tables, written once as Parquet into the shared folder and
     measured: ``(bfeat, bfeat_bytes, ufeat, ufeat_bytes)``. Train and test
     matrices then reuse them, and the measured sizes are the check that
     lets ``rating_features`` broadcast a table."""

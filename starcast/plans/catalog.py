@@ -59,7 +59,7 @@ def few_tables(spark, d, fill="zero"):
 
 
 def matrix_tables(spark, d, fill="zero"):
-    """Feature tables checkpointed and counted (size-checked broadcast)."""
+    """Feature tables written to the shared folder and measured (size-checked broadcast)."""
     e = tb.entities(spark, d)
     b, bbytes, u, ubytes = ft.feature_tables(e["business"], e["checkin"], e["photo"], e["tip"], e["user"],
                                              fill=fill)
