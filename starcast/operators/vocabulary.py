@@ -103,15 +103,16 @@ def feature_values(long: DataFrame) -> DataFrame:
 def feature_index(vocabulary: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
     """Dense index 0..n-1 in code-point order of the names.
 
-    The sorted names are fetched once (distributed top-k, at most
-    ``max_features + 1`` rows, more is an error) and the index table is
-    built from them: the vocabulary is the model's schema, needed on the
-    driver for the vector width and slot defaults anyway.
+    The vocabulary size is checked first (a count; more than
+    ``max_features`` names is an error), then the sorted names are fetched
+    and the index table is built from them: the vocabulary is the model's
+    schema, needed on the driver for the vector width and slot defaults.
     """
-    rows = (vocabulary.select("feature", "kind").orderBy("feature")
-            .limit(max_features + 1).collect())
-    if len(rows) > max_features:
-        raise ValueError(f"vocabulary has more than max_features={max_features} names")
+    names = vocabulary.select("feature", "kind")
+    n = names.count()
+    if n > max_features:
+        raise ValueError(f"vocabulary has {n} names, more than max_features={max_features}")
+    rows = names.orderBy("feature").collect()
     spark = vocabulary.sparkSession
     return spark.createDataFrame([(r.feature, r.kind, i) for i, r in enumerate(rows)],
                                  "feature string, kind string, idx int")
