@@ -56,7 +56,7 @@ def _tables(spark, folder, fill):
 def _hot(pairs: DataFrame, hot_rows: int | None):
     if not hot_rows:
         return pairs, None
-    pairs, _, _ = materialize(pairs)
+    pairs = write_table(pairs, "pairs")  # read twice: key counts and the join
     return pairs, hot_keys_by(pairs, ["business_id", "user_id"], hot_rows)
 
 

@@ -1,0 +1,64 @@
+"""Shared-folder rules of the session helpers."""
+
+import pytest
+
+from starcast import session
+
+
+class FakeConf:
+    def __init__(self, values):
+        self.values = values
+
+    def get(self, key, default=None):
+        return self.values.get(key, default)
+
+
+class FakeContext:
+    def __init__(self, master, conf=None, current=None):
+        self.master, self._conf, self._dir = master, FakeConf(conf or {}), current
+
+    def getCheckpointDir(self):
+        return self._dir
+
+    def getConf(self):
+        return self._conf
+
+    def setCheckpointDir(self, d):
+        self._dir = d
+
+
+class FakeRuntimeConf:
+    def get(self, key):
+        raise KeyError(key)
+
+
+class FakeSpark:
+    def __init__(self, sc):
+        self.sparkContext, self.conf = sc, FakeRuntimeConf()
+
+
+def test_cluster_without_shared_folder_is_an_error():
+    with pytest.raises(RuntimeError):
+        session.checkpoint_dir(FakeSpark(FakeContext("yarn")))
+
+
+def test_configured_folder_is_used():
+    sc = FakeContext("yarn", {"spark.checkpoint.dir": "hdfs:///shared/ckpt"})
+    assert session.checkpoint_dir(FakeSpark(sc)) == "hdfs:///shared/ckpt"
+
+
+def test_existing_context_folder_wins():
+    sc = FakeContext("k8s://x", {"spark.checkpoint.dir": "s3a://b/other"}, current="s3a://b/ckpt")
+    assert session.checkpoint_dir(FakeSpark(sc)) == "s3a://b/ckpt"
+
+
+def test_local_session_gets_a_fresh_folder():
+    sc = FakeContext("local[2]")
+    d = session.checkpoint_dir(FakeSpark(sc))
+    assert d and sc.getCheckpointDir() == d
+
+
+def test_scratch_paths_are_unique_and_under_the_folder():
+    sc = FakeContext("yarn", current="hdfs:///shared/ckpt")
+    a, b = session.scratch_path(FakeSpark(sc), "t"), session.scratch_path(FakeSpark(sc), "t")
+    assert a != b and a.startswith("hdfs:///shared/ckpt/t-")

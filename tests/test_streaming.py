@@ -29,3 +29,23 @@ def test_stream_matches_batch(spark, tmpdir_path):
     want = {(r.user_id, r.business_id): r.prediction
             for r in tr.predict_clip(model, ft.rating_features(pairs, bfeat, ufeat)).collect()}
     assert got == want and len(got) == 3
+
+
+def test_stream_restart_scores_only_new_files(spark, tmpdir_path):
+    e = jobs.read_entities(spark, DATA)
+    bfeat, bbytes, ufeat, ubytes = ft.feature_tables(e["business"], e["checkin"], e["photo"], e["tip"], e["user"])
+    train = jobs.read_ratings_ordered(spark, os.path.join(DATA, "train.csv"))
+    model = tr.few_pipeline(n_estimators=2).fit(
+        ft.rating_features(train, bfeat, ufeat, keep=["stars"], bfeat_bytes=bbytes, ufeat_bytes=ubytes))
+    inbox, sink, ckpt = (os.path.join(tmpdir_path, x) for x in ("inbox", "sink", "ckpt"))
+    os.makedirs(inbox)
+    shutil.copy(os.path.join(DATA, "val.csv"), os.path.join(inbox, "a.csv"))
+    kw = dict(bfeat_bytes=bbytes, ufeat_bytes=ubytes, checkpoint_location=ckpt)
+    score_stream(spark, inbox, model, bfeat, ufeat, sink, **kw).awaitTermination(120)
+    assert spark.read.parquet(sink).count() == 3
+    score_stream(spark, inbox, model, bfeat, ufeat, sink, **kw).awaitTermination(120)
+    assert spark.read.parquet(sink).count() == 3          # restart: nothing rescored
+    with open(os.path.join(inbox, "b.csv"), "w") as f:
+        f.write("user_id,business_id\nu1,b3\n")
+    score_stream(spark, inbox, model, bfeat, ufeat, sink, **kw).awaitTermination(120)
+    assert spark.read.parquet(sink).count() == 4          # only the new file
