@@ -30,7 +30,8 @@ from starcast.operators import scaling as sc
 from starcast.operators import trees as tr
 from starcast.operators import vocabulary as vb
 from starcast.operators import wide as wd
-from starcast.operators.joins import DEFAULT_HOT_ROWS, hot_keys_by, materialize, write_table
+from starcast.operators.joins import (DEFAULT_BROADCAST_BYTES, DEFAULT_HOT_ROWS, fits_broadcast,
+                                     hot_keys_by, materialize, write_table)
 from starcast.sources import files as fl
 
 ENTITIES = ["business", "checkin", "photo", "tip", "user"]
@@ -53,30 +54,38 @@ def _tables(spark, folder, fill):
     return ft.feature_tables(e["business"], e["checkin"], e["photo"], e["tip"], e["user"], fill=fill)
 
 
-def _hot(pairs: DataFrame, hot_rows: int | None):
-    if not hot_rows:
+def _hot(pairs: DataFrame, hot_rows: int | None, dim_bytes: list[int | None] = (),
+         broadcast_bytes: int = DEFAULT_BROADCAST_BYTES):
+    """Hot-key tables for the pairs, only when some dimension will be
+    shuffle-joined: with every dimension broadcast the pairs never shuffle
+    for the joins and are not written out."""
+    if not hot_rows or all(fits_broadcast(b, broadcast_bytes) for b in dim_bytes):
         return pairs, None
     pairs = write_table(pairs, "pairs")  # read twice: key counts and the join
     return pairs, hot_keys_by(pairs, ["business_id", "user_id"], hot_rows)
 
 
-def narrow_matrices(spark, folder, train_csv, test_csv, *, hot_rows: int | None = DEFAULT_HOT_ROWS):
+def narrow_matrices(spark, folder, train_csv, test_csv, *, hot_rows: int | None = DEFAULT_HOT_ROWS,
+                    broadcast_bytes: int = DEFAULT_BROADCAST_BYTES):
     """(train matrix with stars, test matrix) over the 31 features."""
     bfeat, bbytes, ufeat, ubytes = _tables(spark, folder, "zero")
-    sizes = dict(bfeat_bytes=bbytes, ufeat_bytes=ubytes)
-    train, hot = _hot(read_ratings_ordered(spark, train_csv), hot_rows)
+    sizes = dict(bfeat_bytes=bbytes, ufeat_bytes=ubytes, broadcast_bytes=broadcast_bytes)
+    dims = [bbytes, ubytes]
+    train, hot = _hot(read_ratings_ordered(spark, train_csv), hot_rows, dims, broadcast_bytes)
     train_m = ft.rating_features(train, bfeat, ufeat, keep=["stars"], hot=hot, **sizes)
-    test, hot_t = _hot(fl.read_pairs_csv(spark, test_csv).distinct(), hot_rows)
+    test, hot_t = _hot(fl.read_pairs_csv(spark, test_csv).distinct(), hot_rows, dims, broadcast_bytes)
     test_m = ft.rating_features(test, bfeat, ufeat, hot=hot_t, **sizes)
     return train_m, test_m
 
 
 def narrow_train_predict(spark, folder, train_csv, test_csv, output_csv=None, *,
                          params: dict = tr.FEW_TREE_PARAMS, n_estimators: int | None = None,
-                         hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
+                         hot_rows: int | None = DEFAULT_HOT_ROWS,
+                         broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Fit on the training ratings, predict the test pairs, clip, and write
     the predictions CSV when ``output_csv`` is given."""
-    train_m, test_m = narrow_matrices(spark, folder, train_csv, test_csv, hot_rows=hot_rows)
+    train_m, test_m = narrow_matrices(spark, folder, train_csv, test_csv, hot_rows=hot_rows,
+                                      broadcast_bytes=broadcast_bytes)
     model = tr.fit(tr.few_pipeline(params, n_estimators=n_estimators), train_m)
     pred = tr.predict_clip(model, test_m)
     if output_csv:
@@ -114,7 +123,7 @@ def _wide_tables(spark, folder, index, missing, handle_unknown):
 def wide_matrix_for(spark, folder, pairs, index, *, missing=wd.MISSING_SENTINEL, keep=None,
                     handle_unknown="error", hot_rows: int | None = DEFAULT_HOT_ROWS):
     bvec, bfeat, ufeat, sizes, defaults = _wide_tables(spark, folder, index, missing, handle_unknown)
-    pairs, hot = _hot(pairs, hot_rows)
+    pairs, hot = _hot(pairs, hot_rows, list(sizes.values()))
     return wd.wide_matrix(pairs, bvec, bfeat, ufeat, defaults, missing=missing, keep=keep, hot=hot, **sizes)
 
 

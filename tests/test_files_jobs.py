@@ -142,3 +142,13 @@ def test_repeated_header_lines_are_dropped(spark, tmpdir_path):
         f.write("user_id,business_id,stars\nu1,b1,2.0\nuser_id,business_id,stars\nu2,b2,3.0\n")
     rows = sorted((r.user_id, r.stars) for r in fl.read_ratings_csv(spark, path).collect())
     assert rows == [("u1", 2.0), ("u2", 3.0)]
+
+
+def test_narrow_job_salted_plan_same_predictions(spark):
+    args = (spark, DATA, os.path.join(DATA, "train.csv"), os.path.join(DATA, "val.csv"))
+    a = {(r.user_id, r.business_id): r.prediction
+         for r in jobs.narrow_train_predict(*args, n_estimators=3).collect()}
+    # no broadcast allowed and every key with more than one row is salted
+    b = {(r.user_id, r.business_id): r.prediction
+         for r in jobs.narrow_train_predict(*args, n_estimators=3, hot_rows=1, broadcast_bytes=0).collect()}
+    assert a == b and len(a) == 3
