@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starcast.functions import scalars as fn
-from starcast.operators.joins import DEFAULT_BROADCAST_BYTES, join_dimension, materialize
+from starcast.operators.joins import DEFAULT_BROADCAST_BYTES, join_dimension, materialize_all
 from starcast.schemas import USER_COUNTERS
 
 PAIR_KEYS = ["user_id", "business_id"]
@@ -125,12 +125,13 @@ def user_features(user: DataFrame, tip: DataFrame, fill: str = "zero") -> DataFr
 
 def feature_tables(business: DataFrame, checkin: DataFrame, photo: DataFrame, tip: DataFrame,
                    user: DataFrame, fill: str = "zero") -> tuple[DataFrame, int, DataFrame, int]:
-    """Both feature tables, written once as Parquet into the shared folder and
-    measured: ``(bfeat, bfeat_bytes, ufeat, ufeat_bytes)``. Train and test
+    """Both feature tables, written once as Parquet into the shared folder
+    (two concurrent jobs) and measured: ``(bfeat, bfeat_bytes, ufeat, ufeat_bytes)``. Train and test
     matrices then reuse them, and the measured sizes are the check that
     lets ``rating_features`` broadcast a table."""
-    bfeat, _, bbytes = materialize(business_features(business, checkin, photo, tip, fill=fill))
-    ufeat, _, ubytes = materialize(user_features(user, tip, fill=fill))
+    done = materialize_all({"bfeat": business_features(business, checkin, photo, tip, fill=fill),
+                            "ufeat": user_features(user, tip, fill=fill)})
+    (bfeat, _, bbytes), (ufeat, _, ubytes) = done["bfeat"], done["ufeat"]
     return bfeat, bbytes, ufeat, ubytes
 
 

@@ -76,6 +76,16 @@ def materialize(df: DataFrame, name: str = "table") -> tuple[DataFrame, int, int
     return done, int(row["rows"]), (int(row["bytes"]) if "bytes" in row.asDict() else None)
 
 
+def materialize_all(tables: dict[str, DataFrame]) -> dict[str, tuple[DataFrame, int, int | None]]:
+    """``materialize`` several independent tables as concurrent jobs, so
+    they share free task slots instead of running back to back."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=max(1, len(tables))) as pool:
+        futures = {k: pool.submit(materialize, df, k) for k, df in tables.items()}
+        return {k: f.result() for k, f in futures.items()}
+
+
 def fits_broadcast(dim_bytes: int | None, broadcast_bytes: int) -> bool:
     return dim_bytes is not None and dim_bytes <= broadcast_bytes
 

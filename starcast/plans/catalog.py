@@ -22,7 +22,7 @@ from starcast.operators import scoring as scr
 from starcast.operators import trees as tr
 from starcast.operators import vocabulary as vb
 from starcast.operators import wide as wd
-from starcast.operators.joins import materialize, write_table
+from starcast.operators.joins import materialize_all, write_table
 from starcast.plans.oracle import CTES, hash32_sql, with_ctes
 from starcast.session import scratch_path
 from starcast.sources import files as fl
@@ -58,12 +58,17 @@ def few_tables(spark, d, fill="zero"):
     return b, u
 
 
-def matrix_tables(spark, d, fill="zero"):
-    """Feature tables written to the shared folder and measured (size-checked broadcast)."""
+def matrix_tables(spark, d, fill="zero", extra: dict | None = None):
+    """Feature tables written to the shared folder and measured (size-checked
+    broadcast); ``extra`` tables are materialized in the same concurrent batch."""
     e = tb.entities(spark, d)
-    b, bbytes, u, ubytes = ft.feature_tables(e["business"], e["checkin"], e["photo"], e["tip"], e["user"],
-                                             fill=fill)
-    return b, u, dict(bfeat_bytes=bbytes, ufeat_bytes=ubytes)
+    tables = {"bfeat": ft.business_features(e["business"], e["checkin"], e["photo"], e["tip"], fill=fill),
+              "ufeat": ft.user_features(e["user"], e["tip"], fill=fill), **(extra or {})}
+    done = materialize_all(tables)
+    sizes = dict(bfeat_bytes=done["bfeat"][2], ufeat_bytes=done["ufeat"][2])
+    if extra:
+        return done["bfeat"][0], done["ufeat"][0], sizes, {k: done[k] for k in extra}
+    return done["bfeat"][0], done["ufeat"][0], sizes
 
 
 def few_matrix(spark, d, ratings: DataFrame, fill="zero"):
@@ -391,8 +396,9 @@ def wide_inputs(spark, d, missing):
     long = write_table(wide_long(spark, d), "wide-long")
     index = vb.feature_index(vb.feature_vocabulary(long))
     defaults = wd.slot_defaults(index, missing)
-    bvec, _, _ = materialize(wd.business_vectors(long, index, missing=missing, defaults=defaults))
-    b, u, rows = matrix_tables(spark, d, fill="null")
+    b, u, rows, more = matrix_tables(
+        spark, d, fill="null", extra={"bvec": wd.business_vectors(long, index, missing=missing, defaults=defaults)})
+    bvec = more["bvec"][0]
     sizes = dict(bvec_bytes=wd.vectors_bytes(bvec), ufeat_bytes=rows["ufeat_bytes"],
                  bcounts_bytes=rows["bfeat_bytes"])
     return bvec, b, u, defaults, sizes, index
@@ -730,8 +736,9 @@ def wide_score_tables(spark, d, model_dir, output_csv):
     model = GBTRegressionModel.load(f"{model_dir}/model")
     index = spark.read.parquet(f"{model_dir}/vocabulary")
     defaults = wd.slot_defaults(index, wd.MISSING_SENTINEL)
-    bvec, _, _ = materialize(wd.business_vectors(wide_long(spark, d), index, defaults=defaults))
-    b, u, rows = matrix_tables(spark, d, fill="null")
+    b, u, rows, more = matrix_tables(
+        spark, d, fill="null", extra={"bvec": wd.business_vectors(wide_long(spark, d), index, defaults=defaults)})
+    bvec = more["bvec"][0]
     pairs = tb.raw_split(spark, d, validation=True).select(*ft.PAIR_KEYS).distinct()
     m = wd.wide_matrix(pairs, bvec, b, u, defaults, bvec_bytes=wd.vectors_bytes(bvec),
                        ufeat_bytes=rows["ufeat_bytes"],

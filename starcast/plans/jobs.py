@@ -31,7 +31,7 @@ from starcast.operators import trees as tr
 from starcast.operators import vocabulary as vb
 from starcast.operators import wide as wd
 from starcast.operators.joins import (DEFAULT_BROADCAST_BYTES, DEFAULT_HOT_ROWS, fits_broadcast,
-                                     hot_keys_by, materialize, write_table)
+                                     hot_keys_by, materialize_all, write_table)
 from starcast.sources import files as fl
 
 ENTITIES = ["business", "checkin", "photo", "tip", "user"]
@@ -112,10 +112,12 @@ def _wide_tables(spark, folder, index, missing, handle_unknown):
     e = read_entities(spark, folder)
     long = vb.wide_features_long(e["business"])
     defaults = wd.slot_defaults(index, missing)
-    bvec, _, _ = materialize(
-        wd.business_vectors(long, index, missing=missing, handle_unknown=handle_unknown, defaults=defaults))
-    bfeat, bbytes, ufeat, ubytes = ft.feature_tables(e["business"], e["checkin"], e["photo"], e["tip"],
-                                                     e["user"], fill="null")
+    done = materialize_all({
+        "bvec": wd.business_vectors(long, index, missing=missing, handle_unknown=handle_unknown,
+                                    defaults=defaults),
+        "bfeat": ft.business_features(e["business"], e["checkin"], e["photo"], e["tip"], fill="null"),
+        "ufeat": ft.user_features(e["user"], e["tip"], fill="null")})
+    bvec, (bfeat, _, bbytes), (ufeat, _, ubytes) = done["bvec"][0], done["bfeat"], done["ufeat"]
     return bvec, bfeat, ufeat, dict(bvec_bytes=wd.vectors_bytes(bvec), ufeat_bytes=ubytes,
                                     bcounts_bytes=bbytes), defaults
 
