@@ -24,7 +24,7 @@ RATING_MAX = 5.0
 # A dict-literal entry: quoted key, colon, then a quoted or bare value.
 DICT_ENTRY_PATTERN = r"u?'([^']*)'\s*:\s*(u?'[^']*'|[^,}]+)"
 QUOTED_PATTERN = r"^u?'(.*)'$"
-STRIP_PATTERN = r"^\s+|\s+$"
+STRIP_PATTERN = r"(?U)^\s+|\s+$"   # Unicode whitespace, as str.strip()
 # ---------------------------------------------------------------------------
 
 

@@ -164,3 +164,8 @@ def test_category_split_property(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "x string")
     got = [r.y for r in df.select(fn.category_count("x").alias("y")).collect()]
     assert got == [0 if not t else len(t.split(",")) for t in texts]
+
+
+def test_strip_unicode_whitespace(spark):
+    s = "  Coffee & Tea　 "
+    assert one(spark, fn.strip, s, "string") == s.strip()
