@@ -413,14 +413,28 @@ def wide_matrices(spark, d, missing=wd.MISSING_SENTINEL, with_index=False):
     return (train, valid, index) if with_index else (train, valid)
 
 
-@register("assemble_wide")
+_WIDE_SET_SQL = with_ctes(f"""
+    SELECT t.user_id, t.business_id, t.stars,
+           CAST((SELECT count(*) FROM vocab) + 24 AS INTEGER) AS width,
+           CAST((SELECT count(*) FROM vocab WHERE kind <> 'category') - coalesce(z.n_zero, 0)
+                + coalesce(k.n_cat, 0)
+                + {" + ".join(f"(coalesce(b.{c}, -1) <> 0)::INT" for c in ft.BUSINESS_COUNTS)}
+                + {" + ".join(f"(coalesce(u.{c}, -1) <> 0)::INT" for c in ft.USER_FEATURES)} AS INTEGER) AS n_set
+    FROM train t
+    LEFT JOIN (SELECT business_id, count(DISTINCT feature) AS n_cat FROM wide_long
+               WHERE kind = 'category' GROUP BY business_id) k ON t.business_id = k.business_id
+    LEFT JOIN (SELECT business_id, count(DISTINCT feature) AS n_zero FROM wide_long
+               WHERE kind <> 'category' AND value = 0 GROUP BY business_id) z ON t.business_id = z.business_id
+    LEFT JOIN bfeat_null b ON t.business_id = b.business_id
+    LEFT JOIN ufeat_null u ON t.user_id = u.user_id""", "train", "wide_long", "vocab", "bfeat_null", "ufeat_null")
+
+
+@register("assemble_wide", _WIDE_SET_SQL)
 def q_assemble_wide(spark, d):
-    from pyspark.ml.functions import vector_to_array
-
+    """Wide training matrix: width and non-zero slots per row (missing
+    slots hold the non-zero sentinel)."""
     train, _ = wide_matrices(spark, d)
-    arr = vector_to_array(F.col("features"))
-    return train.select("user_id", "business_id", "stars", F.size(arr).alias("width"),
-                        F.size(F.filter(arr, lambda x: x != 0)).alias("n_set"))
+    return _vector_shape(train)
 
 
 @register("fill_missing_marker", with_ctes(f"""
@@ -608,14 +622,24 @@ def few_model_inputs(spark, d):
     return few_matrices(spark, d)
 
 
-@register("assemble_few")
+def _vector_shape(df, col="features"):
+    """Per row: vector width and number of non-zero slots."""
+    from pyspark.ml.functions import vector_to_array
+
+    arr = vector_to_array(F.col(col))
+    return df.select("user_id", "business_id", "stars", F.size(arr).alias("width"),
+                     F.size(F.filter(arr, lambda x: x != 0)).alias("n_set"))
+
+
+@register("assemble_few", with_ctes(f"""
+    SELECT user_id, business_id, stars, CAST(31 AS INTEGER) AS width,
+           CAST({" + ".join(f"({c} <> 0)::INT" for c in ft.FEW_FEATURES)} AS INTEGER) AS n_set
+    FROM train_matrix""", "train_matrix"))
 def q_assemble_few(spark, d):
     from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.functions import vector_to_array
 
     train, _ = few_model_inputs(spark, d)
-    asm = VectorAssembler(inputCols=ft.FEW_FEATURES, outputCol="features").transform(train)
-    return asm.select("user_id", "business_id", "stars", vector_to_array("features").alias("features"))
+    return _vector_shape(VectorAssembler(inputCols=ft.FEW_FEATURES, outputCol="features").transform(train))
 
 
 @register("gbt_few")
