@@ -708,12 +708,11 @@ def q_mlp_loss_curve(spark, d):
 @register("mlp_fit_wide")
 def q_mlp_fit_wide(spark, d):
     train, valid = wide_matrices(spark, d, missing=0.0)
-    stats = sc_.vector_minmax_fit(train)
-    train, valid = sc_.vector_minmax_scale(train, stats=stats), sc_.vector_minmax_scale(valid, stats=stats)
+    stats = sc_.vector_minmax_fit(train)   # training min/max, applied to both
     width = len(stats[0])
     layers = [width] + nn.WIDE_LAYERS[1:]
-    flat, _ = nn.fit_mlp(train, layers, epochs=QUERY_WIDE_EPOCHS, validation=valid, seed=1)
-    return nn.score_mlp(valid, flat, layers)
+    flat, _ = nn.fit_mlp(train, layers, epochs=QUERY_WIDE_EPOCHS, validation=valid, seed=1, scale=stats)
+    return nn.score_mlp(valid, flat, layers, scale=stats)
 
 
 # ------------------------------------------------------- text sinks, shapes

@@ -113,3 +113,15 @@ def test_error_distribution_buckets(spark):
     got = [(r.bucket, r.n) for r in ev.error_distribution(truth, half).orderBy("bucket").collect()]
     assert got == [(0, 1), (1, 0), (2, 0), (3, 0), (4, 0)]
     assert ev.missing_predictions(truth, half).count() == 4
+
+
+def test_mlp_in_task_scaling_equals_column_scaling(spark, signal):
+    vec = signal.select("user_id", "business_id", "stars",
+                        (array_to_vector(F.array(*[F.col(c) * 10 + 3 for c in ft.FEW_FEATURES]))).alias("features"))
+    stats = sc.vector_minmax_fit(vec)
+    pre = sc.vector_minmax_scale(vec, stats=stats)
+    flat = nn.flatten(nn.init_params(nn.FEW_LAYERS, 4))
+    a = {(r.user_id, r.business_id): r.prediction for r in nn.score_mlp(pre, flat, nn.FEW_LAYERS).collect()}
+    b = {(r.user_id, r.business_id): r.prediction
+         for r in nn.score_mlp(vec, flat, nn.FEW_LAYERS, scale=stats).collect()}
+    assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-9 for k in a)
