@@ -10,8 +10,9 @@ driver-side data are metrics, the vocabulary and network weights.
 * ``discover_vocabulary``: feature names and value profile -> text files.
 * ``wide_train`` / ``wide_score``: vocabulary-width matrix -> boosted
   trees saved with their vocabulary; distributed scoring later.
-* ``mlp_train`` / ``mlp_score``: scaled features -> network weights as
-  Parquet; forward-pass scoring.
+* ``mlp_train`` / ``mlp_score``: scaled 31 features -> network weights as
+  Parquet; forward-pass scoring. ``mlp_train_wide`` / ``mlp_score_wide``:
+  the same over the vocabulary-width matrix.
 * ``evaluate``: RMSE, error distribution and missing predictions.
 """
 
@@ -186,11 +187,53 @@ def mlp_train(spark, folder, train_csv, model_dir, *, val_csv: str | None = None
     return hist
 
 
+def mlp_train_wide(spark, folder, train_csv, model_dir, *, val_csv: str | None = None,
+                   vocabulary: DataFrame | None = None, epochs: int = 10, seed: int = 0,
+                   hidden=tuple(nn.WIDE_LAYERS[1:]), hot_rows: int | None = DEFAULT_HOT_ROWS):
+    """Fit the wide network: vocabulary-width matrix with missing -> 0,
+    training min/max applied per batch inside the tasks. Saves weights,
+    scaler and vocabulary under ``model_dir``; returns the loss rows."""
+    if vocabulary is None:
+        vocabulary, _ = discover_vocabulary(spark, f"{folder.rstrip('/')}/business.json")
+    index = vb.feature_index(vocabulary)
+    bvec, bfeat, ufeat, sizes, defaults = _wide_tables(spark, folder, index, 0.0, "error")
+
+    def matrix(csv):
+        pairs, hot = _hot(read_ratings_ordered(spark, csv), hot_rows, list(sizes.values()))
+        return wd.wide_matrix(pairs, bvec, bfeat, ufeat, defaults, missing=0.0, keep=["stars"], hot=hot,
+                              **sizes)
+    train = matrix(train_csv)
+    val = matrix(val_csv) if val_csv else None
+    lo, hi = sc.vector_minmax_fit(train)
+    layers = [len(lo), *hidden]
+    flat, hist = nn.fit_mlp(train, layers, epochs=epochs, validation=val, seed=seed, scale=(lo, hi))
+    save_weights(spark, flat, layers, {"__vector__": (lo, hi)}, model_dir)
+    index.write.mode("overwrite").parquet(f"{model_dir.rstrip('/')}/vocabulary")
+    return hist
+
+
+def mlp_score_wide(spark, folder, test_csv, model_dir, output_csv=None, *, handle_unknown="error",
+                   hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
+    """Forward pass of the saved wide network for the test pairs (raw
+    values, as the reference's network scoring writes them)."""
+    flat, layers, stats = load_weights(spark, model_dir)
+    index = spark.read.parquet(f"{model_dir.rstrip('/')}/vocabulary")
+    pairs = fl.read_pairs_csv(spark, test_csv).distinct()
+    m = wide_matrix_for(spark, folder, pairs, index, missing=0.0, handle_unknown=handle_unknown,
+                        hot_rows=hot_rows)
+    pred = nn.score_mlp(m, flat, layers, scale=stats["__vector__"])
+    if output_csv:
+        fl.write_predictions_csv(pred, output_csv)
+    return pred
+
+
 def save_weights(spark, flat, layers, stats, model_dir):
     chunks = [flat[i:i + nn.CHUNK].tolist() for i in range(0, len(flat), nn.CHUNK)]
     spark.createDataFrame(list(enumerate(chunks)), "chunk int, w array<double>") \
         .write.mode("overwrite").parquet(f"{model_dir.rstrip('/')}/weights")
-    meta = json.dumps({"layers": list(layers), "scaler": {k: list(v) for k, v in stats.items()}})
+    meta = json.dumps({"layers": list(layers),
+                       "scaler": {k: [list(map(float, x)) if isinstance(x, (list, tuple, np.ndarray)) else x
+                                      for x in v] for k, v in stats.items()}})
     spark.createDataFrame([(meta,)], "meta string").write.mode("overwrite").json(
         f"{model_dir.rstrip('/')}/meta")
 

@@ -152,3 +152,13 @@ def test_narrow_job_salted_plan_same_predictions(spark):
     b = {(r.user_id, r.business_id): r.prediction
          for r in jobs.narrow_train_predict(*args, n_estimators=3, hot_rows=1, broadcast_bytes=0).collect()}
     assert a == b and len(a) == 3
+
+
+def test_wide_network_jobs(spark, tmpdir_path):
+    nn_dir = os.path.join(tmpdir_path, "nn_wide")
+    hist = jobs.mlp_train_wide(spark, DATA, os.path.join(DATA, "train.csv"), nn_dir,
+                               val_csv=os.path.join(DATA, "val.csv"), epochs=2, hidden=(8, 4, 1))
+    assert [h[0] for h in hist] == [1, 2] and all(h[2] is not None for h in hist)
+    pred = jobs.mlp_score_wide(spark, DATA, os.path.join(DATA, "val.csv"), nn_dir,
+                               os.path.join(tmpdir_path, "nn_wide_pred"))
+    assert pred.count() == 3
