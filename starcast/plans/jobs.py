@@ -175,13 +175,16 @@ def mlp_train(spark, folder, train_csv, model_dir, *, val_csv: str | None = None
     """Fit the 31-feature network (scaled with training min/max); saves the
     weights and the scaler as Parquet under ``model_dir``. Returns the
     per-epoch loss rows."""
-    train_m, _ = narrow_matrices(spark, folder, train_csv, val_csv or train_csv, hot_rows=hot_rows)
+    bfeat, bbytes, ufeat, ubytes = _tables(spark, folder, "zero")   # once, for both matrices
+
+    def labelled(csv):
+        pairs, hot = _hot(read_ratings_ordered(spark, csv), hot_rows, [bbytes, ubytes])
+        return ft.rating_features(pairs, bfeat, ufeat, keep=["stars"], hot=hot, bfeat_bytes=bbytes,
+                                  ufeat_bytes=ubytes)
+    train_m = labelled(train_csv)
     stats = sc.minmax_fit(train_m, ft.FEW_FEATURES)
     train = _few_vector(sc.minmax_scale(train_m, ft.FEW_FEATURES, stats))
-    val = None
-    if val_csv:
-        val_m, _ = narrow_matrices(spark, folder, val_csv, val_csv, hot_rows=hot_rows)
-        val = _few_vector(sc.minmax_scale(val_m, ft.FEW_FEATURES, stats))
+    val = _few_vector(sc.minmax_scale(labelled(val_csv), ft.FEW_FEATURES, stats)) if val_csv else None
     flat, hist = nn.fit_mlp(train, list(layers), epochs=epochs, validation=val, seed=seed)
     save_weights(spark, flat, layers, stats, model_dir)
     return hist
