@@ -759,8 +759,9 @@ def wide_score_tables(spark, d, model_dir, output_csv):
     model = GBTRegressionModel.load(f"{model_dir}/model")
     index = spark.read.parquet(f"{model_dir}/vocabulary")
     defaults = wd.slot_defaults(index, wd.MISSING_SENTINEL)
+    long = write_table(wide_long(spark, d), "wide-long")  # name check + vectors read it
     b, u, rows, more = matrix_tables(
-        spark, d, fill="null", extra={"bvec": wd.business_vectors(wide_long(spark, d), index, defaults=defaults)})
+        spark, d, fill="null", extra={"bvec": wd.business_vectors(long, index, defaults=defaults)})
     bvec = more["bvec"][0]
     pairs = tb.raw_split(spark, d, validation=True).select(*ft.PAIR_KEYS).distinct()
     m = wd.wide_matrix(pairs, bvec, b, u, defaults, bvec_bytes=wd.vectors_bytes(bvec),

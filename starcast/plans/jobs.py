@@ -112,6 +112,8 @@ def discover_vocabulary(spark, business_json, out_dir=None):
 def _wide_tables(spark, folder, index, missing, handle_unknown):
     e = read_entities(spark, folder)
     long = vb.wide_features_long(e["business"])
+    if handle_unknown == "error":  # read by the name check and by the vectors: write once
+        long = write_table(long, "wide-long")
     defaults = wd.slot_defaults(index, missing)
     done = materialize_all({
         "bvec": wd.business_vectors(long, index, missing=missing, handle_unknown=handle_unknown,
