@@ -1,6 +1,7 @@
 """Model invariants (rows-only keys): shapes, ranges, determinism, learning."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
@@ -96,6 +97,26 @@ def test_mlp_fit_reduces_loss(spark, signal):
     assert pred.count() == 1500
 
 
+def test_mlp_fit_reproducible_over_shuffled_partitions(spark, signal, monkeypatch):
+    # Four training partitions filled by a shuffle over one stored table:
+    # rows arrive in fetch order and partition models in any order; the
+    # content-hash sort and the key-ordered sum make the fit bit-identical.
+    from starcast.operators.joins import write_table
+
+    monkeypatch.setattr(nn, "MIN_PARTITION_ROWS", 100)
+    vec = write_table(signal.select("stars", array_to_vector(F.array(*ft.FEW_FEATURES)).alias("features")),
+                      "mlp-repeat")
+    runs = [nn.fit_mlp(vec, nn.FEW_LAYERS, epochs=2, seed=5, partitions=4, materialize=False)
+            for _ in range(2)]
+    assert np.array_equal(runs[0][0], runs[1][0]) and runs[0][1] == runs[1][1]
+
+
+def test_chunk_size_bounds_summing_group():
+    assert nn.chunk_size(8) == nn.CHUNK
+    assert nn.chunk_size(1000) * 1000 <= nn.GROUP_WEIGHTS
+    assert nn.chunk_size(10 ** 6) == 1024
+
+
 def test_score_partitions_linear(spark, signal):
     w = [0.1] * 31
     out = scr.score_partitions(signal, scr.LinearModel(w, 1.0), ft.FEW_FEATURES).collect()
@@ -125,3 +146,12 @@ def test_mlp_in_task_scaling_equals_column_scaling(spark, signal):
     b = {(r.user_id, r.business_id): r.prediction
          for r in nn.score_mlp(vec, flat, nn.FEW_LAYERS, scale=stats).collect()}
     assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-9 for k in a)
+
+
+def test_dense_batch_from_mixed_sparse_and_dense_vectors():
+    # Arrow struct form of ML vectors; dense rows carry a null size, which
+    # pandas turns into a float column.
+    col = pd.Series([{"type": 0, "size": 4.0, "indices": [1.0, 3.0], "values": [2.0, 5.0]},
+                     {"type": 1, "size": None, "indices": None, "values": [1.0, 0.0, 0.0, 7.0]}])
+    x = nn._matrix(col)
+    assert x.tolist() == [[0.0, 2.0, 0.0, 5.0], [1.0, 0.0, 0.0, 7.0]]
