@@ -155,3 +155,15 @@ def test_dense_batch_from_mixed_sparse_and_dense_vectors():
                      {"type": 1, "size": None, "indices": None, "values": [1.0, 0.0, 0.0, 7.0]}])
     x = nn._matrix(col)
     assert x.tolist() == [[0.0, 2.0, 0.0, 5.0], [1.0, 0.0, 0.0, 7.0]]
+
+
+def test_weight_sum_ignores_arrival_order():
+    rng = np.random.default_rng(7)
+    pdf = pd.DataFrame({"key": rng.integers(0, 1 << 31, 50), "chunk": np.zeros(50, dtype=np.int32),
+                        "w": [list(rng.normal(0, 1e3, 64) * 10.0 ** rng.integers(-8, 8)) for _ in range(50)],
+                        "n": rng.integers(1, 100, 50), "loss": rng.uniform(0, 1, 50)})
+    outs = [nn._sum_in_key_order(pdf.sample(frac=1.0, random_state=s).reset_index(drop=True))
+            for s in range(4)]
+    for o in outs[1:]:
+        assert o["w"].iloc[0] == outs[0]["w"].iloc[0] and o["loss"].iloc[0] == outs[0]["loss"].iloc[0]
+    assert int(outs[0]["n"].iloc[0]) == int(pdf["n"].sum())
