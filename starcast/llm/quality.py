@@ -5,8 +5,8 @@ continuation counts and context sums are tables keyed by the n-gram and
 joined by it, so the model is spread over the cluster like any table. Each
 chunk of documents asks for its distinct n-grams once and scores its
 documents from the joined answers. A document is kept if its perplexity
-lies within quantiles of its language, taken over trusted documents that
-the model was not trained on.
+stays under a high quantile of its language, taken over trusted documents
+that the model was not trained on.
 """
 
 from __future__ import annotations
@@ -26,8 +26,9 @@ CHAR_BITS = 12
 SYMBOLS = 1 << CHAR_BITS
 START, STOP = 2, 3
 CALIBRATE_FOLDS = 5
-LOW, HIGH = 0.005, 0.985
+HIGH = 0.985
 MARGIN = 0.05
+PSEUDO_CHARS = 50
 MIN_CALIBRATION = 30
 BROADCAST_IDS = 1_000_000
 
@@ -175,7 +176,7 @@ def log_probabilities(asked: DataFrame, trusted: DataFrame) -> DataFrame:
 
 def perplexities(docs: DataFrame, trusted_ids: DataFrame, *, chunk_rows: int = CHUNK_ROWS,
                  broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
-    """``(row, doc_id, lang, calibrates, perplexity)`` of every row, under the
+    """``(row, doc_id, lang, calibrates, n, perplexity)`` of every row, under the
     model of the rows whose id is in ``trusted_ids(doc_id)`` and outside the
     calibration fold; ``calibrates`` marks trusted rows of that fold.
     ``row`` is ``common.row_key``. The perplexity is per character, the end
@@ -198,47 +199,51 @@ def perplexities(docs: DataFrame, trusted_ids: DataFrame, *, chunk_rows: int = C
     def scored(key, rows: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
         order = np.argsort(got["gram"].to_numpy(), kind="stable")
         known, logp = got["gram"].to_numpy()[order], got["logp"].to_numpy()[order]
-        out = []
+        out, size = [], rows["text"].str.len().to_numpy(dtype=np.int64) + 1
         for part in _batched(rows["text"]):
             keys, n = grams(part)
             each = logp[np.searchsorted(known, keys)]
             out.append(np.add.reduceat(each, np.concatenate([[0], np.cumsum(n)[:-1]])) / n)
         return pd.DataFrame({"row": rows["row"].to_numpy(), "doc_id": rows["doc_id"].to_numpy(),
-                             "lang": rows["lang"].to_numpy(),
+                             "lang": rows["lang"].to_numpy(), "n": size,
                              "perplexity": np.exp(-np.concatenate(out)) if out else np.zeros(0)})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     result = (chunked.groupBy("chunk").cogroup(answers.groupBy("chunk"))
-              .applyInPandas(scored, f"row bigint, doc_id {kind}, lang string, perplexity double"))
+              .applyInPandas(scored, f"row bigint, doc_id {kind}, lang string, n bigint, perplexity double"))
     result = write_table(result, "kn-perplexity")
     marked = result.join(ids, F.col("doc_id") == F.col("_t"), "left")
-    return marked.select("row", "doc_id", "lang", (F.col("_t").isNotNull() & fold).alias("calibrates"), "perplexity")
+    return marked.select("row", "doc_id", "lang", (F.col("_t").isNotNull() & fold).alias("calibrates"), "n", "perplexity")
 
 
-def judge(docs: DataFrame, trusted_ids: DataFrame, *, low: float = LOW, high: float = HIGH,
-          margin: float = MARGIN, chunk_rows: int = CHUNK_ROWS, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
-    """``(row, doc_id, lang, perplexity, low, high, keep)`` of every row.
+def judge(docs: DataFrame, trusted_ids: DataFrame, *, high: float = HIGH, margin: float = MARGIN,
+          pseudo_chars: int = PSEUDO_CHARS, chunk_rows: int = CHUNK_ROWS,
+          broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
+    """``(row, doc_id, lang, perplexity, judged, high, keep)`` of every row.
 
-    A row is kept if its perplexity lies between its language's ``low`` and
-    ``high`` quantiles of the calibration rows, widened by ``margin`` (a
-    share). A language (null included) with fewer than ``MIN_CALIBRATION``
-    calibration rows takes the quantiles over all; without any, every row
-    is kept. Null text counts as empty; empty and whole long texts are
-    scored alike by the average over their characters. Repeated rows get equal
+    A short text's average says little, so ``judged`` mixes
+    ``pseudo_chars`` characters of the calibration rows' median into the
+    perplexity. A row is kept if that is at most its language's ``high``
+    quantile over the calibration rows, widened by ``margin`` (a share). A
+    language (null included) with fewer than ``MIN_CALIBRATION`` calibration
+    rows takes the quantile over all; without any, every row is kept. Null
+    text counts as empty; long texts are read whole. Repeated rows get equal
     results. Empty table: no rows."""
     scored = write_table(perplexities(docs, trusted_ids, chunk_rows=chunk_rows, broadcast_ids=broadcast_ids),
                          "kn-scored")
     basis = scored.where("calibrates")
-    cuts = [F.count(F.lit(1)).alias("n"), F.percentile_approx("perplexity", [low, high], 10000).alias("q")]
-    by_lang = basis.groupBy(F.col("lang").alias("l")).agg(*cuts).where(F.col("n") >= MIN_CALIBRATION)
-    overall = basis.agg(*cuts).first()["q"] or [0.0, float("inf")]
-    bounds = write_table(by_lang.select("l", F.col("q")[0].alias("ql"), F.col("q")[1].alias("qh")), "kn-bounds")
+    middle = basis.agg(F.percentile_approx("perplexity", 0.5, 10000).alias("m")).first()["m"] or 1.0
+    mixed = F.exp((F.col("n") * F.log("perplexity") + F.lit(pseudo_chars * float(np.log(middle))))
+                  / (F.col("n") + pseudo_chars))
+    scored, basis = scored.withColumn("judged", mixed), basis.withColumn("judged", mixed)
+    cuts = [F.count(F.lit(1)).alias("m"), F.percentile_approx("judged", high, 10000).alias("q")]
+    overall = basis.agg(*cuts).first()["q"] or float("inf")
+    bounds = write_table(basis.groupBy(F.col("lang").alias("l")).agg(*cuts).where(F.col("m") >= MIN_CALIBRATION)
+                         .select("l", "q"), "kn-bounds")
     joined = scored.join(bounds, F.col("lang").eqNullSafe(F.col("l")), "left")
-    lower = F.coalesce("ql", F.lit(float(overall[0]))) * (1 - margin)
-    upper = F.coalesce("qh", F.lit(float(overall[1]))) * (1 + margin)
-    return (joined.withColumn("low", lower).withColumn("high", upper)
-            .withColumn("keep", F.col("perplexity").between(F.col("low"), F.col("high")))
-            .select("row", "doc_id", "lang", "perplexity", "low", "high", "keep"))
+    return (joined.withColumn("high", F.coalesce("q", F.lit(float(overall))) * (1 + margin))
+            .withColumn("keep", F.col("judged") <= F.col("high"))
+            .select("row", "doc_id", "lang", "perplexity", "judged", "high", "keep"))
 
 
 def keep_good(docs: DataFrame, trusted_ids: DataFrame, **options) -> DataFrame:

@@ -29,7 +29,7 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.judge(table(spark, sf_dir, "documents"), trusted_ids(spark, sf_dir))
-    return found.select("doc_id", "lang", "perplexity", "low", "high", "keep")
+    return found.select("doc_id", "lang", "perplexity", "judged", "high", "keep")
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
