@@ -110,7 +110,7 @@ def choose_m(n: int, tau: int) -> int:
         widths = [BITS // m + (i < BITS % m) for i in range(m)]
         return sum(ball(w, t) * (1 + n / 2 ** w) for w, t in zip(widths, per))
 
-    return min(range(1, tau + 2), key=cost)
+    return min(range(2, max(2, tau + 1) + 1), key=cost)
 
 
 def masks(width: int, radius: int) -> np.ndarray:

