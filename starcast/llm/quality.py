@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starcast.llm.common import crc_mod, row_key, write_table
+from starcast.session import scratch_path
 
 ORDER = 5
 CHUNK_ROWS = 8192
@@ -125,7 +126,7 @@ def pack_rows(chunked: DataFrame, block_rows: int = 512) -> DataFrame:
     """``(chunk, block)``: the rows of a chunk as compressed Arrow blocks,
     about half the bytes of plain rows in the shuffle that follows."""
     def run(batches):
-        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6))
         for batch in batches:
             chunks = batch.column(batch.num_columns - 1).to_numpy()
             edges = np.flatnonzero(np.diff(chunks)) + 1
@@ -192,7 +193,7 @@ def log_probabilities(asked: DataFrame, trusted: DataFrame) -> DataFrame:
         seen = F.when(F.col("n").isNull(), 0.0).otherwise(F.col("n") - off)
         p = F.when(F.col("total").isNull(), below).otherwise((seen + F.col("taken") * below) / F.col("total"))
         lower = write_table(rows.select("gram", p.alias("p")), "kn-p")
-    return lower.select("gram", F.log("p").alias("logp"))
+    return lower.select("gram", F.log("p").cast("float").alias("logp"))
 
 
 def perplexities(docs: DataFrame, trusted_ids: DataFrame, *, chunk_rows: int = CHUNK_ROWS,
@@ -212,7 +213,9 @@ def perplexities(docs: DataFrame, trusted_ids: DataFrame, *, chunk_rows: int = C
         flagged = (chunked.join(ids, F.col("doc_id") == F.col("_t"), "left")
                    .repartition("chunk").sortWithinPartitions("chunk"))
     flagged = flagged.withColumn("train", F.col("_t").isNotNull() & ~fold)
-    found = write_table(chunk_grams(flagged), "kn-grams")
+    at = scratch_path(docs.sparkSession, "kn-grams")
+    chunk_grams(flagged).write.option("compression", "zstd").parquet(at)
+    found = docs.sparkSession.read.parquet(at)
     totals = write_table(found.groupBy("gram").agg(F.sum("n").alias("n")), "kn-counts")
     answers = found.select("chunk", "gram").join(
         log_probabilities(totals.select("gram"), totals.where("n > 0")), "gram")
@@ -220,7 +223,7 @@ def perplexities(docs: DataFrame, trusted_ids: DataFrame, *, chunk_rows: int = C
     def scored(key, packed: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
         rows = pd.concat([pa.ipc.open_stream(b).read_all().to_pandas() for b in packed["block"]], ignore_index=True)
         order = np.argsort(got["gram"].to_numpy(), kind="stable")
-        known, logp = got["gram"].to_numpy()[order], got["logp"].to_numpy()[order]
+        known, logp = got["gram"].to_numpy()[order], got["logp"].to_numpy(dtype=np.float64)[order]
         out, size = [], rows["text"].str.len().to_numpy(dtype=np.int64) + 1
         for part in _batched(rows["text"]):
             keys, n = grams(part)
