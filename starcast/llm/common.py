@@ -30,39 +30,74 @@ def row_key(id_col, text_col):
     return F.xxhash64(F.lit(7), id_col, text_col)
 
 
-def components(edges: DataFrame, u: str = "u", v: str = "v", max_rounds: int = 60) -> DataFrame:
-    """Connected components of an undirected edge table.
-
-    Alternating large-star / small-star: every round points each node at
-    the smallest neighbour it knows, until the edges form stars. Each half
-    round is two partial aggregations and a shuffle join against a written
-    table, so a hub's rows can be split by the skew-join rule, and lineage
-    is cut by tables in the shared folder. Returns ``(node, component)``
-    for every node with an edge to another node; ``component`` is the
-    smallest node reachable. Self-loops and null ends are ignored; an empty
-    edge table gives an empty result.
+# Edges that one task joins up in memory (about 100 MB of Python objects).
+TASK_EDGES = 500_000
+
+
+def _forest(edges: DataFrame, tasks: int) -> DataFrame:
+    """Every task joins up its own edges and returns ``(u, v)`` with v the
+    least node it can reach from u: at most one edge per node and task."""
+    import pyarrow as pa
+
+    def run(batches):
+        root: dict[int, int] = {}
+
+        def find(x):
+            top = x
+            while root[top] != top:
+                top = root[top]
+            while root[x] != top:
+                root[x], x = top, root[x]
+            return top
+
+        for batch in batches:
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                root.setdefault(a, a)
+                root.setdefault(b, b)
+                x, y = find(a), find(b)
+                if x != y:
+                    root[max(x, y)] = min(x, y)
+        nodes = [x for x in root if root[x] != x]
+        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([find(x) for x in nodes], pa.int64())],
+                                         names=["u", "v"])
+
+    return edges.coalesce(tasks).mapInArrow(run, "u bigint, v bigint")
+
+
+def components(edges: DataFrame, u: str = "u", v: str = "v", max_rounds: int = 60,
+               task_edges: int = TASK_EDGES) -> DataFrame:
+    """Connected components of an undirected edge table of long ids.
+
+    Tasks of at most about ``task_edges`` edges join up their own edges.
+    While that takes more than one task, a round of large-star / small-star
+    points each node at the smallest neighbour it knows, until the edges
+    form stars. A half round is a partial aggregation and a shuffle join
+    against a written table, so a hub's rows can be split by the skew-join
+    rule; lineage is cut by tables in the shared folder. Returns
+    ``(node, component)`` for every node with an edge to another node;
+    ``component`` is the smallest node reachable. Self-loops and null ends
+    are ignored; an empty edge table gives an empty result.
     """
-    spark = edges.sparkSession
-    cur = (edges.where(F.col(u) != F.col(v))
-           .select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).distinct())
-    cur = write_table(cur, "cc-edges")
-    mark = _mark(cur)
+    cur = write_table(edges.where(F.col(u) != F.col(v))
+                      .select(F.greatest(u, v).cast("bigint").alias("u"), F.least(u, v).cast("bigint").alias("v")), "cc-edges")
+    mark = None
     for _ in range(max_rounds):
-        if mark[0] == 0:
+        count = cur.count()
+        tasks = max(1, -(-count // task_edges))
+        cur = write_table(_forest(cur, tasks), "cc-forest")
+        if tasks == 1:
             break
         both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = write_table(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), "cc-min")
-        large = (both.where(F.col("v") > F.col("u")).join(least, "u")
-                 .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        large = write_table(large, "cc-large")
+        large = write_table(both.where(F.col("v") > F.col("u")).join(least, "u")
+                            .select(F.col("v").alias("u"), F.col("m").alias("v")), "cc-large")
         least = write_table(large.groupBy("u").agg(F.min("v").alias("m")), "cc-min")
         small = (large.join(least, "u").where(F.col("v") != F.col("m"))
                  .select(F.col("v").alias("u"), F.col("m").alias("v")))
         cur = write_table(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "cc-edges")
-        after = _mark(cur)
-        if after == mark:
+        before, mark = mark, _mark(cur)
+        if before == mark:
             break
-        mark = after
     else:
         raise RuntimeError("components did not converge")
     roots = cur.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()

@@ -62,11 +62,12 @@ def key(r):
     return (r[0] is None, r[0] or 0, *map(str, r[1:]))
 
 
-def test_components(spark):
+@pytest.mark.parametrize("task_edges", [1000, 30])
+def test_components(spark, task_edges):
     rng = random.Random(3)
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 160)] + [(rng.randint(200, 260), rng.randint(200, 260)) for _ in range(40)]
     edges += [(5, 5), edges[0], (None, 3)]
-    got = dict((r[0], r[1]) for r in components(spark.createDataFrame(edges, "u bigint, v bigint")).collect())
+    got = dict((r[0], r[1]) for r in components(spark.createDataFrame(edges, "u bigint, v bigint").repartition(8), task_edges=task_edges).collect())
     root = {x: x for e in edges for x in e if x is not None}
 
     def find(x):
@@ -78,6 +79,7 @@ def test_components(spark):
             root[max(x, y)] = min(x, y)
     want = {x: find(x) for e in edges if e[0] is not None and e[0] != e[1] for x in e}
     assert got == want
+    assert components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
 
 
 def test_simhash(docs, rows, none):
