@@ -23,13 +23,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starcast.functions import scalars as fn
+from starcast.operators.joins import write_table
 from starcast.schemas import BUSINESS_DENYLIST, BUSINESS_MAPS
 
 KINDS = ("category", "attribute", "hours", "scalar")
 DISCOVERY_DENYLIST = BUSINESS_DENYLIST + BUSINESS_MAPS
-# Upper bound on the vocabulary: the names reach the driver and are
-# broadcast to every task; a larger vocabulary is an error.
-MAX_FEATURES = 100_000
 
 
 def _entry(feature: Column, kind: str, raw: Column, value: Column) -> Column:
@@ -100,19 +98,21 @@ def feature_values(long: DataFrame) -> DataFrame:
             .select("feature", "raw", "value").distinct())
 
 
-def feature_index(vocabulary: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
+def feature_index(vocabulary: DataFrame) -> DataFrame:
     """Dense index 0..n-1 in code-point order of the names.
 
-    The vocabulary size is checked first (a count; more than
-    ``max_features`` names is an error), then the sorted names are fetched
-    and the index table is built from them: the vocabulary is the model's
-    schema, needed on the driver for the vector width and slot defaults.
+    Names are sorted by range partitions; a name's index is its row number
+    in its partition plus the rows of the partitions before it. Only one
+    count per partition reaches the driver.
     """
-    names = vocabulary.select("feature", "kind")
-    n = names.count()
-    if n > max_features:
-        raise ValueError(f"vocabulary has {n} names, more than max_features={max_features}")
-    rows = names.orderBy("feature").collect()
-    spark = vocabulary.sparkSession
-    return spark.createDataFrame([(r.feature, r.kind, i) for i, r in enumerate(rows)],
-                                 "feature string, kind string, idx int")
+    placed = write_table(vocabulary.select("feature", "kind").repartitionByRange("feature")
+                         .sortWithinPartitions("feature").withColumn("_at", F.monotonically_increasing_id()),
+                         "feature-index")
+    part = F.shiftright("_at", 33)
+    before, starts = 0, []
+    for r in placed.groupBy(part.alias("part")).count().orderBy("part").collect():
+        starts.append((r["part"], before))
+        before += r["count"]
+    starts = vocabulary.sparkSession.createDataFrame(starts, "_part bigint, _start bigint")
+    return (placed.join(F.broadcast(starts), part == F.col("_part"))
+            .select("feature", "kind", (F.col("_start") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))).cast("int").alias("idx")))

@@ -739,32 +739,3 @@ def q_wide_matrix_shape(spark, d):
     train, _ = wide_matrices(spark, d)
     return train.agg(F.count(F.lit(1)).alias("n_rows"),
                      F.max(F.size(vector_to_array(F.col("features")))).alias("n_columns"))
-
-
-# ------------------------------------------- end-to-end wide job on tables
-def wide_fit_tables(spark, d, model_dir, n_estimators=QUERY_WIDE_TREES):
-    """Fit the wide model on the training split; save model + vocabulary."""
-    train, _, index = wide_matrices(spark, d, with_index=True)
-    model = tr.fit(tr.gbt(tr.WIDE_TREE_PARAMS, n_estimators=n_estimators), train)
-    model.write().overwrite().save(f"{model_dir}/model")
-    index.write.mode("overwrite").parquet(f"{model_dir}/vocabulary")
-    return model
-
-
-def wide_score_tables(spark, d, model_dir, output_csv):
-    """The scoring job: load model and vocabulary, build the wide matrix of
-    the validation pairs, score on the executors, clip, write CSV."""
-    from pyspark.ml.regression import GBTRegressionModel
-
-    model = GBTRegressionModel.load(f"{model_dir}/model")
-    index = spark.read.parquet(f"{model_dir}/vocabulary")
-    defaults = wd.slot_defaults(index, wd.MISSING_SENTINEL)
-    long = write_table(wide_long(spark, d), "wide-long")  # name check + vectors read it
-    b, u, rows, more = matrix_tables(
-        spark, d, fill="null", extra={"bvec": wd.business_vectors(long, index, defaults=defaults)})
-    bvec = more["bvec"][0]
-    pairs = tb.raw_split(spark, d, validation=True).select(*ft.PAIR_KEYS).distinct()
-    m = wd.wide_matrix(pairs, bvec, b, u, defaults, bvec_bytes=wd.vectors_bytes(bvec),
-                       ufeat_bytes=rows["ufeat_bytes"],
-                       bcounts_bytes=rows["bfeat_bytes"])
-    return fl.write_predictions_csv(tr.predict_clip(model, m), output_csv)

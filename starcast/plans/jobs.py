@@ -43,10 +43,18 @@ def read_entities(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {e: fl.read_json_lines(spark, f"{base}/{e}.json", e) for e in ENTITIES}
 
 
+def _position():
+    """Place of a row in the input: file, start of its block in the file,
+    then row order inside the block (blocks are packed into tasks by size,
+    so the row number alone does not follow the files)."""
+    return F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("row"))
+
+
 def read_ratings_ordered(spark: SparkSession, path: str) -> DataFrame:
     """Ratings with ``order_key`` = position in the input (later lines
     win on duplicate pairs), then deduplicated."""
-    raw = fl.read_ratings_csv(spark, path).withColumn("order_key", F.monotonically_increasing_id())
+    raw = fl.read_ratings_csv(spark, path).withColumn("order_key", _position())
     return ft.dedupe_last(raw)
 
 
@@ -267,5 +275,5 @@ def evaluate(spark, truth_csv, predictions_csv):
     """``(rmse_row, error_distribution, missing_pairs)`` DataFrames."""
     truth = read_ratings_ordered(spark, truth_csv)
     pred = ft.dedupe_last(fl.read_predictions_csv(spark, predictions_csv)
-                          .withColumn("order_key", F.monotonically_increasing_id()), value="prediction")
+                          .withColumn("order_key", _position()), value="prediction")
     return ev.rmse(truth, pred), ev.error_distribution(truth, pred), ev.missing_predictions(truth, pred)

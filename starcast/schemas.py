@@ -42,6 +42,4 @@ ENTITY_SCHEMAS = {
 
 # Keys of a business record that never become features (fixed values).
 BUSINESS_DENYLIST = ["business_id", "name", "neighborhood", "address", "city", "postal_code"]
-# Scalar business fields that become features under their own name.
-BUSINESS_SCALARS = ["is_open", "latitude", "longitude", "review_count", "stars", "state"]
 BUSINESS_MAPS = ["attributes", "hours"]

@@ -7,6 +7,7 @@ reads its settings. ``build_session`` is for local runs (tests, bench).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -26,12 +27,13 @@ SESSION_DEFAULTS = {
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "starcast", extra: dict | None = None) -> SparkSession:
-    """Local session for tests and benchmarks (UI off, UTC, AQE on)."""
+    """Local session for tests and benchmarks (UI off, UTC, AQE on, half of
+    the machine's memory)."""
     cpus = os.environ.get("BENCH_CPUS", "8")
     builder = SparkSession.builder.master(master or f"local[{cpus}]").appName(app_name)
     conf = dict(SESSION_DEFAULTS)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
-    conf["spark.driver.memory"] = "16g"
+    conf["spark.driver.memory"] = f"{max(1, os.sysconf('SC_PAGE_SIZE') * os.sysconf('SC_PHYS_PAGES') // 2 ** 31)}g"
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -64,7 +66,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) "
                            "before running starcast jobs on a cluster")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="starcast-ckpt-"))

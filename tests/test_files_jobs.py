@@ -89,8 +89,19 @@ def test_feature_index_dense(spark, ents):
     idx = vb.feature_index(vb.feature_vocabulary(long)).orderBy("idx").collect()
     assert [r.idx for r in idx] == list(range(len(idx)))
     assert [r.feature for r in idx] == sorted(r.feature for r in idx)
-    with pytest.raises(ValueError):
-        vb.feature_index(vb.feature_vocabulary(long), max_features=3)
+    many = spark.range(5000).select(F.concat(F.lit("f"), F.col("id")).alias("feature"), F.lit("scalar").alias("kind"))
+    rows = vb.feature_index(many.repartition(7)).orderBy("idx").collect()
+    assert [(r.idx, r.feature) for r in rows] == list(enumerate(sorted(f"f{i}" for i in range(5000))))
+
+
+def test_later_file_wins_whatever_its_size(spark, tmpdir_path):
+    folder = os.path.join(tmpdir_path, "ratings")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "a.csv"), "w") as f:
+        f.write("user_id,business_id,stars\nu,b,1.0\n")
+    with open(os.path.join(folder, "b.csv"), "w") as f:
+        f.write("user_id,business_id,stars\n" + "".join(f"u{i},b{i},3.0\n" for i in range(500)) + "u,b,4.0\nu,b,5.0\n")
+    assert jobs.read_ratings_ordered(spark, folder).where("user_id = 'u'").first().stars == 5.0
 
 
 def test_wide_vectors_defaults_and_unknown(spark, ents):
