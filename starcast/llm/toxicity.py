@@ -5,7 +5,9 @@ toxic share among labelled rows as class prior). The risk estimator takes
 the prior-corrected loss of the unlabelled part as the negative class's
 loss; when a batch drives that part below zero, the step ascends it
 instead, so the classifier cannot memorize the positives. The classifier
-is linear over the distinct words of a text and their prefixes (hashed),
+is linear over the presence of words and their prefixes (hashed). Only
+those significantly more frequent in the positives than in the unlabelled
+sample have weights, so a long text's many neutral words add no noise. It is
 fitted in numpy on a bounded sample; every whole text is scored on the
 executors.
 """
@@ -27,6 +29,7 @@ BUCKETS = 1 << 18
 MAX_POSITIVE = 4000
 MAX_UNLABELLED = 8000
 MIN_DOCS = 4
+MIN_Z = 4.0  # two-proportion z score of a bucket's share of the positives over that of the unlabelled
 PREFIXES = (4, 5, 6, 7)
 THRESHOLD = 0.3
 FOLDS, HELD_FOLD = 4, 2
@@ -45,7 +48,8 @@ def words(text: str) -> set[str]:
 
 
 def features(text: str) -> np.ndarray:
-    return np.array([b for w in words(text) for b in buckets(w)], dtype=np.int32)
+    """Distinct buckets of a text's words, sorted."""
+    return np.array(sorted({b for w in words(text) for b in buckets(w)}), dtype=np.int32)
 
 
 def _sample_features(rows: DataFrame) -> list[np.ndarray]:
@@ -66,18 +70,26 @@ def _sigmoid(z):
     return 1.0 / (1.0 + np.exp(-np.clip(z, -60, 60)))
 
 
-def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, *, epochs: int = 30,
-             batches: int = 12, rate: float = 0.05, decay: float = 1e-3, beta: float = 0.0, averaged: int = 10, seed: int = 5):
+def screened(pi: np.ndarray, positives: int, ui: np.ndarray, others: int, min_docs: int = MIN_DOCS,
+             min_z: float = MIN_Z) -> np.ndarray:
+    """Buckets in at least ``min_docs`` sampled documents whose share of the
+    positives exceeds that of the unlabelled by ``min_z`` standard errors."""
+    a, b = np.bincount(pi, minlength=BUCKETS), np.bincount(ui, minlength=BUCKETS)
+    share = (a + b) / (positives + others)
+    error = np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / positives + 1 / others))
+    return np.flatnonzero((a + b >= min_docs) & (a / positives - b / others > min_z * error))
+
+
+def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, *, epochs: int = 40,
+             batches: int = 12, rate: float = 0.02, decay: float = 1e-3, beta: float = 0.0, averaged: int = 10, seed: int = 5):
     """Weights and bias of a linear classifier with minimal non-negative PU
     risk ``prior * E_p[l(g)] + max(0, E_u[l(-g)] - prior * E_p[l(-g)])`` under
     the logistic loss, by Adam over shuffled batches that hold the same
     fraction of both parts; the last ``averaged`` epochs' weights are averaged.
-    Buckets with fewer than ``MIN_DOCS`` uses in
-    the sample have no weight."""
+    Buckets that ``screened`` leaves out have no weight."""
     pp, pi = _csr(positive)
     up, ui = _csr(unlabelled)
-    seen = np.bincount(pi, minlength=BUCKETS) + np.bincount(ui, minlength=BUCKETS)
-    used = np.flatnonzero(seen >= MIN_DOCS)
+    used = screened(pi, len(positive), ui, len(unlabelled))
     column = np.full(BUCKETS, -1, np.int64)
     column[used] = np.arange(len(used))
     w, b = np.zeros(len(used)), np.log(prior / (1 - prior))
@@ -172,21 +184,22 @@ def score(docs: DataFrame, model) -> DataFrame:
     score of a text without words. Repeated rows get equal scores; an empty
     table gives no rows."""
     weights, bias = model
+    weight = {int(b): float(weights[b]) for b in np.flatnonzero(weights)}
 
     def run(series):
-        cache: dict[str, float] = {}
+        cache: dict[str, tuple[int, ...]] = {}
         for texts in series:
             out = np.empty(len(texts))
             for i, text in enumerate(texts):
-                total = bias
+                found: set[int] = set()
                 for word in words(text) if text else ():
                     got = cache.get(word)
                     if got is None:
                         if len(cache) >= 500_000:
                             cache.clear()
-                        got = cache[word] = float(weights[buckets(word)].sum())
-                    total += got
-                out[i] = total
+                        got = cache[word] = tuple(b for b in buckets(word) if b in weight)
+                    found.update(got)
+                out[i] = bias + sum(weight[b] for b in sorted(found))
             yield _series(_sigmoid(out))
 
     return docs.drop("score").withColumn("score", _scorer(run)(F.col("text").cast("string")))
