@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starcast.llm.common import crc_mod
+from starcast.llm.common import crc_mod, write_table
 
 BUCKETS = 1 << 18
 # Documented bounds of the training sample (documents, by id hash).
@@ -146,29 +146,33 @@ def train(docs: DataFrame, labels: DataFrame, *, max_positive: int = MAX_POSITIV
 
     Positives are rows labelled toxic, unlabelled are all other rows (a row's
     label 0 is not used but for the prior). Both samples are bounded and
-    drawn by id hash. Without positives or unlabelled rows the model is
+    drawn by id hash; only ids are shuffled, the texts of the drawn ids are
+    found by a broadcast of those ids. Rows that repeat an id count once, with
+    the least text. Without positives or unlabelled rows the model is
     constant at the prior."""
     known = (labels.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic"))
              .where(F.col("_id").isNotNull() & F.col("toxic").isNotNull())
              .groupBy("_id").agg(F.max("toxic").alias("toxic")))
     usable = docs.select("doc_id", "text").where(
         F.col("doc_id").isNotNull() & (crc_mod(F.col("doc_id"), FOLDS) != HELD_FOLD))
-    marked = usable.join(known, usable["doc_id"] == known["_id"], "left").select("doc_id", "text", "toxic")
-    shares = (usable.select("doc_id").join(known, usable["doc_id"] == known["_id"])
-              .agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("p")).first())
-    n, p = shares["n"] or 0, shares["p"] or 0
+    ids = write_table(usable.select("doc_id").distinct().join(known, F.col("doc_id") == F.col("_id"), "left")
+                      .select("doc_id", "toxic"), "tox-ids")
+    shares = ids.agg(F.count(F.lit(1)).alias("rows"), F.count("toxic").alias("n"),
+                     F.count(F.when(F.col("toxic") == 1, 1)).alias("p")).first()
+    n, p = shares["n"], shares["p"]
     prior = min(0.9, max(1e-3, p / n)) if n else 1e-3
-    others = usable.count() - p
+    others = shares["rows"] - p
     order = F.xxhash64(F.lit(3), F.col("doc_id"))
 
     def bounded(rows, size, limit):
         if size > limit:  # a hash threshold keeps about ``limit`` rows without a global sort
             bound = int((2 ** 64 - 1) * (limit / size)) - 2 ** 63
             rows = rows.where(order <= F.lit(bound))
-        return _sample_features(rows)
+        drawn = usable.join(F.broadcast(rows.select("doc_id")), "doc_id", "left_semi")
+        return _sample_features(drawn.groupBy("doc_id").agg(F.min("text").alias("text")))
 
-    positive = bounded(marked.where("toxic = 1"), p, max_positive)
-    unlabelled = bounded(marked.where("toxic is null or toxic <> 1"), others, max_unlabelled)
+    positive = bounded(ids.where("toxic = 1"), p, max_positive)
+    unlabelled = bounded(ids.where("toxic is null or toxic <> 1"), others, max_unlabelled)
     if not positive or not unlabelled:
         return np.zeros(BUCKETS, np.float32), float(np.log(prior / (1 - prior)))
     # the positives were taken out of the unlabelled part; put their share back
