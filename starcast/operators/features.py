@@ -162,14 +162,17 @@ def rating_features(pairs: DataFrame, bfeat: DataFrame, ufeat: DataFrame, *,
 
 
 def cold_start_pairs(pairs: DataFrame, bfeat: DataFrame, ufeat: DataFrame, *,
-                     bfeat_bytes: int | None = None, ufeat_bytes: int | None = None) -> DataFrame:
+                     bfeat_bytes: int | None = None, ufeat_bytes: int | None = None,
+                     hot: dict[str, DataFrame] | None = None) -> DataFrame:
     """Pairs whose business or user has no feature row, with which side is
-    unknown (the reference fails on such pairs)."""
+    unknown (the reference fails on such pairs). ``*_bytes`` and ``hot`` as
+    in ``rating_features``."""
+    hot = hot or {}
     left = pairs.select(*PAIR_KEYS)
     b = bfeat.select("business_id", F.lit(True).alias("_b"))
     u = ufeat.select("user_id", F.lit(True).alias("_u"))
-    j = join_dimension(join_dimension(left, b, "business_id", dim_bytes=bfeat_bytes), u, "user_id",
-                       dim_bytes=ufeat_bytes)
+    j = join_dimension(left, b, "business_id", dim_bytes=bfeat_bytes, hot=hot.get("business_id"))
+    j = join_dimension(j, u, "user_id", dim_bytes=ufeat_bytes, hot=hot.get("user_id"))
     return (j.where(F.col("_b").isNull() | F.col("_u").isNull())
             .select(*PAIR_KEYS, F.col("_b").isNull().alias("unknown_business"),
                     F.col("_u").isNull().alias("unknown_user")))

@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 DEFAULT_HOT_ROWS = 1_000_000
+NULL_SALTS = 1024  # rows without a key match nothing, so any salt will do
 
 
 _FIXED = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -112,12 +113,14 @@ def hot_keys_by(fact: DataFrame, keys: list[str], hot_rows: int = DEFAULT_HOT_RO
 
 def salted_join(fact: DataFrame, dim: DataFrame, key: str, hot: DataFrame, how: str = "left") -> DataFrame:
     """Shuffle join on ``(key, salt)``: hot keys' fact rows are spread over
-    their salts, their dimension rows replicated per salt."""
+    their salts, their dimension rows replicated per salt. Rows with a null
+    key are spread too."""
     hot = F.broadcast(hot)
     others = [c for c in fact.columns if c != key]
     spread = F.xxhash64(*[F.col(c) for c in others]) if others else F.lit(0)
     fact_s = (fact.join(hot, key, "left")
-              .withColumn("_salt", F.when(F.col("_salts").isNull(), F.lit(0))
+              .withColumn("_salt", F.when(F.col(key).isNull(), F.pmod(spread, F.lit(NULL_SALTS)).cast("int"))
+                          .when(F.col("_salts").isNull(), F.lit(0))
                           .otherwise(F.pmod(spread, F.col("_salts")).cast("int")))
               .drop("_salts"))
     dim_s = (dim.join(hot, key, "left")

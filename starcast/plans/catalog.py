@@ -296,12 +296,16 @@ def q_pair_features(spark, d):
 @register("cold_start_pairs", with_ctes("""
     SELECT r.user_id, r.business_id, b.business_id IS NULL AS unknown_business,
            u.user_id IS NULL AS unknown_user
-    FROM ratings r LEFT JOIN bfeat b ON r.business_id = b.business_id
+    FROM (SELECT user_id + 11 AS user_id, business_id + 7 AS business_id FROM ratings) r
+         LEFT JOIN bfeat b ON r.business_id = b.business_id
          LEFT JOIN ufeat u ON r.user_id = u.user_id
     WHERE b.business_id IS NULL OR u.user_id IS NULL""", "ratings", "bfeat", "ufeat"))
 def q_cold_start_pairs(spark, d):
+    """The rated pairs with shifted ids, so that some have no record."""
     b, u, rows = matrix_tables(spark, d)
-    return ft.cold_start_pairs(ft.dedupe_last(tb.raw_ratings(spark, d)), b, u, **rows)
+    pairs = ft.dedupe_last(tb.raw_ratings(spark, d)).select(
+        (F.col("user_id") + 11).alias("user_id"), (F.col("business_id") + 7).alias("business_id"))
+    return ft.cold_start_pairs(pairs, b, u, **rows)
 
 
 @register("labelled_features", with_ctes("SELECT * FROM train_matrix", "train_matrix"))
@@ -548,12 +552,25 @@ def q_minmax_scale_refit(spark, d):
 
 
 # Tree counts used by the registered model queries (the library defaults are
-# the reference's 800 / 300); epochs likewise.
+# the reference's 800 / 300); epochs likewise. They are cut for running time.
 QUERY_TREES = 10
 QUERY_WIDE_TREES = 5
 QUERY_EPOCHS = 5
 QUERY_WIDE_EPOCHS = 1
 
+CTES["signal_valid"] = (["valid_matrix"], """
+    SELECT user_id, business_id, least(greatest(0.5 * b_stars + 0.3 * u_average_stars, 1.0), 5.0) AS y
+    FROM valid_matrix""")
+CTES["signal_train"] = (["train_matrix"], """
+    SELECT least(greatest(0.5 * b_stars + 0.3 * u_average_stars, 1.0), 5.0) AS y FROM train_matrix""")
+
+# Fits are checked by what must hold of any sound one: every pair scored,
+# within the range, closer to the label than the training mean is.
+MODEL_SQL = with_ctes("""
+    SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_out_of_range,
+           round(sqrt(avg(power(y - m, 2))), 6) AS mean_rmse, true AS beats_mean
+    FROM signal_valid, (SELECT avg(y) AS m FROM signal_train)""", "signal_valid", "signal_train")
+
 CTES["valid_scaled"] = (["valid_matrix", "train_matrix"], _minmax_sql("valid_matrix", "train_matrix"))
 
 
@@ -622,6 +639,41 @@ def few_model_inputs(spark, d):
     return few_matrices(spark, d)
 
 
+def signal(b_stars, u_average_stars):
+    """Label of the model queries: a function of two features, so that a fit
+    has something to learn (the tables' own stars are noise)."""
+    return fn.clip_rating(F.lit(0.5) * b_stars + F.lit(0.3) * u_average_stars)
+
+
+def signal_matrices(spark, d):
+    """Train and validation matrices with the signal label, written."""
+    label = signal(F.col("b_stars"), F.col("u_average_stars"))
+    return [write_table(m.withColumn("stars", label), "signal-matrix") for m in few_matrices(spark, d)]
+
+
+def signal_wide_matrices(spark, d, missing=wd.MISSING_SENTINEL):
+    """The wide matrices with the signal label, written."""
+    b = tb.business(spark, d).select("business_id", F.col("stars").alias("_b"))
+    u = tb.user(spark, d).select("user_id", F.col("average_stars").alias("_u"))
+    out = []
+    for m in wide_matrices(spark, d, missing=missing):
+        m = m.drop("stars").join(b, "business_id", "left").join(u, "user_id", "left")
+        label = signal(F.coalesce("_b", F.lit(0.0)), F.coalesce("_u", F.lit(0.0)))
+        out.append(write_table(m.withColumn("stars", label).select(*ft.PAIR_KEYS, "stars", "features"), "signal-wide"))
+    return out
+
+
+def model_summary(predictions, train, valid):
+    """One row of invariants of a fit (see ``MODEL_SQL``)."""
+    mean = train.agg(F.avg("stars")).first()[0]
+    rows = valid.select(*ft.PAIR_KEYS, "stars").join(predictions.select(*ft.PAIR_KEYS, "prediction"), ft.PAIR_KEYS)
+    base = F.sqrt(F.avg(F.pow(F.col("stars") - F.lit(mean), 2)))
+    fitted = F.sqrt(F.avg(F.pow(F.col("stars") - F.col("prediction"), 2)))
+    return rows.agg(F.count("prediction").alias("n_rows"),
+                    F.count(F.when(~F.col("prediction").between(1.0, 5.0), 1)).alias("n_out_of_range"),
+                    F.round(base, 6).alias("mean_rmse"), (fitted < base).alias("beats_mean"))
+
+
 def _vector_shape(df, col="features"):
     """Per row: vector width and number of non-zero slots."""
     from pyspark.ml.functions import vector_to_array
@@ -642,77 +694,97 @@ def q_assemble_few(spark, d):
     return _vector_shape(VectorAssembler(inputCols=ft.FEW_FEATURES, outputCol="features").transform(train))
 
 
-@register("gbt_few")
+def _few_trees(spark, d):
+    train, valid = signal_matrices(spark, d)
+    return tr.fit(tr.few_pipeline(n_estimators=QUERY_TREES), train, materialize_input=False), train, valid
+
+
+@register("gbt_few", MODEL_SQL)
 def q_gbt_few(spark, d):
-    train, valid = few_model_inputs(spark, d)
-    model = tr.fit(tr.few_pipeline(n_estimators=QUERY_TREES), train)
-    return tr.predict_clip(model, valid)
+    model, train, valid = _few_trees(spark, d)
+    return model_summary(tr.predict_clip(model, valid), train, valid)
 
 
-@register("predict_clip")
+@register("predict_clip", with_ctes("""
+    SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_wrong FROM valid""", "valid"))
 def q_predict_clip(spark, d):
-    train, _ = few_model_inputs(spark, d)
-    model = tr.fit(tr.few_pipeline(n_estimators=QUERY_TREES), train)
-    pairs = tb.raw_split(spark, d, validation=True).select(*ft.PAIR_KEYS).distinct()
-    b, u, rows = matrix_tables(spark, d)
-    feats = ft.rating_features(pairs, b, u, **rows)
-    return model.transform(feats).select("user_id", "business_id", F.col("prediction").alias("raw"),
-                                         fn.clip_rating("prediction").alias("prediction"))
+    """Pairs scored, and those whose prediction is not the clipped raw value."""
+    model, _, valid = _few_trees(spark, d)
+    out = model.transform(valid.drop("stars")).select(F.col("prediction").alias("raw"),
+                                                      fn.clip_rating("prediction").alias("prediction"))
+    low, high = F.col("raw") < 1, F.col("raw") > 5
+    wanted = F.when(low, 1.0).when(high, 5.0).otherwise(F.col("raw"))
+    return out.agg(F.count("raw").alias("n_rows"), F.count(F.when(F.col("prediction") != wanted, 1)).alias("n_wrong"))
 
 
-@register("model_roundtrip")
+@register("model_roundtrip", with_ctes("""
+    SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS DOUBLE) AS max_difference FROM valid""", "valid"))
 def q_model_roundtrip(spark, d):
-    train, valid = few_model_inputs(spark, d)
-    model = tr.fit(tr.few_pipeline(n_estimators=QUERY_TREES), train)
+    """Pairs scored by a fit and by its saved and loaded copy, and the largest difference."""
+    model, _, valid = _few_trees(spark, d)
     path = tr.save_model(model, scratch_path(spark, "gbt-few-model"))
-    return tr.predict_clip(tr.load_model(path), valid)
+    again = tr.predict_clip(tr.load_model(path), valid).withColumnRenamed("prediction", "loaded")
+    both = tr.predict_clip(model, valid).join(again, ft.PAIR_KEYS)
+    return both.agg(F.count(F.lit(1)).alias("n_rows"),
+                    F.max(F.abs(F.col("prediction") - F.col("loaded"))).alias("max_difference"))
 
 
-@register("tune_trees")
+@register("tune_trees", f"""
+    SELECT CAST(n AS INTEGER) AS n_trees, true AS beats_mean FROM (VALUES ({QUERY_TREES // 2}), ({QUERY_TREES})) t(n)""")
 def q_tune_trees(spark, d):
-    train, _ = few_model_inputs(spark, d)
+    train, _ = signal_matrices(spark, d)
+    spread = train.agg(F.stddev_pop("stars")).first()[0]
     _, table = tr.tune_trees(train, tree_counts=(QUERY_TREES // 2, QUERY_TREES))
-    return table
+    return table.select("n_trees", (F.col("rmse") < F.lit(spread)).alias("beats_mean"))
 
 
-@register("gbt_wide")
+@register("gbt_wide", MODEL_SQL)
 def q_gbt_wide(spark, d):
-    train, valid = wide_matrices(spark, d)
-    model = tr.fit(tr.gbt(tr.WIDE_TREE_PARAMS, n_estimators=QUERY_WIDE_TREES), train)
-    return tr.predict_clip(model, valid)
+    train, valid = signal_wide_matrices(spark, d)
+    model = tr.fit(tr.gbt(tr.WIDE_TREE_PARAMS, n_estimators=QUERY_WIDE_TREES), train, materialize_input=False)
+    return model_summary(tr.predict_clip(model, valid), train, valid)
 
 
 def _mlp_few(spark, d, epochs):
     from pyspark.ml.functions import array_to_vector
 
-    train, valid = scaled_few(spark, d)
+    train, valid = signal_matrices(spark, d)
+    stats = sc_.minmax_fit(train, ft.FEW_FEATURES)
+    train, valid = (sc_.minmax_scale(m, ft.FEW_FEATURES, stats) for m in (train, valid))
     vec = lambda df: df.select("user_id", "business_id", "stars",
                                array_to_vector(F.array(*ft.FEW_FEATURES)).alias("features"))
     tv, vv = vec(train), vec(valid)
     flat, hist = nn.fit_mlp(tv, nn.FEW_LAYERS, epochs=epochs, validation=vv, seed=1)
-    return flat, hist, vv
+    return flat, hist, tv, vv
+
+
+def clipped(predictions):
+    return predictions.withColumn("prediction", fn.clip_rating("prediction"))
 
 
-@register("mlp_fit_few")
+@register("mlp_fit_few", MODEL_SQL)
 def q_mlp_fit_few(spark, d):
-    flat, _, vv = _mlp_few(spark, d, QUERY_EPOCHS)
-    return nn.score_mlp(vv, flat, nn.FEW_LAYERS)
+    flat, _, tv, vv = _mlp_few(spark, d, QUERY_EPOCHS)
+    return model_summary(clipped(nn.score_mlp(vv, flat, nn.FEW_LAYERS)), tv, vv)
 
 
-@register("mlp_loss_curve")
+@register("mlp_loss_curve", f"""
+    SELECT CAST(range AS INTEGER) AS epoch, true AS falling FROM range(1, {QUERY_EPOCHS + 1})""")
 def q_mlp_loss_curve(spark, d):
-    _, hist, _ = _mlp_few(spark, d, QUERY_EPOCHS)
-    return spark.createDataFrame(hist, "epoch int, train_mse double, val_mse double")
+    """Per epoch: whether both losses are at most the first epoch's."""
+    _, hist, _, _ = _mlp_few(spark, d, QUERY_EPOCHS)
+    rows = [(n, train <= hist[0][1] and valid <= hist[0][2]) for n, train, valid in hist]
+    return spark.createDataFrame(rows, "epoch int, falling boolean")
 
 
-@register("mlp_fit_wide")
+@register("mlp_fit_wide", MODEL_SQL)
 def q_mlp_fit_wide(spark, d):
-    train, valid = wide_matrices(spark, d, missing=0.0)
+    train, valid = signal_wide_matrices(spark, d, missing=0.0)
     stats = sc_.vector_minmax_fit(train)   # training min/max, applied to both
     width = len(stats[0])
     layers = [width] + nn.WIDE_LAYERS[1:]
     flat, _ = nn.fit_mlp(train, layers, epochs=QUERY_WIDE_EPOCHS, validation=valid, seed=1, scale=stats)
-    return nn.score_mlp(valid, flat, layers, scale=stats)
+    return model_summary(clipped(nn.score_mlp(valid, flat, layers, scale=stats)), train, valid)
 
 
 # ------------------------------------------------------- text sinks, shapes

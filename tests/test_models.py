@@ -114,7 +114,8 @@ def test_mlp_fit_reproducible_over_shuffled_partitions(spark, signal, monkeypatc
 def test_chunk_size_bounds_summing_group():
     assert nn.chunk_size(8) == nn.CHUNK
     assert nn.chunk_size(1000) * 1000 <= nn.GROUP_WEIGHTS
-    assert nn.chunk_size(10 ** 6) == 1024
+    assert nn.chunk_size(10 ** 6) * 10 ** 6 <= nn.GROUP_WEIGHTS
+    assert nn.chunk_size(10 ** 9) == 1
 
 
 def test_score_partitions_linear(spark, signal):
