@@ -97,18 +97,25 @@ def test_mlp_fit_reduces_loss(spark, signal):
     assert pred.count() == 1500
 
 
-def test_mlp_fit_reproducible_over_shuffled_partitions(spark, signal, monkeypatch):
-    # Four training partitions filled by a shuffle over one stored table:
-    # rows arrive in fetch order and partition models in any order; the
-    # content-hash sort and the key-ordered sum make the fit bit-identical.
-    from starcast.operators.joins import write_table
-
-    monkeypatch.setattr(nn, "MIN_PARTITION_ROWS", 100)
-    vec = write_table(signal.select("stars", array_to_vector(F.array(*ft.FEW_FEATURES)).alias("features")),
-                      "mlp-repeat")
-    runs = [nn.fit_mlp(vec, nn.FEW_LAYERS, epochs=2, seed=5, partitions=4, materialize=False)
-            for _ in range(2)]
-    assert np.array_equal(runs[0][0], runs[1][0]) and runs[0][1] == runs[1][1]
+def test_mlp_fit_is_the_same_for_any_partitioning(spark, signal):
+    vec = signal.select("user_id", "business_id", "stars", array_to_vector(F.array(*ft.FEW_FEATURES)).alias("features"))
+    setting, before = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    runs = []
+    try:
+        for parts, records in [(1, 100), (2, 10_000), (4, 100)]:
+            spark.conf.set(setting, str(records))
+            runs.append(nn.fit_mlp(vec.repartition(parts), nn.FEW_LAYERS, epochs=2, seed=5, batches=3, block_rows=64))
+    finally:
+        spark.conf.set(setting, before)
+    for flat, hist in runs[1:]:
+        assert np.allclose(flat, runs[0][0], rtol=0, atol=1e-9)
+        assert np.allclose([h[1] for h in hist], [h[1] for h in runs[0][1]], rtol=0, atol=1e-9)
+
+
+def test_mlp_fit_without_rows_says_so(spark, signal):
+    vec = signal.where("false").select("stars", array_to_vector(F.array(*ft.FEW_FEATURES)).alias("features"))
+    with pytest.raises(ValueError, match="no training rows"):
+        nn.fit_mlp(vec, nn.FEW_LAYERS, epochs=1)
 
 
 def test_chunk_size_bounds_summing_group():
@@ -158,13 +165,14 @@ def test_dense_batch_from_mixed_sparse_and_dense_vectors():
     assert x.tolist() == [[0.0, 2.0, 0.0, 5.0], [1.0, 0.0, 0.0, 7.0]]
 
 
-def test_weight_sum_ignores_arrival_order():
+def test_gradient_sum_ignores_arrival_order():
     rng = np.random.default_rng(7)
-    pdf = pd.DataFrame({"key": rng.integers(0, 1 << 31, 50), "chunk": np.zeros(50, dtype=np.int32),
-                        "w": [list(rng.normal(0, 1e3, 64) * 10.0 ** rng.integers(-8, 8)) for _ in range(50)],
-                        "n": rng.integers(1, 100, 50), "loss": rng.uniform(0, 1, 50)})
-    outs = [nn._sum_in_key_order(pdf.sample(frac=1.0, random_state=s).reset_index(drop=True))
-            for s in range(4)]
-    for o in outs[1:]:
-        assert o["w"].iloc[0] == outs[0]["w"].iloc[0] and o["loss"].iloc[0] == outs[0]["loss"].iloc[0]
-    assert int(outs[0]["n"].iloc[0]) == int(pdf["n"].sum())
+    parts = rng.normal(0, 1e3, (50, 64)) * 10.0 ** rng.integers(-8, 8, (50, 1))
+    units = [nn.split_units(p) for p in parts]
+    pdf = pd.DataFrame({"chunk": np.zeros(50, dtype=np.int32), "coarse": [u[0] for u in units],
+                        "fine": [u[1] for u in units]})
+    outs = [nn._sum_chunks(pdf.sample(frac=1.0, random_state=s)) for s in range(4)]
+    for o in outs:
+        assert all(np.array_equal(o[c].iloc[0], outs[0][c].iloc[0]) for c in ("coarse", "fine"))
+    total = nn.join_units(outs[0]["coarse"].iloc[0], outs[0]["fine"].iloc[0])
+    assert np.allclose(total, parts.sum(axis=0), rtol=1e-9, atol=1e-9)
