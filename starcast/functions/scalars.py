@@ -21,9 +21,14 @@ PATH_SEPARATOR = "$"           # nested feature names: attributes$k2$k3
 SINCE_FORMAT = "yyyy-M-d"      # yelping_since, %Y-%m-%d (padding optional)
 RATING_MIN = 1.0
 RATING_MAX = 5.0
-# A dict-literal entry: quoted key, colon, then a quoted or bare value.
-DICT_ENTRY_PATTERN = r"u?'([^']*)'\s*:\s*(u?'[^']*'|[^,}]+)"
-QUOTED_PATTERN = r"^u?'(.*)'$"
+# A dict-literal entry: quoted or bare key, colon, quoted or bare value; and
+# a whole flat literal.
+_QUOTED = r"""u?'[^'\\]*+(?:\\.[^'\\]*+)*+'|u?"[^"\\]*+(?:\\.[^"\\]*+)*+\""""
+_KEY, _VALUE = rf"{_QUOTED}|[^\s'\",:{{}}]++", rf"{_QUOTED}|[^'\",{{}}\[\]()]++"
+DICT_ENTRY_PATTERN = rf"({_KEY})\s*+:\s*+({_VALUE})"
+_ENTRY = rf"\s*+(?:{_KEY})\s*+:\s*+(?:{_VALUE})\s*+"
+DICT_PATTERN = rf"(?s)^\s*+\{{(?:{_ENTRY}(?:,{_ENTRY})*+,?)?+\s*+\}}\s*+$"
+QUOTED_PATTERN = r"""(?s)^u?(['"])(.*)\1$"""
 STRIP_PATTERN = r"(?U)^\s+|\s+$"   # Unicode whitespace, as str.strip()
 # ---------------------------------------------------------------------------
 
@@ -136,13 +141,25 @@ def is_dict_literal(c) -> Column:
     return c.startswith("{") & c.endswith("}")
 
 
+def _unquote(c: Column) -> Column:
+    """Content of a quoted literal (escaped quotes and backslashes made
+    plain); bare text as it is."""
+    return F.when(c.rlike(QUOTED_PATTERN),
+                  F.regexp_replace(F.regexp_extract(c, QUOTED_PATTERN, 2), r"""\\(['"\\])""", "$1")).otherwise(c)
+
+
 def parse_dict_literal(c) -> Column:
     """Flat Python dict literal text -> ``map<string,string>`` of raw value
-    texts (quotes kept, surrounding blanks removed)."""
+    texts (quotes kept, surrounding blanks removed). Keys are quoted either
+    way or bare (numbers, True); of a repeated key the last value wins. Null
+    stays null; any other text, nested literals too, raises."""
     c = _c(c)
-    keys = F.regexp_extract_all(c, F.lit(DICT_ENTRY_PATTERN), 1)
+    keys = F.transform(F.regexp_extract_all(c, F.lit(DICT_ENTRY_PATTERN), 1), _unquote)
     vals = F.transform(F.regexp_extract_all(c, F.lit(DICT_ENTRY_PATTERN), 2), strip)
-    return F.map_from_arrays(keys, vals)
+    entries = F.filter(F.arrays_zip(keys.alias("key"), vals.alias("value")),
+                       lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), e["key"]))
+    bad = F.raise_error(F.concat(F.lit("not a flat dict literal: "), c)).cast("map<string,string>")
+    return F.when(c.isNull(), F.lit(None)).when(c.rlike(DICT_PATTERN), F.map_from_entries(entries)).otherwise(bad)
 
 
 def encode_literal(c) -> Column:
@@ -153,8 +170,7 @@ def encode_literal(c) -> Column:
     """
     c = _c(c)
     quoted = c.rlike(QUOTED_PATTERN)
-    inner = F.regexp_extract(c, QUOTED_PATTERN, 1)
-    return (F.when(quoted, encode_text(inner))
+    return (F.when(quoted, encode_text(_unquote(c)))
             .when(c == TRUE_TEXT, F.lit(1.0))
             .when(c == FALSE_TEXT, F.lit(0.0))
             .when(c == NONE_TEXT, F.lit(None).cast("double"))

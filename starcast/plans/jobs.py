@@ -38,9 +38,19 @@ from starcast.sources import files as fl
 ENTITIES = ["business", "checkin", "photo", "tip", "user"]
 
 
+RECORD_KEYS = {"business": "business_id", "user": "user_id"}
+
+
 def read_entities(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The five entities. A business or user that comes again replaces the
+    record before it, so a pair meets one of each."""
     base = folder.rstrip("/")
-    return {e: fl.read_json_lines(spark, f"{base}/{e}.json", e) for e in ENTITIES}
+    out = {e: fl.read_json_lines(spark, f"{base}/{e}.json", e) for e in ENTITIES}
+    for entity, key in RECORD_KEYS.items():
+        rows = out[entity].withColumn("_at", _position())
+        out[entity] = (rows.groupBy(key).agg(F.max_by(F.struct(*out[entity].columns), "_at").alias("_r"))
+                       .select("_r.*"))
+    return out
 
 
 def _position():
@@ -105,6 +115,7 @@ def narrow_train_predict(spark, folder, train_csv, test_csv, output_csv=None, *,
 def discover_vocabulary(spark, business_json, out_dir=None):
     """Feature names (sorted) and every value per feature; written as text
     files ``features`` and ``feature_values`` under ``out_dir``."""
+    fl.check_business_keys(spark, business_json)
     business = fl.read_json_lines(spark, business_json, "business")
     long = vb.wide_features_long(business)
     if out_dir:  # both outputs read the long form: write it once
@@ -119,6 +130,8 @@ def discover_vocabulary(spark, business_json, out_dir=None):
 
 def _wide_tables(spark, folder, index, missing, handle_unknown):
     e = read_entities(spark, folder)
+    if handle_unknown == "error":
+        fl.check_business_keys(spark, f"{folder.rstrip('/')}/business.json")
     long = vb.wide_features_long(e["business"])
     if handle_unknown == "error":  # read by the name check and by the vectors: write once
         long = write_table(long, "wide-long")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starcast.schemas import ENTITY_SCHEMAS, PREDICTIONS, RATINGS
 
@@ -27,9 +28,14 @@ def _drop_header_rows(df: DataFrame, names: list[str]) -> DataFrame:
 
 
 def read_ratings_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Ratings CSV with a header line: user_id, business_id, stars."""
-    df = spark.read.schema(RATINGS).option("header", True).option("mode", "PERMISSIVE").csv(path)
-    return _drop_header_rows(df, ["user_id", "business_id"])
+    """Ratings CSV with a header line: user_id, business_id, stars. Empty
+    stars are null; stars that are no number raise when they are read."""
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in RATINGS.fields])
+    df = spark.read.schema(text).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    given = F.col("stars")
+    wrong = F.raise_error(F.concat(F.lit("stars is not a number: "), given)).cast("double")
+    stars = F.when(F.coalesce(F.trim(given), F.lit("")) != "", F.coalesce(given.try_cast("double"), wrong))
+    return _drop_header_rows(df, ["user_id", "business_id"]).withColumn("stars", stars)
 
 
 def read_pairs_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -44,6 +50,16 @@ def read_json_lines(spark: SparkSession, path: str, entity: str) -> DataFrame:
     return spark.read.schema(ENTITY_SCHEMAS[entity]).json(path)
 
 
+def check_business_keys(spark: SparkSession, path: str) -> None:
+    """Raise if business records have top-level keys outside the schema,
+    which the typed reader would drop without a word."""
+    known = ENTITY_SCHEMAS["business"].names
+    keys = spark.read.text(path).select(F.explode(F.json_object_keys("value")).alias("key"))
+    unknown = [r["key"] for r in keys.where(~F.col("key").isin(known)).distinct().limit(20).collect()]
+    if unknown:
+        raise ValueError(f"unknown keys in business records: {', '.join(sorted(unknown))}")
+
+
 def read_predictions_csv(spark: SparkSession, path: str) -> DataFrame:
     """Predictions CSV (header names may carry leading blanks)."""
     df = (spark.read.schema(PREDICTIONS).option("header", True)

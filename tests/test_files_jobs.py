@@ -173,3 +173,28 @@ def test_wide_network_jobs(spark, tmpdir_path):
     pred = jobs.mlp_score_wide(spark, DATA, os.path.join(DATA, "val.csv"), nn_dir,
                                os.path.join(tmpdir_path, "nn_wide_pred"))
     assert pred.count() == 3
+
+
+def test_stars_that_are_no_number_raise(spark, tmp_path):
+    (tmp_path / "r.csv").write_text("user_id,business_id,stars\nu,b,4.0\nuser_id,business_id,stars\nu,c,\n")
+    got = {r.business_id: r.stars for r in fl.read_ratings_csv(spark, str(tmp_path / "r.csv")).collect()}
+    assert got == {"b": 4.0, "c": None}
+    (tmp_path / "w.csv").write_text("user_id,business_id,stars\nu,b,abc\n")
+    with pytest.raises(Exception, match="stars is not a number"):
+        fl.read_ratings_csv(spark, str(tmp_path / "w.csv")).collect()
+    assert fl.read_pairs_csv(spark, str(tmp_path / "w.csv")).count() == 1
+
+
+def test_unknown_business_key_raises(spark, tmp_path):
+    (tmp_path / "b.json").write_text('{"business_id": "b", "stars": 4.0, "noise_level": 3}\n')
+    with pytest.raises(ValueError, match="noise_level"):
+        jobs.discover_vocabulary(spark, str(tmp_path / "b.json"))
+
+
+def test_later_record_of_a_business_replaces_the_one_before(spark, tmp_path):
+    for entity in jobs.ENTITIES:
+        (tmp_path / f"{entity}.json").write_text("")
+    (tmp_path / "business.json").write_text(
+        '{"business_id": "b", "stars": 1.0}\n{"business_id": "c", "stars": 2.0}\n{"business_id": "b", "stars": 4.5}\n')
+    got = {r.business_id: r.stars for r in jobs.read_entities(spark, str(tmp_path))["business"].collect()}
+    assert got == {"b": 4.5, "c": 2.0}

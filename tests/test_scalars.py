@@ -169,3 +169,28 @@ def test_category_split_property(spark, texts):
 def test_strip_unicode_whitespace(spark):
     s = "  Coffee & Tea　 "
     assert one(spark, fn.strip, s, "string") == s.strip()
+
+
+@pytest.mark.parametrize("text, want", [
+    ('{"a": True}', {"a": "True"}),
+    ("{1: True, 'b': 2}", {"1": "True", "b": "2"}),
+    (r"{'it\'s': 'a, b'}", {"it's": "'a, b'"}),
+    ("{'a': 1, 'b': 2, 'a': 3}", {"a": "3", "b": "2"}),
+    ("{}", {}),
+    ("{'a': \"x'y\",}", {"a": "\"x'y\""}),
+])
+def test_dict_literal_forms(spark, text, want):
+    got = spark.createDataFrame([(text,)], "t string").select(fn.parse_dict_literal("t").alias("m")).first()["m"]
+    assert got == want
+
+
+@pytest.mark.parametrize("text", ["{'a': {'b': 1}}", "{'a'}", "{'a': 1 'b': 2}", "plain"])
+def test_dict_literal_raises_on_other_text(spark, text):
+    with pytest.raises(Exception, match="not a flat dict literal"):
+        spark.createDataFrame([(text,)], "t string").select(fn.parse_dict_literal("t")).collect()
+
+
+def test_double_quoted_literal_is_encoded_by_content(spark):
+    row = spark.createDataFrame([("'free'", '"free"')], "a string, b string").select(
+        fn.encode_literal("a").alias("a"), fn.encode_literal("b").alias("b")).first()
+    assert row["a"] is not None and row["a"] == row["b"]
