@@ -3,7 +3,8 @@
 A token's probability mixes the bigram and unigram maximum-likelihood
 estimates with a uniform floor; the weights depend on how often the context
 was seen and are learned by expectation-maximisation on held-out counts
-(one fold of the training documents, left out of the estimates meanwhile).
+(one whole fold of the training documents, a seventh of all documents, left
+out of the estimates meanwhile).
 
 Counts move in packed form. Every chunk of documents sends its distinct
 n-gram keys and counts, sorted and packed into one array per shard; a shard
@@ -25,7 +26,6 @@ from pyspark.sql import functions as F
 from starcast.llm.common import crc_mod, write_table
 
 FOLDS, HELD_FOLD, EM_FOLD = 7, 2, 4
-EM_SHARE = 8  # of the EM fold's documents one in so many gives the held-out counts
 CHUNK_ROWS = 2048
 BUCKETS = 24
 END = np.uint64(0xE703E703E703E703)
@@ -75,9 +75,8 @@ def _unpack(data: bytes) -> np.ndarray:
 def _chunked(docs: DataFrame, chunk_rows: int) -> DataFrame:
     """Documents with their fold flags and a chunk number: a run of rows of
     one input partition (odd: the run's EM documents)."""
-    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
     held = crc_mod(F.col("doc_id"), FOLDS) == HELD_FOLD
-    em = F.coalesce((h % FOLDS == EM_FOLD) & (F.floor(h / FOLDS) % EM_SHARE == 0), F.lit(False))
+    em = F.coalesce(crc_mod(F.col("doc_id"), FOLDS) == EM_FOLD, F.lit(False))
     shift = chunk_rows.bit_length() - 1
     return (docs.select("doc_id", F.col("text").cast("binary").alias("text"))
             .withColumn("run", F.shiftright(F.monotonically_increasing_id(), shift))
