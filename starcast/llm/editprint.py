@@ -2,11 +2,13 @@
 
 A text is read by a random walk shared by all documents: at step j the
 walk writes the current character and moves on to the next one if a random
-bit of (j, character) is set. Texts at small edit distance are written
-alike, so edit distance becomes Hamming distance between the written
-strings. A fingerprint samples ``WIDTH`` places of the written string: of
-each bin of places the one with the least random rank below the string's
-length, so texts of similar length sample the same places. Each place
+bit of (j, character) is set, until the text ends; the number of steps, about
+twice the text's length, is the length of the written string. Texts at
+small edit distance are written alike, so edit distance becomes Hamming
+distance between the written strings. A fingerprint samples ``WIDTH`` places
+of the written string: of each bin of places the one with the least random
+rank below the string's length, so strings of similar length sample the same
+places. Each place
 keeps 4 hashed bits. Two fingerprints are compared by banding (some group
 of sampled places must agree) and then verified over all places.
 """
@@ -69,17 +71,29 @@ class Places:
 
 def fingerprints(texts: list[str], places: Places) -> np.ndarray:
     """Symbols ``[len(texts), WIDTH]`` (0..15, or NONE)."""
+    longest = max(map(len, texts), default=0)
+    reach = 2 * longest + 16 * int((2 * longest) ** 0.5) + 256  # 16 deviations above the mean
+    out, length = _fingerprints(texts, places, reach)
+    if length > reach:
+        out, _ = _fingerprints(texts, places, length)
+    return out
+
+
+def _fingerprints(texts: list[str], places: Places, reach: int) -> tuple[np.ndarray, int]:
+    """Symbols from the places below ``reach``, and the longest written
+    string's length."""
     n = np.array([len(t) for t in texts], dtype=np.int64)
     lanes = len(texts)
     out = np.full((lanes, WIDTH), NONE, dtype=np.uint8)
     if not lanes or not n.max():
-        return out
+        return out, 0
     gap = "\x00" * BLOCK  # overwritten by PAD: a walk may run this far past its text
     codes = np.frombuffer(gap.join([*texts, ""]).encode("utf-32-le", "surrogatepass"), dtype="<u4").copy()
     begin = np.concatenate([[0], np.cumsum(n + BLOCK)[:-1]])
     end = begin + n
     codes[(end[:, None] + np.arange(BLOCK)).ravel()] = PAD
-    at = places.upto(int(2 * n.max()))
+    at = places.upto(reach)
+    length = np.zeros(lanes, dtype=np.int64)
     row_of = {int(p): i for i, p in enumerate(at)}
     # places never reached hold the pad's symbol
     with np.errstate(over="ignore"):
@@ -87,8 +101,9 @@ def fingerprints(texts: list[str], places: Places) -> np.ndarray:
         written = np.repeat((((PAD ^ salts) * np.uint32(MIX)) >> np.uint32(28)).astype(np.uint8)[:, None], lanes, axis=1)
         lane = np.flatnonzero(n)
         pos = begin[lane].copy()
-        j, last = 0, int(2 * n.max())
-        while j < last and len(lane) >= FEW_LANES:
+        j = 0
+        while len(lane) >= FEW_LANES:
+            first = pos.copy()
             steps = (_mix(np.arange(j, j + BLOCK, dtype=np.uint64), 4) >> np.uint64(32)).astype(np.uint32)
             c = np.empty(len(lane), np.uint32)
             for k in range(BLOCK):
@@ -100,36 +115,47 @@ def fingerprints(texts: list[str], places: Places) -> np.ndarray:
                 c *= np.uint32(MIX)
                 c >>= np.uint32(31)
                 pos += c
-            j += BLOCK
-            alive = (pos < end[lane]) & (j < 2 * n[lane])
+            alive = pos < end[lane]
             if not alive.all():
+                length[lane[~alive]] = j + _steps_left(codes, first[~alive], steps)
                 lane, pos = lane[alive], pos[alive]
-        if j < last:  # a few long texts: plain loops cost less than short arrays
-            _walk_few(codes, lane, pos, end, 2 * n, j, at, salts, written)
+            j += BLOCK
+        if len(lane):  # a few long texts: plain loops cost less than short arrays
+            _walk_few(codes, lane, pos, end, length, j, at, salts, written)
     where = [np.array(b, dtype=np.int64) for b in places.by_bin]
     index = {int(p): i for i, p in enumerate(at)}
     for b, w in enumerate(where):
-        w = w[w < last] if len(w) else w
+        w = w[w < reach] if len(w) else w
         if not len(w):
             continue
         rows = np.array([index[int(p)] for p in w])
-        k = np.searchsorted(w, 2 * n, side="left") - 1
+        k = np.searchsorted(w, length, side="left") - 1
         has = k >= 0
         out[has, b] = written[rows[k[has]], np.flatnonzero(has)]
-    return out
+    return out, int(length.max())
+
+
+def _steps_left(codes, pos, steps) -> np.ndarray:
+    """Steps from ``pos`` to the end of texts that end within one block."""
+    pos, left = pos.copy(), np.zeros(len(pos), dtype=np.int64)
+    for step in steps:
+        c = codes[pos]
+        left += c != PAD
+        pos += ((c + step) * np.uint32(MIX)) >> np.uint32(31)
+    return left
 
 
 def _walk_few(codes, lane, pos, end, length, start, at, salts, written) -> None:
     for i, p in zip(lane.tolist(), pos.tolist()):
-        stop, limit, j = int(end[i]), int(length[i]), start
+        stop, j = int(end[i]), start
         nxt = int(np.searchsorted(at, j))
         text = codes[p:stop].tolist()
         size, p = len(text), 0
-        while j < limit and p < size:
+        while p < size:
             steps = (_mix(np.arange(j, j + 4096, dtype=np.uint64), 4) >> np.uint64(32)).tolist()
             place = int(at[nxt]) if nxt < len(at) else -1
             for s in steps:
-                if p >= size or j >= limit:
+                if p >= size:
                     break
                 c = text[p]
                 if j == place:
@@ -138,6 +164,7 @@ def _walk_few(codes, lane, pos, end, length, start, at, salts, written) -> None:
                     place = int(at[nxt]) if nxt < len(at) else -1
                 p += (((c + s) * MIX) & 0xFFFFFFFF) >> 31
                 j += 1
+        length[i] = j
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -218,7 +245,7 @@ def edit_prints(docs: DataFrame) -> DataFrame:
     follows in descending ``doc_id`` (null ids last, equal ids by text; after
     the last comes the first; a lone document is its own next). Null text:
     empty. Empty texts have a fingerprint without places; two such are
-    alike (1.0). Whole texts are read. Equal texts have equal fingerprints.
+    alike (1.0). Walks go on to the end of every text. Equal texts have equal fingerprints.
     Empty table: no rows. Other columns are not read.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()

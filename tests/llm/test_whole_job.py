@@ -9,7 +9,7 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 
-from starcast.llm import lm
+from starcast.llm import editprint, lm
 from tests.llm import plain
 
 
@@ -60,3 +60,27 @@ def test_lm_weights_come_from_the_whole_em_fold(spark, tmp_path):
             bucket, *parts = estimates(*whole, b, w)
             want += math.log10(np.dot(weights[bucket], parts))
         assert math.isclose(got[d], want, rel_tol=1e-6), d
+
+
+def test_walks_reach_the_end_of_every_text():
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(rng.randint(3, 50))) for _ in range(300)]
+    other = [t[:-1] + "Z" for t in texts]
+    for step in (300, 5):  # many lanes at once, and few
+        a, b = (np.concatenate([editprint.fingerprints(ts[i:i + step], editprint.Places()) for i in range(0, 300, step)])
+                for ts in (texts, other))
+        # one step has the same 4 bits by chance, or shares a bin with a place of lower rank
+        assert (a != b).any(axis=1).mean() > 0.9
+    # every written place lies within the walk, as a plain walk has it
+    places = editprint.Places()
+    places.grow(1)
+    for t, symbols in zip(texts, a):
+        steps = (editprint._mix(np.arange(1000, dtype=np.uint64), 4) >> np.uint64(32)).tolist()
+        salts = (editprint._mix(np.arange(1000, dtype=np.uint64), 3) >> np.uint64(32)).tolist()
+        written, p = [], 0
+        while p < len(t):
+            j = len(written)
+            written.append((((ord(t[p]) ^ salts[j]) * editprint.MIX) & 0xFFFFFFFF) >> 28)
+            p += (((ord(t[p]) + steps[j]) * editprint.MIX) & 0xFFFFFFFF) >> 31
+        want = [([written[j] for j in b if j < len(written)] or [editprint.NONE])[-1] for b in places.by_bin]
+        assert symbols.tolist() == want
