@@ -9,7 +9,7 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 
-from starcast.llm import editprint, lm
+from starcast.llm import editprint, lm, nearcopies
 from tests.llm import plain
 
 
@@ -84,3 +84,52 @@ def test_walks_reach_the_end_of_every_text():
             p += (((ord(t[p]) + steps[j]) * editprint.MIX) & 0xFFFFFFFF) >> 31
         want = [([written[j] for j in b if j < len(written)] or [editprint.NONE])[-1] for b in places.by_bin]
         assert symbols.tolist() == want
+
+
+def test_near_copies_against_all_pairs(spark):
+    rng = random.Random(7)
+    bag = ["alpha", "bird", "cloud", "dune", "ember", "frost", "grain", "hill", "iris", "jade", "knot", "lake"]
+    texts = []
+    for _ in range(25):
+        base = " ".join(rng.choice(bag) + str(rng.randint(0, 99)) for _ in range(rng.randint(6, 60)))
+        texts.append(base)
+        for _ in range(3):
+            t = list(base)
+            for _ in range(rng.randint(1, 1 + len(t) // 25)):
+                at = rng.randrange(len(t))
+                t[at:at + rng.randint(0, 1)] = rng.choice("xyz") * rng.randint(0, 1)
+            texts.append("".join(t))
+    texts += [texts[0], "", "a", "b", None]
+    rows = list(enumerate(texts))
+    rng.shuffle(rows)  # near copies are not neighbours by id
+    rows = [(i, t) for i, (_, t) in enumerate(rows)] + [(None, texts[0])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, c in enumerate(a, 1):
+            last, row = row, [i]
+            for j, e in enumerate(b, 1):
+                row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (c != e)))
+        return row[-1]
+
+    node = {r["text"]: r["node"] for r in nearcopies._texts(docs).collect()}
+    own = sorted({t or "" for _, t in rows})
+    want = {}
+    for i, a in enumerate(own):
+        for b in own[:i]:
+            limit = int(max(len(a), len(b)) * nearcopies.EDIT_SHARE)
+            if abs(len(a) - len(b)) <= limit:
+                d = distance(a, b)
+                assert nearcopies.edit_distance(a, b, limit) == (d if d <= limit else None)
+                if d <= limit:
+                    want[tuple(sorted((node[a], node[b])))] = d
+    got = {(r["u"], r["v"]): r["edits"] for r in nearcopies.links(docs).collect()}
+    assert len(want) > 100 and all(want.get(k) == d for k, d in got.items())
+    assert len(got) >= 0.95 * len(want), (len(got), len(want))
+    assert {(r["u"], r["v"]): r["edits"] for r in nearcopies.links(docs, hot_rows=2).collect()} == got  # salted
+    out = nearcopies.near_copies(docs).collect()
+    assert len(out) == len(rows)
+    groups = {r["node"]: r["component_id"] for r in out}
+    assert all(groups[u] == groups[v] for u, v in got)
+    assert nearcopies.near_copies(docs.where("false")).count() == 0
