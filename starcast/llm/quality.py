@@ -5,12 +5,15 @@ continuation counts and context sums are tables keyed by the n-gram and
 joined by it, so the model is spread over the cluster like any table. Each
 chunk of documents asks for its distinct n-grams once and scores its
 documents from the joined answers. A document is kept if its perplexity
-stays under a high quantile of its language, taken over trusted documents
-that the model was not trained on.
+stays under a high quantile of its own language, taken over trusted documents
+that the model was not trained on; where these are too few to hold such a
+quantile, it is extended by their mean and spread.
 """
 
 from __future__ import annotations
 
+from statistics import NormalDist
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -30,7 +33,7 @@ CALIBRATE_FOLDS = 5
 HIGH = 0.985
 MARGIN = 0.05
 PSEUDO_CHARS = 50
-MIN_CALIBRATION = 30
+SPREAD_ROWS = 2  # rows that the spread within all languages counts for beside a language's own
 BROADCAST_IDS = 1_000_000
 
 
@@ -241,6 +244,30 @@ def perplexities(docs: DataFrame, trusted_ids: DataFrame, *, chunk_rows: int = C
     return marked.select("row", "doc_id", "lang", (F.col("_t").isNotNull() & fold).alias("calibrates"), "n", "perplexity")
 
 
+def _bounds(basis: DataFrame, high: float) -> DataFrame:
+    """``(l, q)``: the ``high`` quantile of ``judged`` in each language of the
+    calibration rows.
+
+    It is the language's own order statistic. If even the largest of its m
+    rows falls short of that quantile ((m + 1) high > m), the bound is at
+    least Student's prediction limit of one more row on the log scale: own
+    mean, and own variance with the pooled variance within languages added
+    as ``SPREAD_ROWS`` rows."""
+    own = write_table(basis.groupBy(F.col("lang").alias("l")).agg(
+        F.count(F.lit(1)).alias("m"), F.percentile_approx("judged", high, 10000).alias("order"),
+        F.avg(F.log("judged")).alias("mean"), F.var_pop(F.log("judged")).alias("var")), "kn-languages")
+    pooled = own.agg((F.sum(F.col("m") * F.col("var")) / F.sum(F.col("m") - 1)).alias("v")).first()["v"] or 0.0
+    z = NormalDist().inv_cdf(high)
+    free = F.col("m") - 1 + SPREAD_ROWS
+    spread = F.sqrt((F.lit(SPREAD_ROWS * pooled) + F.col("m") * F.col("var")) / free)
+    # Student's quantile by its expansion
+    t = (z + (z ** 3 + z) / 4 / free + (5 * z ** 5 + 16 * z ** 3 + 3 * z) / 96 / F.pow(free, 2)
+         + (3 * z ** 7 + 19 * z ** 5 + 17 * z ** 3 - 15 * z) / 384 / F.pow(free, 3))
+    limit = F.exp(F.col("mean") + t * spread * F.sqrt(1 + 1 / F.col("m")))
+    few = (F.col("m") + 1) * high > F.col("m")
+    return own.select("l", F.when(few, F.greatest("order", limit)).otherwise(F.col("order")).alias("q"))
+
+
 def judge(docs: DataFrame, trusted_ids: DataFrame, *, high: float = HIGH, margin: float = MARGIN,
           pseudo_chars: int = PSEUDO_CHARS, chunk_rows: int = CHUNK_ROWS,
           broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
@@ -249,9 +276,9 @@ def judge(docs: DataFrame, trusted_ids: DataFrame, *, high: float = HIGH, margin
     A short text's average says little, so ``judged`` mixes
     ``pseudo_chars`` characters of the calibration rows' median into the
     perplexity. A row is kept if that is at most its language's ``high``
-    quantile over the calibration rows, widened by ``margin`` (a share). A
-    language (null included) with fewer than ``MIN_CALIBRATION`` calibration
-    rows takes the quantile over all; without any, every row is kept. Null
+    quantile over the calibration rows, widened by ``margin`` (a share). Every
+    language (null included) is judged by its own rows (``_bounds``); a
+    language without calibration rows is kept whole (``high`` infinite). Null
     text counts as empty; long texts are read whole. Repeated rows get equal
     results. Empty table: no rows."""
     scored = write_table(perplexities(docs, trusted_ids, chunk_rows=chunk_rows, broadcast_ids=broadcast_ids),
@@ -261,12 +288,9 @@ def judge(docs: DataFrame, trusted_ids: DataFrame, *, high: float = HIGH, margin
     mixed = F.exp((F.col("n") * F.log("perplexity") + F.lit(pseudo_chars * float(np.log(middle))))
                   / (F.col("n") + pseudo_chars))
     scored, basis = scored.withColumn("judged", mixed), basis.withColumn("judged", mixed)
-    cuts = [F.count(F.lit(1)).alias("m"), F.percentile_approx("judged", high, 10000).alias("q")]
-    overall = basis.agg(*cuts).first()["q"] or float("inf")
-    bounds = write_table(basis.groupBy(F.col("lang").alias("l")).agg(*cuts).where(F.col("m") >= MIN_CALIBRATION)
-                         .select("l", "q"), "kn-bounds")
+    bounds = write_table(_bounds(basis, high), "kn-bounds")
     joined = scored.join(bounds, F.col("lang").eqNullSafe(F.col("l")), "left")
-    return (joined.withColumn("high", F.coalesce("q", F.lit(float(overall))) * (1 + margin))
+    return (joined.withColumn("high", F.coalesce("q", F.lit(float("inf"))) * (1 + margin))
             .withColumn("keep", F.col("judged") <= F.col("high"))
             .select("row", "doc_id", "lang", "perplexity", "judged", "high", "keep"))
 

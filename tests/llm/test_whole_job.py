@@ -9,7 +9,7 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 
-from starcast.llm import editprint, lm, nearcopies
+from starcast.llm import editprint, lm, nearcopies, quality
 from tests.llm import plain
 
 
@@ -133,3 +133,38 @@ def test_near_copies_against_all_pairs(spark):
     groups = {r["node"]: r["component_id"] for r in out}
     assert all(groups[u] == groups[v] for u, v in got)
     assert nearcopies.near_copies(docs.where("false")).count() == 0
+
+
+def test_a_rare_language_is_judged_by_its_own_rows(spark, tmp_path):
+    rng = random.Random(8)
+    hot = ["time", "house", "river", "stone", "light", "water"]
+    letters = "абвгдежзиклмнопрстуфхцчшщыэюя"
+    rare = ["".join(rng.choice(letters) for _ in range(rng.randint(3, 9))) for _ in range(400)]
+    rows = [(i, " ".join(rng.choice(hot) for _ in range(40)), "en") for i in range(600)]
+    rows += [(1000 + i, " ".join(rng.choice(rare) for _ in range(40)), "xx") for i in range(60)]
+    rows += [(2000 + i, "".join(rng.choice("qzxjkvw0189#") for _ in range(200)), "en") for i in range(20)]
+    rows += [(3000 + i, " ".join(rng.choice(hot) for _ in range(40)), "none") for i in range(5)]
+    trusted = [(i,) for i in range(0, 600, 2)] + [(1000 + i,) for i in range(25)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(2).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    out = quality.judge(docs, spark.createDataFrame(trusted, "doc_id bigint")).collect()
+    n = sum(plain.fold(d, quality.CALIBRATE_FOLDS) == 0 for (d,) in trusted if d >= 1000)
+    assert 0 < n < 30  # few rows of the rare language calibrate
+    kept = lambda lo, hi: np.mean([r["keep"] for r in out if lo <= r["doc_id"] < hi])
+    assert kept(1000, 1060) > 0.95
+    assert kept(0, 600) > 0.95 and kept(2000, 2020) == 0
+    assert kept(3000, 3005) == 1  # no trusted row
+    assert len({r["high"] for r in out if r["lang"] == "xx"} | {r["high"] for r in out if r["lang"] == "en"}) == 2
+
+
+def test_bounds_of_many_and_few_rows(spark):
+    rng = np.random.default_rng(3)
+    many, few = np.exp(rng.normal(1, 0.1, 2000)), np.exp(rng.normal(3, 0.1, 4))
+    data = [("a", float(x)) for x in many] + [("b", float(x)) for x in few] + [(None, 9.0)]
+    q = {r["l"]: r["q"] for r in quality._bounds(spark.createDataFrame(data, "lang string, judged double"), 0.985).collect()}
+    assert q["a"] == sorted(many)[math.ceil(0.985 * 2000) - 1]
+    pooled = (2000 * np.log(many).var() + 4 * np.log(few).var()) / (1999 + 3)
+    spread = math.sqrt((quality.SPREAD_ROWS * pooled + 4 * np.log(few).var()) / (3 + quality.SPREAD_ROWS) * 1.25)
+    assert quality.SPREAD_ROWS == 2  # Student's 0.985 quantile is 3.00 at 5 degrees of freedom and 5.64 at 2
+    assert math.isclose((math.log(q["b"]) - np.log(few).mean()) / spread, 3.00, rel_tol=0.02)
+    assert math.isclose((math.log(q[None]) - math.log(9)) / math.sqrt(2 * pooled), 5.64, rel_tol=0.06)
