@@ -168,3 +168,10 @@ def test_bounds_of_many_and_few_rows(spark):
     assert quality.SPREAD_ROWS == 2  # Student's 0.985 quantile is 3.00 at 5 degrees of freedom and 5.64 at 2
     assert math.isclose((math.log(q["b"]) - np.log(few).mean()) / spread, 3.00, rel_tol=0.02)
     assert math.isclose((math.log(q[None]) - math.log(9)) / math.sqrt(2 * pooled), 5.64, rel_tol=0.06)
+
+
+def test_registered_fits_have_the_reference_counts():
+    from starcast.plans import catalog
+
+    assert (catalog.QUERY_TREES, catalog.QUERY_WIDE_TREES) == (800, 300)
+    assert (catalog.QUERY_EPOCHS, catalog.QUERY_WIDE_EPOCHS) == (20, 10)
