@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starcast.llm import editprint, linededup, lm, mixing, packing, quality, sharding, simhash, topk, toxicity
+from starcast.llm import editprint, fim, linededup, lm, mixing, negatives, packing, quality, sharding, simhash, topk, toxicity
 from starcast.llm.common import crc_mod, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -71,8 +71,16 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
+def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.fill_in_middle(table(spark, sf_dir, "documents")).drop("output")
+
+
 QUERIES = {f.__name__: f for f in (op1_simhash, op2_quality, op3_toxicity, op4_packing, op5_mixing, op6_fingerprints,
-                                   op7_sharding, op8_topk, op9_lm, op10_line_dedup)}
+                                   op7_sharding, op8_topk, op9_lm, op10_line_dedup, op11_negatives, op13_fim)}
 
 ORACLES = {
     "op8_topk": """
@@ -108,4 +116,51 @@ ORACLES = {
         SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE dropped) AS BIGINT) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
         FROM marked GROUP BY doc_id""",
+    "op11_negatives": """
+        WITH c AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE CAST(label AS BIGINT) END AS label,
+                   list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND label IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+                   CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+            FROM c a JOIN c b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+        p AS (
+            SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+        SELECT p.anchor_id, p.positive_id,
+               CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other) AS INTEGER) AS rank,
+               s.other AS negative_id, p.positive_score, s.score AS negative_score
+        FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+         AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+        QUALIFY rank <= 10""",
+    "op13_fim": r"""
+        WITH d AS (
+            SELECT doc_id, coalesce(text, '') AS text,
+                   regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS tokens,
+                   sha256('42:' || CAST(doc_id AS VARCHAR)) AS drawn
+            FROM documents),
+        h AS (
+            SELECT *, len(tokens) AS n, CAST('0x' || drawn[1:8] AS BIGINT) AS h1, CAST('0x' || drawn[9:16] AS BIGINT) AS h2,
+                   CAST('0x' || drawn[17:24] AS BIGINT) AS h3, CAST('0x' || drawn[25:32] AS BIGINT) AS h4
+            FROM d),
+        f AS (
+            SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                   CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                          OR h3 % 100 >= 50 THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+            FROM h),
+        c AS (
+            SELECT *, array_to_string(tokens[1:a], '') AS prefix, array_to_string(tokens[a + 1:b], '') AS middle,
+                   array_to_string(tokens[b + 1:n], '') AS suffix
+            FROM f)
+        SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+               CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text
+                      WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                      ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+               sha256(text) AS restored_sha256
+        FROM c""",
 }
