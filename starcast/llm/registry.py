@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starcast.llm import editprint, fim, linededup, lm, mixing, negatives, packing, quality, sharding, simhash, topk, toxicity
+from starcast.llm import (editprint, fim, linededup, lm, mixing, negatives, packing, quality, sharding, simhash, suffixdedup,
+                          topk, toxicity)
 from starcast.llm.common import crc_mod, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -75,12 +76,18 @@ def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(table(spark, sf_dir, "embeddings"))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffixdedup.remove_repeats(table(spark, sf_dir, "documents"), keep_first=False)
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.fill_in_middle(table(spark, sf_dir, "documents")).drop("output")
 
 
 QUERIES = {f.__name__: f for f in (op1_simhash, op2_quality, op3_toxicity, op4_packing, op5_mixing, op6_fingerprints,
-                                   op7_sharding, op8_topk, op9_lm, op10_line_dedup, op11_negatives, op13_fim)}
+                                   op7_sharding, op8_topk, op9_lm, op10_line_dedup, op11_negatives,
+                                   op12_suffix_dedup, op13_fim)}
 
 ORACLES = {
     "op8_topk": """
