@@ -6,12 +6,12 @@ joined by it, so the model is spread over the cluster like any table. Each
 chunk of documents asks for its distinct n-grams once and scores its
 documents from the joined answers. A document is kept if its perplexity
 stays under a high quantile of its own language, taken over trusted documents
-that the model was not trained on; where these are too few to hold such a
-quantile, it is extended by their mean and spread.
+that the model was not trained on.
 """
 
 from __future__ import annotations
 
+import ctypes
 from statistics import NormalDist
 
 import numpy as np
@@ -24,8 +24,9 @@ from starcast.llm.common import crc_mod, row_key, write_table
 from starcast.session import scratch_path
 
 ORDER = 5
-CHUNK_ROWS = 8192
-BATCH_CHARS = 2_000_000
+CHUNK_ROWS = 8192           # a chunk ends at that many rows
+CHUNK_BYTES = 48 * 2 ** 20  # or bytes of text, whichever comes first
+BATCH_CHARS = 500_000       # characters whose n-grams are in memory together
 CHAR_BITS = 12
 SYMBOLS = 1 << CHAR_BITS
 START, STOP = 2, 3
@@ -37,49 +38,81 @@ SPREAD_ROWS = 2  # rows that the spread within all languages counts for beside a
 BROADCAST_IDS = 1_000_000
 
 
-def symbols(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Symbol codes of texts, each after ORDER - 1 start marks and before a
-    stop mark, and the begin of each. Characters from 4000 on are folded to
-    96 classes by their block of 256, so a symbol fits 12 bits."""
-    pad = "\x02" * (ORDER - 1)
-    codes = np.frombuffer("".join([pad + t + "\x03" for t in texts]).encode("utf-32-le", "surrogatepass"), dtype="<u4")
-    codes = np.where(codes < 4000, codes, 4000 + (codes >> 8) % 96).astype(np.int64)
-    size = np.array([len(t) + ORDER for t in texts], dtype=np.int64)
-    return codes, np.concatenate([[0], np.cumsum(size)[:-1]]).astype(np.int64)
+def symbols(pieces: list[str]) -> np.ndarray:
+    """Symbol codes of strings, one after the other. Characters from 4000 on
+    are folded to 96 classes by their block of 256, so a symbol fits 12 bits."""
+    codes = np.frombuffer("".join(pieces).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    return np.where(codes < 4000, codes, 4000 + (codes >> 8) % 96).astype(np.int64)
 
 
-def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Packed n-grams of all texts in order, and n-grams per text."""
-    codes, begin = symbols(texts)
-    n = np.array([len(t) + 1 for t in texts], dtype=np.int64)
+def pieces(text: str, limit: int = BATCH_CHARS):
+    """A text after ORDER - 1 start marks and before a stop mark, cut so that
+    every n-gram lies in exactly one piece of about ``limit`` characters."""
+    whole = "\x02" * (ORDER - 1) + text + "\x03"
+    for at in range(0, len(text) + 1, limit):
+        yield whole[at:at + limit + ORDER - 1]
+
+
+def grams(parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Packed n-grams of all pieces in order, and n-grams per piece."""
+    codes = symbols(parts)
+    size = np.array([len(p) for p in parts], dtype=np.int64)
+    n = size - (ORDER - 1)
     keys = np.zeros(max(0, len(codes) - ORDER + 1), dtype=np.int64)
     for k in range(ORDER):
         keys = (keys << CHAR_BITS) | codes[k:len(codes) - ORDER + 1 + k]
-    at = np.repeat(begin - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+    at = np.repeat((ORDER - 1) * np.arange(len(parts)), n) + np.arange(n.sum())
     return keys[at], n
 
 
-def _chunked(docs: DataFrame, chunk_rows: int) -> DataFrame:
-    shift = chunk_rows.bit_length() - 1
-    return (docs.select(row_key(F.col("doc_id"), F.col("text")).alias("row"), "doc_id",
-                        F.col("lang").cast("string").alias("lang"),
-                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-            .withColumn("chunk", F.shiftright(F.monotonically_increasing_id(), shift)))
+def _freed() -> None:
+    """Hand freed memory back to the system: workers are kept for later stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except OSError:
+        pass  # no glibc here
+
+
+class _Chunks:
+    """Chunk numbers along an input partition: the id of a chunk's first row.
+    A chunk ends at ``rows`` rows or ``size`` bytes, and with the partition."""
+
+    def __init__(self, rows: int, size: int):
+        self.limit, self.now, self.rows, self.bytes = (rows, size), None, 0, 0
+
+    def of(self, row_id: int, size: int) -> int:
+        full = self.rows >= self.limit[0] or (self.rows and self.bytes + size > self.limit[1])
+        if self.now is None or full or row_id >> 33 != self.now >> 33:
+            self.now, self.rows, self.bytes = row_id, 0, 0
+        self.rows += 1
+        self.bytes += size
+        return self.now
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """Documents with their place in the input (partition and row)."""
+    return docs.select(row_key(F.col("doc_id"), F.col("text")).alias("row"), "doc_id",
+                       F.col("lang").cast("string").alias("lang"),
+                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+                       F.monotonically_increasing_id().alias("place"))
 
 
 def _batched(texts, limit: int = BATCH_CHARS):
+    """``(number of the text, piece)`` lists of about ``limit`` characters."""
     part, size = [], 0
-    for t in texts:
-        part.append(t)
-        size += len(t) + ORDER
-        if size >= limit:
-            yield part
-            part, size = [], 0
+    for i, t in enumerate(texts):
+        for piece in pieces(t, limit):
+            part.append((i, piece))
+            size += len(piece)
+            if size >= limit:
+                yield part
+                part, size = [], 0
     if part:
         yield part
 
 
-def chunk_grams(chunked: DataFrame) -> DataFrame:
+def chunk_grams(flagged: DataFrame, chunk_rows: int = CHUNK_ROWS, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """``(chunk, gram, n)``: distinct n-grams of a chunk and how often its
     training rows (``train``) hold them."""
     def merge(a, b):
@@ -91,16 +124,17 @@ def chunk_grams(chunked: DataFrame) -> DataFrame:
         return keys[head], np.add.reduceat(counts, head) if len(head) else counts[:0]
 
     def run(batches):
-        now, state, texts, size = None, None, ([], []), 0
+        now, state, waiting, size = None, None, ([], []), 0
+        chunks = _Chunks(chunk_rows, chunk_bytes)
 
         def absorb():
-            nonlocal state, texts, size
-            for train, part in enumerate(texts):
-                if part:
-                    keys, times = np.unique(grams(part)[0], return_counts=True)
+            nonlocal state, waiting, size
+            for train, texts in enumerate(waiting):
+                for part in _batched(texts):
+                    keys, times = np.unique(grams([p for _, p in part])[0], return_counts=True)
                     add = (keys, times * train)
                     state = add if state is None else merge(state, add)
-            texts, size = ([], []), 0
+            waiting, size = ([], []), 0
 
         def send():
             return pa.RecordBatch.from_arrays(
@@ -108,34 +142,40 @@ def chunk_grams(chunked: DataFrame) -> DataFrame:
                 names=["chunk", "gram", "n"])
 
         for batch in batches:
-            for text, train, chunk in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for text, train, place, length in zip(batch.column(0), *(batch.column(i).to_pylist() for i in range(1, 4))):
+                chunk = chunks.of(place, length)
                 if chunk != now:
                     if now is not None:
                         absorb()
                         yield send()
                     now, state = chunk, None
-                texts[bool(train)].append(text)
-                size += len(text)
+                waiting[bool(train)].append(text.as_py())
+                size += length
                 if size >= BATCH_CHARS:
                     absorb()
         if now is not None:
             absorb()
             yield send()
+        state = None
+        _freed()
 
-    return chunked.select("text", "train", "chunk").mapInArrow(run, "chunk bigint, gram bigint, n bigint")
+    return (flagged.select("text", "train", "place", F.octet_length("text").alias("bytes"))
+            .mapInArrow(run, "chunk bigint, gram bigint, n bigint"))
 
 
-def pack_rows(chunked: DataFrame, block_rows: int = 512) -> DataFrame:
+def pack_rows(numbered: DataFrame, chunk_rows: int = CHUNK_ROWS, chunk_bytes: int = CHUNK_BYTES,
+              block_rows: int = 512) -> DataFrame:
     """``(chunk, block)``: the rows of a chunk as compressed Arrow blocks,
     about half the bytes of plain rows in the shuffle that follows."""
     def run(batches):
         options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6))
+        numbers = _Chunks(chunk_rows, chunk_bytes)
         for batch in batches:
-            chunks = batch.column(batch.num_columns - 1).to_numpy()
+            chunks = np.array([numbers.of(p, b) for p, b in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist())])
             edges = np.flatnonzero(np.diff(chunks)) + 1
             for lo, hi in zip([0, *edges], [*edges, len(chunks)]):
                 for a in range(lo, hi, block_rows):
-                    part = batch.slice(a, min(block_rows, hi - a)).select(range(batch.num_columns - 1))
+                    part = batch.slice(a, min(block_rows, hi - a)).select(range(4))
                     sink = pa.BufferOutputStream()
                     with pa.ipc.new_stream(sink, part.schema, options=options) as out:
                         out.write_batch(part)
@@ -143,7 +183,8 @@ def pack_rows(chunked: DataFrame, block_rows: int = 512) -> DataFrame:
                         [pa.array([int(chunks[lo])]), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
                         names=["chunk", "block"])
 
-    return chunked.select("row", "doc_id", "lang", "text", "chunk").mapInArrow(run, "chunk bigint, block binary")
+    return (numbered.select("row", "doc_id", "lang", "text", "place", F.octet_length("text").alias("bytes"))
+            .mapInArrow(run, "chunk bigint, block binary"))
 
 
 def _suffix(gram, order: int):
@@ -200,7 +241,7 @@ def log_probabilities(asked: DataFrame, trusted: DataFrame) -> DataFrame:
 
 
 def perplexities(docs: DataFrame, trusted_ids: DataFrame, *, chunk_rows: int = CHUNK_ROWS,
-                 broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
+                 chunk_bytes: int = CHUNK_BYTES, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
     """``(row, doc_id, lang, calibrates, n, perplexity)`` of every row, under the
     model of the rows whose id is in ``trusted_ids(doc_id)`` and outside the
     calibration fold; ``calibrates`` marks trusted rows of that fold.
@@ -208,95 +249,113 @@ def perplexities(docs: DataFrame, trusted_ids: DataFrame, *, chunk_rows: int = C
     of the text included (empty text: of the end alone). ``docs`` is read
     twice and must give the same rows in the same partitions (files)."""
     ids = write_table(trusted_ids.select(F.col("doc_id").alias("_t")).where("_t is not null").distinct(), "kn-trusted")
-    chunked = _chunked(docs, chunk_rows)
+    numbered = _numbered(docs)
     fold = crc_mod(F.col("doc_id"), CALIBRATE_FOLDS) == 0
     if ids.count() <= broadcast_ids:
-        flagged = chunked.join(F.broadcast(ids), F.col("doc_id") == F.col("_t"), "left")
-    else:
-        flagged = (chunked.join(ids, F.col("doc_id") == F.col("_t"), "left")
-                   .repartition("chunk").sortWithinPartitions("chunk"))
+        flagged = numbered.join(F.broadcast(ids), F.col("doc_id") == F.col("_t"), "left")
+    else:  # back to the input's partitions and order, so that chunks come out alike
+        flagged = (numbered.join(ids, F.col("doc_id") == F.col("_t"), "left")
+                   .repartition(F.shiftright("place", 33)).sortWithinPartitions("place"))
     flagged = flagged.withColumn("train", F.col("_t").isNotNull() & ~fold)
     at = scratch_path(docs.sparkSession, "kn-grams")
-    chunk_grams(flagged).write.option("compression", "zstd").parquet(at)
+    chunk_grams(flagged, chunk_rows, chunk_bytes).write.option("compression", "zstd").parquet(at)
     found = docs.sparkSession.read.parquet(at)
     totals = write_table(found.groupBy("gram").agg(F.sum("n").alias("n")), "kn-counts")
     answers = found.select("chunk", "gram").join(
         log_probabilities(totals.select("gram"), totals.where("n > 0")), "gram")
 
     def scored(key, packed: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
-        rows = pd.concat([pa.ipc.open_stream(b).read_all().to_pandas() for b in packed["block"]], ignore_index=True)
-        order = np.argsort(got["gram"].to_numpy(), kind="stable")
-        known, logp = got["gram"].to_numpy()[order], got["logp"].to_numpy(dtype=np.float64)[order]
-        out, size = [], rows["text"].str.len().to_numpy(dtype=np.int64) + 1
-        for part in _batched(rows["text"]):
-            keys, n = grams(part)
-            each = logp[np.searchsorted(known, keys)]
-            out.append(np.add.reduceat(each, np.concatenate([[0], np.cumsum(n)[:-1]])) / n)
-        return pd.DataFrame({"row": rows["row"].to_numpy(), "doc_id": rows["doc_id"].to_numpy(),
-                             "lang": rows["lang"].to_numpy(), "n": size,
-                             "perplexity": np.exp(-np.concatenate(out)) if out else np.zeros(0)})
+        known, logp = got["gram"].to_numpy(), got["logp"].to_numpy()
+        order = np.argsort(known, kind="stable")
+        known, logp = known[order], logp[order]
+        out = []
+        for block in packed["block"]:
+            rows = pa.ipc.open_stream(block).read_all()
+            size = np.zeros(rows.num_rows, dtype=np.int64)
+            total = np.zeros(rows.num_rows)
+            for part in _batched(t.as_py() for t in rows.column("text").combine_chunks()):
+                keys, n = grams([p for _, p in part])
+                each = logp[np.searchsorted(known, keys)].astype(np.float64)
+                owner = [i for i, _ in part]
+                np.add.at(size, owner, n)
+                np.add.at(total, owner, np.add.reduceat(each, np.concatenate([[0], np.cumsum(n)[:-1]])))
+            frame = rows.select(["row", "doc_id", "lang"]).to_pandas()
+            out.append(frame.assign(n=size, perplexity=np.exp(-total / size)))
+        del known, logp, order
+        _freed()
+        return pd.concat(out, ignore_index=True)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    result = (pack_rows(chunked).groupBy("chunk").cogroup(answers.groupBy("chunk"))
+    result = (pack_rows(numbered, chunk_rows, chunk_bytes).groupBy("chunk").cogroup(answers.groupBy("chunk"))
               .applyInPandas(scored, f"row bigint, doc_id {kind}, lang string, n bigint, perplexity double"))
     result = write_table(result, "kn-perplexity")
     marked = result.join(ids, F.col("doc_id") == F.col("_t"), "left")
     return marked.select("row", "doc_id", "lang", (F.col("_t").isNotNull() & fold).alias("calibrates"), "n", "perplexity")
 
 
-def _bounds(basis: DataFrame, high: float) -> DataFrame:
-    """``(l, q)``: the ``high`` quantile of ``judged`` in each language of the
-    calibration rows.
-
-    It is the language's own order statistic. If even the largest of its m
-    rows falls short of that quantile ((m + 1) high > m), the bound is at
-    least Student's prediction limit of one more row on the log scale: own
-    mean, and own variance with the pooled variance within languages added
-    as ``SPREAD_ROWS`` rows."""
-    own = write_table(basis.groupBy(F.col("lang").alias("l")).agg(
-        F.count(F.lit(1)).alias("m"), F.percentile_approx("judged", high, 10000).alias("order"),
-        F.avg(F.log("judged")).alias("mean"), F.var_pop(F.log("judged")).alias("var")), "kn-languages")
-    pooled = own.agg((F.sum(F.col("m") * F.col("var")) / F.sum(F.col("m") - 1)).alias("v")).first()["v"] or 0.0
+def _bounds(scored: DataFrame, high: float) -> DataFrame:
+    """``(l, q)`` of every language of ``scored(lang, judged, calibrates)``:
+    the ``high`` quantile of ``judged`` over its calibration rows.
+
+    One rule for any number m of rows: the larger of their order statistic
+    and Student's prediction limit of one more row on the log scale, by
+    their mean and their variance with the pooled variance within languages
+    added as ``SPREAD_ROWS`` rows. A language without calibration rows has
+    the median of its own documents in the place of the mean. Where no
+    language has two calibration rows, the pooled spread is that of all
+    documents around their languages' medians (by quartiles)."""
+    log = F.log("judged")
+    own = F.when(F.col("calibrates"), log)
+    stats = write_table(scored.groupBy(F.col("lang").alias("l")).agg(
+        F.count(own).alias("m"), F.percentile_approx(F.when(F.col("calibrates"), F.col("judged")), high, 10000).alias("order"),
+        F.avg(own).alias("mean"), F.coalesce(F.var_pop(own), F.lit(0.0)).alias("var"), F.count(log).alias("n"),
+        F.percentile_approx(log, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 10000).alias("middle")), "kn-languages")
+    quartile = (F.col("middle")[2] - F.col("middle")[0]) / 1.349
+    sums = stats.agg(F.sum(F.col("m") * F.col("var")).alias("within"), F.sum(F.greatest(F.col("m") - 1, F.lit(0))).alias("free"),
+                     F.sum(F.col("n") * quartile * quartile).alias("all"), F.sum("n").alias("n")).first()
+    pooled = sums["within"] / sums["free"] if sums["free"] else sums["all"] / sums["n"] if sums["n"] else 0.0
     z = NormalDist().inv_cdf(high)
-    free = F.col("m") - 1 + SPREAD_ROWS
-    spread = F.sqrt((F.lit(SPREAD_ROWS * pooled) + F.col("m") * F.col("var")) / free)
+    free = F.greatest(F.col("m") - 1, F.lit(0)) + SPREAD_ROWS
+    spread = F.sqrt((F.lit(SPREAD_ROWS * float(pooled)) + F.col("m") * F.col("var")) / free)
     # Student's quantile by its expansion
     t = (z + (z ** 3 + z) / 4 / free + (5 * z ** 5 + 16 * z ** 3 + 3 * z) / 96 / F.pow(free, 2)
          + (3 * z ** 7 + 19 * z ** 5 + 17 * z ** 3 - 15 * z) / 384 / F.pow(free, 3))
-    limit = F.exp(F.col("mean") + t * spread * F.sqrt(1 + 1 / F.col("m")))
-    few = (F.col("m") + 1) * high > F.col("m")
-    return own.select("l", F.when(few, F.greatest("order", limit)).otherwise(F.col("order")).alias("q"))
+    centre = F.coalesce(F.col("mean"), F.col("middle")[1])
+    limit = F.exp(centre + t * spread * F.sqrt(1 + 1 / F.greatest(F.col("m"), F.lit(1))))
+    return stats.select("l", F.greatest("order", limit).alias("q"))
 
 
 def judge(docs: DataFrame, trusted_ids: DataFrame, *, high: float = HIGH, margin: float = MARGIN,
-          pseudo_chars: int = PSEUDO_CHARS, chunk_rows: int = CHUNK_ROWS,
+          pseudo_chars: int = PSEUDO_CHARS, chunk_rows: int = CHUNK_ROWS, chunk_bytes: int = CHUNK_BYTES,
           broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
     """``(row, doc_id, lang, perplexity, judged, high, keep)`` of every row.
 
     A short text's average says little, so ``judged`` mixes
-    ``pseudo_chars`` characters of the calibration rows' median into the
-    perplexity. A row is kept if that is at most its language's ``high``
-    quantile over the calibration rows, widened by ``margin`` (a share). Every
-    language (null included) is judged by its own rows (``_bounds``); a
-    language without calibration rows is kept whole (``high`` infinite). Null
-    text counts as empty; long texts are read whole. Repeated rows get equal
-    results. Empty table: no rows."""
-    scored = write_table(perplexities(docs, trusted_ids, chunk_rows=chunk_rows, broadcast_ids=broadcast_ids),
-                         "kn-scored")
-    basis = scored.where("calibrates")
-    middle = basis.agg(F.percentile_approx("perplexity", 0.5, 10000).alias("m")).first()["m"] or 1.0
+    ``pseudo_chars`` characters of the calibration rows' median (without
+    such rows: of all rows' median) into the perplexity. A row is kept if
+    that is at most its language's bound (``_bounds``; null is a language),
+    widened by ``margin`` (a share). Without any trusted row the model is
+    uniform and every row is kept. Null text counts as empty; long texts are
+    read whole, in pieces. Repeated rows get equal results. Empty table: no
+    rows."""
+    scored = write_table(perplexities(docs, trusted_ids, chunk_rows=chunk_rows, chunk_bytes=chunk_bytes,
+                                      broadcast_ids=broadcast_ids), "kn-scored")
+    middles = scored.agg(F.percentile_approx(F.when(F.col("calibrates"), F.col("perplexity")), 0.5, 10000).alias("own"),
+                         F.percentile_approx("perplexity", 0.5, 10000).alias("all")).first()
+    middle = middles["own"] or middles["all"] or 1.0
     mixed = F.exp((F.col("n") * F.log("perplexity") + F.lit(pseudo_chars * float(np.log(middle))))
                   / (F.col("n") + pseudo_chars))
-    scored, basis = scored.withColumn("judged", mixed), basis.withColumn("judged", mixed)
-    bounds = write_table(_bounds(basis, high), "kn-bounds")
+    scored = scored.withColumn("judged", mixed)
+    bounds = write_table(_bounds(scored, high), "kn-bounds")
     joined = scored.join(bounds, F.col("lang").eqNullSafe(F.col("l")), "left")
-    return (joined.withColumn("high", F.coalesce("q", F.lit(float("inf"))) * (1 + margin))
-            .withColumn("keep", F.col("judged") <= F.col("high"))
+    return (joined.withColumn("high", F.col("q") * (1 + margin)).withColumn("keep", F.col("judged") <= F.col("high"))
             .select("row", "doc_id", "lang", "perplexity", "judged", "high", "keep"))
 
 
 def keep_good(docs: DataFrame, trusted_ids: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that ``judge`` keeps, with their columns. The
     smaller side of the decision, the rejected rows, is joined."""
-    rejected = judge(docs, trusted_ids, **options).where("not keep").select(F.col("row").alias("_kn_row")).distinct()
-    return docs.join(rejected, row_key(F.col("doc_id"), F.col("text")) == F.col("_kn_row"), "left_anti")
+    rejected = judge(docs, trusted_ids, **options).where("not keep").select("row").distinct()
+    # the documents as one struct, so that no name of theirs can clash
+    held = docs.select(F.struct("*").alias("doc"), row_key(F.col("doc_id"), F.col("text")).alias("row"))
+    return held.join(rejected, "row", "left_anti").select("doc.*")

@@ -144,6 +144,7 @@ def test_a_rare_language_is_judged_by_its_own_rows(spark, tmp_path):
     rows += [(1000 + i, " ".join(rng.choice(rare) for _ in range(40)), "xx") for i in range(60)]
     rows += [(2000 + i, "".join(rng.choice("qzxjkvw0189#") for _ in range(200)), "en") for i in range(20)]
     rows += [(3000 + i, " ".join(rng.choice(hot) for _ in range(40)), "none") for i in range(5)]
+    rows += [(3005, "".join(rng.choice("qzxjkvw0189#") for _ in range(200)), "none")]
     trusted = [(i,) for i in range(0, 600, 2)] + [(1000 + i,) for i in range(25)]
     spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(2).write.parquet(str(tmp_path / "docs"))
     docs = spark.read.parquet(str(tmp_path / "docs"))
@@ -153,25 +154,56 @@ def test_a_rare_language_is_judged_by_its_own_rows(spark, tmp_path):
     kept = lambda lo, hi: np.mean([r["keep"] for r in out if lo <= r["doc_id"] < hi])
     assert kept(1000, 1060) > 0.95
     assert kept(0, 600) > 0.95 and kept(2000, 2020) == 0
-    assert kept(3000, 3005) == 1  # no trusted row
+    assert kept(3000, 3005) == 1 and kept(3005, 3006) == 0  # no trusted row: judged from its own median
     assert len({r["high"] for r in out if r["lang"] == "xx"} | {r["high"] for r in out if r["lang"] == "en"}) == 2
 
 
 def test_bounds_of_many_and_few_rows(spark):
     rng = np.random.default_rng(3)
     many, few = np.exp(rng.normal(1, 0.1, 2000)), np.exp(rng.normal(3, 0.1, 4))
-    data = [("a", float(x)) for x in many] + [("b", float(x)) for x in few] + [(None, 9.0)]
-    q = {r["l"]: r["q"] for r in quality._bounds(spark.createDataFrame(data, "lang string, judged double"), 0.985).collect()}
-    assert q["a"] == sorted(many)[math.ceil(0.985 * 2000) - 1]
+    data = [("a", float(x), True) for x in many] + [("b", float(x), True) for x in few] + [(None, 9.0, True)]
+    data += [("a", 1e9, False), ("c", 7.0, False), ("c", 8.0, False), ("c", 900.0, False)]
+    schema = "lang string, judged double, calibrates boolean"
+    q = {r["l"]: r["q"] for r in quality._bounds(spark.createDataFrame(data, schema), 0.985).collect()}
     pooled = (2000 * np.log(many).var() + 4 * np.log(few).var()) / (1999 + 3)
     spread = math.sqrt((quality.SPREAD_ROWS * pooled + 4 * np.log(few).var()) / (3 + quality.SPREAD_ROWS) * 1.25)
-    assert quality.SPREAD_ROWS == 2  # Student's 0.985 quantile is 3.00 at 5 degrees of freedom and 5.64 at 2
+    assert quality.SPREAD_ROWS == 2  # Student's 0.985 quantile is 3.00 at 5 degrees of freedom, 5.64 at 2, 2.17 at 2001
     assert math.isclose((math.log(q["b"]) - np.log(few).mean()) / spread, 3.00, rel_tol=0.02)
     assert math.isclose((math.log(q[None]) - math.log(9)) / math.sqrt(2 * pooled), 5.64, rel_tol=0.06)
+    assert math.isclose((math.log(q["c"]) - math.log(8)) / math.sqrt(2 * pooled), 5.64, rel_tol=0.06)
+    limit = math.exp(np.log(many).mean() + 2.172 * math.sqrt((2 * pooled + 2000 * np.log(many).var()) / 2001))
+    assert math.isclose(q["a"], max(sorted(many)[math.ceil(0.985 * 2000) - 1], limit), rel_tol=1e-3)
 
 
-def test_registered_fits_have_the_reference_counts():
-    from starcast.plans import catalog
-
-    assert (catalog.QUERY_TREES, catalog.QUERY_WIDE_TREES) == (800, 300)
-    assert (catalog.QUERY_EPOCHS, catalog.QUERY_WIDE_EPOCHS) == (20, 10)
+def test_one_calibration_row_and_none(spark, tmp_path):
+    rng = random.Random(9)
+    hot = ["time", "house", "river", "stone", "light", "water"]
+    rows = [(i, " ".join(rng.choice(hot) for _ in range(40)), ["en", "de"][i % 2]) for i in range(40)]
+    rows += [(100 + i, "".join(rng.choice("qzxjkvw0189#") for _ in range(200)), "en") for i in range(3)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(2).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    folds = {0: [], 1: []}
+    for i in range(40):
+        folds[plain.fold(i, quality.CALIBRATE_FOLDS) == 0].append(i)
+    for calibrating in (1, 0):
+        ids = folds[0][:20] + folds[1][:calibrating]
+        got = {r["doc_id"]: r["keep"] for r in quality.judge(docs, spark.createDataFrame([(i,) for i in ids], "doc_id bigint")).collect()}
+        assert all(got[i] for i in range(40)) and not any(got[100 + i] for i in range(3)), calibrating
+    nobody = quality.judge(docs, spark.createDataFrame([], "doc_id bigint")).collect()
+    assert len(nobody) == 43 and all(r["keep"] for r in nobody)
+
+
+def test_chunks_are_bounded_by_bytes(spark, tmp_path):
+    rng = random.Random(10)
+    rows = [(i, "".join(rng.choice("abcdefgh ") for _ in range(rng.choice([0, 5, 50, 4000]))), "en") for i in range(60)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(2).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    ids = spark.createDataFrame([(i,) for i in range(0, 60, 2)], "doc_id bigint")
+    read = lambda **o: {r["doc_id"]: r["perplexity"] for r in quality.perplexities(docs, ids, **o).collect()}
+    want = read()
+    for options in (dict(chunk_bytes=3000), dict(chunk_rows=1), dict(chunk_bytes=9000, broadcast_ids=0)):
+        got = read(**options)
+        assert got.keys() == want.keys() and all(math.isclose(got[d], want[d], rel_tol=1e-6) for d in want), options
+    parts = list(quality.pieces("abcdefghij", 3))
+    whole, cut = quality.grams(["\x02" * 4 + "abcdefghij\x03"])[0], quality.grams(parts)
+    assert cut[0].tolist() == whole.tolist() and cut[1].tolist() == [3, 3, 3, 2]
