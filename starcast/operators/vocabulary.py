@@ -11,9 +11,9 @@ Every business record is flattened into long rows
 * every other field except the denylist -> its own name (kind
   ``scalar``), numbers as is, text encoded.
 
-A missing value stays null. The long form never has more rows per
-business than the business has fields and categories, so nothing is
-pivoted and no group grows with the data.
+A missing value stays null. The entries of a record are one array, built in
+one pass over its fields; the long form explodes it, so it never has more
+rows per business than the record has fields and categories.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ from starcast.schemas import BUSINESS_DENYLIST, BUSINESS_MAPS
 
 KINDS = ("category", "attribute", "hours", "scalar")
 DISCOVERY_DENYLIST = BUSINESS_DENYLIST + BUSINESS_MAPS
+ENTRY_TYPE = "array<struct<feature:string,kind:string,raw:string,value:double>>"
+EXTRA_COLUMN = "extra_entries"
 
 
 def _entry(feature: Column, kind: str, raw: Column, value: Column) -> Column:
@@ -35,42 +37,52 @@ def _entry(feature: Column, kind: str, raw: Column, value: Column) -> Column:
                     raw.cast("string").alias("raw"), value.cast("double").alias("value"))
 
 
-def _map_entries(df: DataFrame, key: str, m: str) -> DataFrame:
-    kind = "hours" if m == "hours" else "attribute"
-    kv = df.select(key, F.explode(m).alias("_k2", "_v2"))
-    prefix = F.concat(F.lit(m + fn.PATH_SEPARATOR), F.col("_k2"))
-    nested = F.transform(
-        F.map_entries(fn.parse_dict_literal(F.col("_v2"))),
-        lambda e: _entry(fn.strip(F.concat(prefix, F.lit(fn.PATH_SEPARATOR), e["key"])), kind,
-                         e["value"], fn.encode_literal(e["value"])))
-    flat_value = fn.opening_hours("_v2") if m == "hours" else fn.encode_text("_v2")
-    flat = F.array(_entry(fn.strip(prefix), kind, F.col("_v2"), flat_value))
-    entries = F.when(fn.is_dict_literal("_v2"), nested).otherwise(flat)
-    return kv.select(key, F.inline(entries))
+def map_entries(m: Column, name: Column | str, kind: str) -> Column:
+    """Entries of a ``map<string,string>`` field: one per key, or one per key
+    of a value that is a dict literal."""
+    name = F.lit(name) if isinstance(name, str) else name
 
+    def of(e):
+        prefix = F.concat(name, F.lit(fn.PATH_SEPARATOR), e["key"])
+        nested = F.transform(
+            F.map_entries(fn.parse_dict_literal(e["value"])),
+            lambda n: _entry(fn.strip(F.concat(prefix, F.lit(fn.PATH_SEPARATOR), n["key"])), kind,
+                             n["value"], fn.encode_literal(n["value"])))
+        flat_value = fn.opening_hours(e["value"]) if kind == "hours" else fn.encode_text(e["value"])
+        flat = F.array(_entry(fn.strip(prefix), kind, e["value"], flat_value))
+        return F.when(fn.is_dict_literal(e["value"]), nested).otherwise(flat)
 
-def wide_features_long(business: DataFrame, key: str = "business_id") -> DataFrame:
-    """Flatten business records into ``(key, feature, kind, raw, value)``."""
+    return F.flatten(F.transform(F.map_entries(m), of))
+
+
+def record_entries(business: DataFrame) -> Column:
+    """All entries of a business record as one array, in one pass over its
+    fields. A column ``extra_entries`` (``sources.files.read_business``)
+    holds those of undeclared keys."""
     fields = {f.name: f.dataType for f in business.schema.fields}
+    empty = F.array().cast(ENTRY_TYPE)
     parts = []
     if "categories" in fields:
         tokens = F.transform(F.split(F.col("categories"), fn.LIST_SEPARATOR), fn.strip)
-        parts.append(business.select(key, F.inline(F.transform(
-            tokens, lambda t: _entry(t, "category", F.lit(None), F.lit(1.0))))))
+        parts.append(F.transform(tokens, lambda t: _entry(t, "category", F.lit(None), F.lit(1.0))))
     for m in BUSINESS_MAPS:
         if m in fields and isinstance(fields[m], T.MapType):
-            parts.append(_map_entries(business, key, m))
-    scalars = [c for c in fields if c not in DISCOVERY_DENYLIST + ["categories"]]
-    if scalars:
-        def scalar(c):
-            if isinstance(fields[c], T.StringType):
-                return _entry(F.lit(c), "scalar", F.col(c), fn.encode_text(c))
-            return _entry(F.lit(c), "scalar", F.lit(None), F.col(c).cast("double"))
-        parts.append(business.select(key, F.inline(F.array(*[scalar(c) for c in scalars]))))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+            parts.append(map_entries(F.col(m), m, "hours" if m == "hours" else "attribute"))
+    for c in fields:
+        if c in DISCOVERY_DENYLIST + ["categories", EXTRA_COLUMN]:
+            continue
+        if isinstance(fields[c], T.StringType):
+            parts.append(F.array(_entry(F.lit(c), "scalar", F.col(c), fn.encode_text(c))))
+        else:
+            parts.append(F.array(_entry(F.lit(c), "scalar", F.lit(None), F.col(c).cast("double"))))
+    if EXTRA_COLUMN in fields:
+        parts.append(F.col(EXTRA_COLUMN))
+    return F.concat(*[F.coalesce(p.cast(ENTRY_TYPE), empty) for p in parts])
+
+
+def wide_features_long(business: DataFrame, key: str = "business_id") -> DataFrame:
+    """Flatten business records into ``(key, feature, kind, raw, value)``."""
+    return business.select(key, F.inline(record_entries(business)))
 
 
 def flatten_paths(business: DataFrame, key: str = "business_id") -> DataFrame:

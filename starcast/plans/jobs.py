@@ -45,10 +45,12 @@ def read_entities(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The five entities. A business or user that comes again replaces the
     record before it, so a pair meets one of each."""
     base = folder.rstrip("/")
-    out = {e: fl.read_json_lines(spark, f"{base}/{e}.json", e) for e in ENTITIES}
+    out = {e: fl.read_json_lines(spark, f"{base}/{e}.json", e) for e in ENTITIES if e != "business"}
+    placed = {"business": fl.read_business(spark, f"{base}/business.json", {"_at": _position()}),
+              "user": out["user"].withColumn("_at", _position())}
     for entity, key in RECORD_KEYS.items():
-        rows = out[entity].withColumn("_at", _position())
-        out[entity] = (rows.groupBy(key).agg(F.max_by(F.struct(*out[entity].columns), "_at").alias("_r"))
+        rows = placed[entity]
+        out[entity] = (rows.groupBy(key).agg(F.max_by(F.struct(*[c for c in rows.columns if c != "_at"]), "_at").alias("_r"))
                        .select("_r.*"))
     return out
 
@@ -105,7 +107,7 @@ def narrow_train_predict(spark, folder, train_csv, test_csv, output_csv=None, *,
     the predictions CSV when ``output_csv`` is given."""
     train_m, test_m = narrow_matrices(spark, folder, train_csv, test_csv, hot_rows=hot_rows,
                                       broadcast_bytes=broadcast_bytes)
-    model = tr.fit(tr.few_pipeline(params, n_estimators=n_estimators), train_m)
+    model = tr.fit_few(train_m, params, n_estimators=n_estimators)
     pred = tr.predict_clip(model, test_m)
     if output_csv:
         fl.write_predictions_csv(pred, output_csv)
@@ -115,8 +117,7 @@ def narrow_train_predict(spark, folder, train_csv, test_csv, output_csv=None, *,
 def discover_vocabulary(spark, business_json, out_dir=None):
     """Feature names (sorted) and every value per feature; written as text
     files ``features`` and ``feature_values`` under ``out_dir``."""
-    fl.check_business_keys(spark, business_json)
-    business = fl.read_json_lines(spark, business_json, "business")
+    business = fl.read_business(spark, business_json)
     long = vb.wide_features_long(business)
     if out_dir:  # both outputs read the long form: write it once
         long = write_table(long, "wide-long")
@@ -128,29 +129,22 @@ def discover_vocabulary(spark, business_json, out_dir=None):
     return vocab, values
 
 
-def _wide_tables(spark, folder, index, missing, handle_unknown):
+def _wide_tables(spark, folder, index, handle_unknown):
     e = read_entities(spark, folder)
-    if handle_unknown == "error":
-        fl.check_business_keys(spark, f"{folder.rstrip('/')}/business.json")
-    long = vb.wide_features_long(e["business"])
-    if handle_unknown == "error":  # read by the name check and by the vectors: write once
-        long = write_table(long, "wide-long")
-    defaults = wd.slot_defaults(index, missing)
+    width = index.count()
+    counts = ft.business_features(e["business"], e["checkin"], e["photo"], e["tip"], fill="null")
     done = materialize_all({
-        "bvec": wd.business_vectors(long, index, missing=missing, handle_unknown=handle_unknown,
-                                    defaults=defaults),
-        "bfeat": ft.business_features(e["business"], e["checkin"], e["photo"], e["tip"], fill="null"),
+        "cells": wd.with_counts(wd.business_cells(e["business"], index), counts, width),
         "ufeat": ft.user_features(e["user"], e["tip"], fill="null")})
-    bvec, (bfeat, _, bbytes), (ufeat, _, ubytes) = done["bvec"][0], done["bfeat"], done["ufeat"]
-    return bvec, bfeat, ufeat, dict(bvec_bytes=wd.vectors_bytes(bvec), ufeat_bytes=ubytes,
-                                    bcounts_bytes=bbytes), defaults
+    cells = wd.check_unknown(done["cells"][0], handle_unknown)
+    return cells, done["ufeat"][0], width, dict(cells_bytes=wd.cells_bytes(cells), ufeat_bytes=done["ufeat"][2])
 
 
-def wide_matrix_for(spark, folder, pairs, index, *, missing=wd.MISSING_SENTINEL, keep=None,
-                    handle_unknown="error", hot_rows: int | None = DEFAULT_HOT_ROWS):
-    bvec, bfeat, ufeat, sizes, defaults = _wide_tables(spark, folder, index, missing, handle_unknown)
+def wide_matrix_for(spark, folder, pairs, index, *, keep=None, handle_unknown="error",
+                    hot_rows: int | None = DEFAULT_HOT_ROWS):
+    cells, ufeat, width, sizes = _wide_tables(spark, folder, index, handle_unknown)
     pairs, hot = _hot(pairs, hot_rows, list(sizes.values()))
-    return wd.wide_matrix(pairs, bvec, bfeat, ufeat, defaults, missing=missing, keep=keep, hot=hot, **sizes)
+    return wd.wide_matrix(pairs, cells, ufeat, width, keep=keep, hot=hot, **sizes)
 
 
 def wide_train(spark, folder, train_csv, model_dir, *, vocabulary: DataFrame | None = None,
@@ -160,22 +154,20 @@ def wide_train(spark, folder, train_csv, model_dir, *, vocabulary: DataFrame | N
     the vocabulary index ``model_dir/vocabulary`` (Parquet)."""
     if vocabulary is None:
         vocabulary, _ = discover_vocabulary(spark, f"{folder.rstrip('/')}/business.json")
-    index = vb.feature_index(vocabulary)
+    index = write_table(vb.feature_index(vocabulary), "wide-index")
     train = wide_matrix_for(spark, folder, read_ratings_ordered(spark, train_csv), index, keep=["stars"],
                             hot_rows=hot_rows)
-    model = tr.fit(tr.gbt(params, n_estimators=n_estimators), train)
-    model.write().overwrite().save(f"{model_dir.rstrip('/')}/model")
+    model = tr.fit_wide(train, wd.zero_slots(index), params, n_estimators=n_estimators)
+    tr.save_model(model, f"{model_dir.rstrip('/')}/model", spark)
     index.write.mode("overwrite").parquet(f"{model_dir.rstrip('/')}/vocabulary")
     return model
 
 
 def wide_score(spark, folder, test_csv, model_dir, output_csv=None, *, handle_unknown="error",
                hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
-    """Distributed scoring with a saved wide model (``model.transform``
-    runs per partition on the executors), clipped and optionally written."""
-    from pyspark.ml.regression import GBTRegressionModel
-
-    model = GBTRegressionModel.load(f"{model_dir.rstrip('/')}/model")
+    """Distributed scoring with a saved wide model: every partition walks the
+    trees over its sparse rows; clipped and optionally written."""
+    model = tr.load_model(f"{model_dir.rstrip('/')}/model", spark)
     index = spark.read.parquet(f"{model_dir.rstrip('/')}/vocabulary")
     pairs = fl.read_pairs_csv(spark, test_csv).distinct()
     m = wide_matrix_for(spark, folder, pairs, index, handle_unknown=handle_unknown, hot_rows=hot_rows)
@@ -221,16 +213,15 @@ def mlp_train_wide(spark, folder, train_csv, model_dir, *, val_csv: str | None =
     scaler and vocabulary under ``model_dir``; returns the loss rows."""
     if vocabulary is None:
         vocabulary, _ = discover_vocabulary(spark, f"{folder.rstrip('/')}/business.json")
-    index = vb.feature_index(vocabulary)
-    bvec, bfeat, ufeat, sizes, defaults = _wide_tables(spark, folder, index, 0.0, "error")
+    index = write_table(vb.feature_index(vocabulary), "wide-index")
+    cells, ufeat, width, sizes = _wide_tables(spark, folder, index, "error")
 
     def matrix(csv):
         pairs, hot = _hot(read_ratings_ordered(spark, csv), hot_rows, list(sizes.values()))
-        return wd.wide_matrix(pairs, bvec, bfeat, ufeat, defaults, missing=0.0, keep=["stars"], hot=hot,
-                              **sizes)
-    train = matrix(train_csv)
+        return wd.wide_matrix(pairs, cells, ufeat, width, keep=["stars"], hot=hot, **sizes)
+    train = write_table(matrix(train_csv), "train-matrix")
     val = matrix(val_csv) if val_csv else None
-    lo, hi = sc.vector_minmax_fit(train)
+    lo, hi = sc.sparse_minmax_fit(train, width + wd.EXTRA)
     layers = [len(lo), *hidden]
     flat, hist = nn.fit_mlp(train, layers, epochs=epochs, validation=val, seed=seed, scale=(lo, hi))
     save_weights(spark, flat, layers, {"__vector__": (lo, hi)}, model_dir)
@@ -245,8 +236,7 @@ def mlp_score_wide(spark, folder, test_csv, model_dir, output_csv=None, *, handl
     flat, layers, stats = load_weights(spark, model_dir)
     index = spark.read.parquet(f"{model_dir.rstrip('/')}/vocabulary")
     pairs = fl.read_pairs_csv(spark, test_csv).distinct()
-    m = wide_matrix_for(spark, folder, pairs, index, missing=0.0, handle_unknown=handle_unknown,
-                        hot_rows=hot_rows)
+    m = wide_matrix_for(spark, folder, pairs, index, handle_unknown=handle_unknown, hot_rows=hot_rows)
     pred = nn.score_mlp(m, flat, layers, scale=stats["__vector__"])
     if output_csv:
         fl.write_predictions_csv(pred, output_csv)

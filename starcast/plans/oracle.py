@@ -50,7 +50,8 @@ CTES: dict[str, tuple[list[str], str]] = {
                CAST(p_partkey % 2 AS BIGINT) AS is_open,
                p_type AS state,
                CASE WHEN p_partkey % 13 = 0 THEN NULL
-                    ELSE concat_ws(', ', p_type, p_brand, replace(p_name, ' ', ', ')) END AS categories,
+                    ELSE concat_ws(', ', p_type, p_brand, replace(p_name, ' ', ', '), concat_ws(' ', p_brand, p_size),
+                                   concat_ws(' ', p_type, p_size), concat_ws(' ', p_type, p_brand)) END AS categories,
                p_partkey % 17 = 0 AS no_attributes,
                {FLAG.format(c="p_size < 10")} AS a_small,
                {FLAG.format(c="p_partkey % 3 = 0")} AS a_metal,

@@ -7,10 +7,11 @@ the executors (no driver loop).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starcast.functions import scalars as fn
 from starcast.schemas import ENTITY_SCHEMAS, PREDICTIONS, RATINGS
 
 # Fixed value: header of the predictions file, as the reference writes it.
@@ -50,14 +51,37 @@ def read_json_lines(spark: SparkSession, path: str, entity: str) -> DataFrame:
     return spark.read.schema(ENTITY_SCHEMAS[entity]).json(path)
 
 
-def check_business_keys(spark: SparkSession, path: str) -> None:
-    """Raise if business records have top-level keys outside the schema,
-    which the typed reader would drop without a word."""
-    known = ENTITY_SCHEMAS["business"].names
-    keys = spark.read.text(path).select(F.explode(F.json_object_keys("value")).alias("key"))
-    unknown = [r["key"] for r in keys.where(~F.col("key").isin(known)).distinct().limit(20).collect()]
-    if unknown:
-        raise ValueError(f"unknown keys in business records: {', '.join(sorted(unknown))}")
+def read_business(spark: SparkSession, path: str, also: dict[str, Column] | None = None) -> DataFrame:
+    """Business records with every top-level key: the declared fields, typed,
+    and ``extra_entries``, the feature entries of all other keys.
+
+    An undeclared text, number, boolean or null is a feature of its own name,
+    a map one feature per key (``operators.vocabulary.map_entries``), a list
+    a feature without a value. One scan of the text; the record is taken as a
+    map of variants once for its undeclared keys. ``also`` are further
+    columns over the text rows (their place in the input, say).
+    """
+    from starcast.operators import vocabulary as vb
+
+    known = ENTITY_SCHEMAS["business"]
+    rows = spark.read.text(path).select(
+        F.from_json("value", known).alias("r"), F.from_json("value", "map<string,variant>").alias("v"),
+                                        *[c.alias(name) for name, c in (also or {}).items()])
+    extra = F.map_filter("v", lambda k, _: ~k.isin(*known.names))
+
+    def entries(e):
+        kind, text = F.schema_of_variant(e["value"]), F.try_variant_get(e["value"], "$", "string")
+        value = (F.when(kind == "STRING", fn.encode_text(text))
+                 .when(kind.startswith("ARRAY"), F.lit(None).cast("double"))
+                 .otherwise(F.coalesce(F.try_variant_get(e["value"], "$", "double"),
+                                       F.try_variant_get(e["value"], "$", "boolean").cast("double"))))
+        one = F.struct(fn.strip(e["key"]).alias("feature"), F.lit("scalar").alias("kind"),
+                       F.when(kind == "STRING", text).alias("raw"), value.alias("value"))
+        nested = vb.map_entries(F.try_variant_get(e["value"], "$", "map<string,string>"), e["key"], "attribute")
+        return F.when(kind.startswith("OBJECT"), nested).otherwise(F.array(one).cast(vb.ENTRY_TYPE))
+
+    found = F.flatten(F.transform(F.map_entries(extra), entries))
+    return rows.select("r.*", F.coalesce(found, F.array().cast(vb.ENTRY_TYPE)).alias(vb.EXTRA_COLUMN), *(also or {}))
 
 
 def read_predictions_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -87,8 +87,9 @@ def business(spark: SparkSession, sf_dir: str) -> DataFrame:
         (key % 2).cast("bigint").alias("is_open"),
         F.col("p_type").alias("state"),
         F.when(key % 13 == 0, F.lit(None)).otherwise(
-            F.concat_ws(", ", F.col("p_type"), F.col("p_brand"),
-                        F.regexp_replace(F.col("p_name"), " ", ", "))).alias("categories"),
+            F.concat_ws(", ", F.col("p_type"), F.col("p_brand"), F.regexp_replace(F.col("p_name"), " ", ", "),
+                        *[F.concat_ws(" ", *pair) for pair in (("p_brand", "p_size"), ("p_type", "p_size"), ("p_type", "p_brand"))]
+                        )).alias("categories"),
         F.when(key % 17 == 0, F.lit(None)).otherwise(attributes).alias("attributes"),
         hours.alias("hours"),
     )

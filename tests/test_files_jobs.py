@@ -104,20 +104,68 @@ def test_later_file_wins_whatever_its_size(spark, tmpdir_path):
     assert jobs.read_ratings_ordered(spark, folder).where("user_id = 'u'").first().stars == 5.0
 
 
-def test_wide_vectors_defaults_and_unknown(spark, ents):
+def cells_of(rows, pos):
+    names = {i: f for f, i in pos.items()}
+    return {r.business_id: {names[s]: v for s, v in zip(r.slots, r["values"])} for r in rows.collect()}
+
+
+def test_wide_cells_and_unknown(spark, ents):
     long = vb.wide_features_long(ents["business"])
     index = vb.feature_index(vb.feature_vocabulary(long))
     pos = {r.feature: r.idx for r in index.collect()}
-    vec = {r.business_id: r.bvec.toArray() for r in wd.business_vectors(long, index).collect()}
-    assert vec["b1"][pos["Food"]] == 1.0 and vec["b2"][pos["Food"]] == 0.0
-    assert vec["b2"][pos["latitude"]] == wd.MISSING_SENTINEL
-    assert vec["b3"][pos["hours$Monday"]] == 12.0 and vec["b3"][pos["hours$Friday"]] == wd.MISSING_SENTINEL
-    small = index.where(F.col("feature") != "Food")
-    small = vb.feature_index(small.select("feature", "kind"))
-    with pytest.raises(KeyError):
-        wd.business_vectors(long, small).collect()
-    skipped = {r.business_id: r.bvec.size for r in wd.business_vectors(long, small, handle_unknown="skip").collect()}
-    assert skipped["b1"] == small.count()
+    got = cells_of(wd.check_unknown(wd.business_cells(ents["business"], index)), pos)
+    assert got["b1"]["Food"] == 1.0 and "Food" not in got["b2"]
+    assert "latitude" not in got["b2"]  # a null value has no cell
+    assert got["b3"]["hours$Monday"] == 12.0 and "hours$Friday" not in got["b3"]
+    want = {}
+    for r in long.where("value is not null").collect():
+        want.setdefault(r.business_id, {})[r.feature] = r.value
+    assert {b: c for b, c in got.items() if c} == want
+    # the way of large dictionaries gives the same
+    assert cells_of(wd.check_unknown(wd.business_cells(ents["business"], index, broadcast_bytes=0)), pos) == got
+    zero = wd.zero_slots(index)
+    assert len(zero) == len(pos) + 24 and zero[pos["Food"]] and not zero[pos["latitude"]] and not zero[-24:].any()
+    small = vb.feature_index(index.where(F.col("feature") != "Food").select("feature", "kind"))
+    for limit in (1 << 20, 0):
+        cells = wd.business_cells(ents["business"], small, broadcast_bytes=limit)
+        with pytest.raises(KeyError, match="Food"):
+            wd.check_unknown(cells)
+        skipped = {r.business_id: len(r.slots) for r in wd.check_unknown(cells, "skip").collect()}
+        assert skipped["b1"] == len(got["b1"]) - 1
+
+
+def test_wide_cells_take_one_scan_and_no_exchange(spark, tmp_path):
+    """Width 100,000: a row costs what its record holds."""
+    rows = [(f"b{i}", ", ".join(f"c{(i * 50 + j) % 99_994:05d}" for j in range(50)) + ", c00001") for i in range(2000)]
+    spark.createDataFrame(rows, "business_id string, categories string").write.parquet(str(tmp_path / "b"))
+    business = spark.read.parquet(str(tmp_path / "b"))
+    index = vb.feature_index(vb.feature_vocabulary(vb.wide_features_long(business)))
+    width = index.count()
+    assert width == 99_994
+    cells = wd.business_cells(business, index)
+    plan = cells._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan
+    row = cells.agg(F.sum(F.size("slots")).alias("n"), F.max(F.array_max("slots")).alias("top"), F.sum("n_unknown").alias("u")).first()
+    assert row["top"] == width - 1 and row["u"] == 0 and 2000 * 50 <= row["n"] <= 2000 * 51
+    assert wd.cells_bytes(cells) < 2000 * 51 * 12 + 2000 * 96 + 1
+
+
+def test_vector_crosses_no_exchange_twice(spark):
+    """With broadcast off the cells are joined last: one exchange holds them."""
+    from starcast.plans import catalog
+
+    cells, users, width, _, _ = catalog.wide_inputs(spark, "/root/testdata/sf0.001")
+    pairs = spark.createDataFrame([(1, 2), (3, 4)], "user_id bigint, business_id bigint")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        m = wd.wide_matrix(pairs, cells, users, width, broadcast_bytes=0)
+        plan = m._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(exchanges) == 4  # pairs by user, users, the joined rows by business, cells
+    assert m.count() == 2
 
 
 def test_narrow_job_and_evaluate(spark, tmpdir_path):
@@ -185,10 +233,18 @@ def test_stars_that_are_no_number_raise(spark, tmp_path):
     assert fl.read_pairs_csv(spark, str(tmp_path / "w.csv")).count() == 1
 
 
-def test_unknown_business_key_raises(spark, tmp_path):
-    (tmp_path / "b.json").write_text('{"business_id": "b", "stars": 4.0, "noise_level": 3}\n')
-    with pytest.raises(ValueError, match="noise_level"):
-        jobs.discover_vocabulary(spark, str(tmp_path / "b.json"))
+def test_any_business_key_becomes_a_feature(spark, tmp_path):
+    (tmp_path / "b.json").write_text(
+        '{"business_id": "b", "stars": 4.0, "noise_level": 3, "kind": "good", "open_late": true, "none": null, "tags": ["x"],'
+        ' "more": {"flag": "True", "set": "{\'a\': True, \'b\': 2}"}}\n{"business_id": "c", "noise_level": 2.5}\n')
+    vocabulary, values = jobs.discover_vocabulary(spark, str(tmp_path / "b.json"))
+    names = {r.feature for r in vocabulary.collect()}
+    assert {"noise_level", "kind", "open_late", "none", "tags", "more$flag", "more$set$a", "more$set$b", "stars"} <= names
+    assert not names & {"business_id", "more", "more$set", "extra_entries"}
+    got = {(r.feature, r.raw): r.value for r in values.collect()}
+    assert got[("open_late", None)] == 1.0 and got[("more$set$b", "2")] == 2.0 and got[("kind", "good")] == 233472885.0
+    assert {r.value for r in values.where("feature = 'noise_level'").collect()} == {3.0, 2.5, None} - {None}
+    assert got[("tags", None)] is None and got[("none", None)] is None
 
 
 def test_later_record_of_a_business_replaces_the_one_before(spark, tmp_path):

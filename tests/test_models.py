@@ -30,19 +30,19 @@ def rmse_of(pred, truth):
 
 
 def test_gbt_learns_and_clips(spark, signal):
-    model = tr.few_pipeline(n_estimators=15).fit(signal)
+    model = tr.fit_few(signal, n_estimators=60)
     pred = tr.predict_clip(model, signal)
     rows = pred.collect()
     assert len(rows) == signal.count() and all(1.0 <= r.prediction <= 5.0 for r in rows)
     mean = signal.agg(F.avg("stars")).first()[0]
     base = signal.select("user_id", "business_id", F.lit(mean).alias("prediction"))
     assert rmse_of(pred, signal) < 0.7 * rmse_of(base, signal)
-    again = tr.predict_clip(tr.few_pipeline(n_estimators=15).fit(signal), signal)
+    again = tr.predict_clip(tr.fit_few(signal, n_estimators=60), signal)
     assert sorted(r.prediction for r in again.collect()) == sorted(r.prediction for r in rows)
 
 
 def test_model_roundtrip(spark, signal, tmpdir_path):
-    model = tr.few_pipeline(n_estimators=3).fit(signal)
+    model = tr.fit_few(signal, n_estimators=3)
     path = tr.save_model(model, tmpdir_path + "/m")
     a = {(r.user_id, r.business_id): r.prediction for r in tr.predict_clip(model, signal).collect()}
     b = {(r.user_id, r.business_id): r.prediction for r in tr.predict_clip(tr.load_model(path), signal).collect()}
@@ -156,13 +156,18 @@ def test_mlp_in_task_scaling_equals_column_scaling(spark, signal):
     assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-9 for k in a)
 
 
-def test_dense_batch_from_mixed_sparse_and_dense_vectors():
-    # Arrow struct form of ML vectors; dense rows carry a null size, which
-    # pandas turns into a float column.
-    col = pd.Series([{"type": 0, "size": 4.0, "indices": [1.0, 3.0], "values": [2.0, 5.0]},
-                     {"type": 1, "size": None, "indices": None, "values": [1.0, 0.0, 0.0, 7.0]}])
-    x = nn._matrix(col)
-    assert x.tolist() == [[0.0, 2.0, 0.0, 5.0], [1.0, 0.0, 0.0, 7.0]]
+def test_features_of_every_form(spark):
+    """ML vectors (sparse and dense mixed), arrays and sparse structs score alike."""
+    from pyspark.ml.linalg import Vectors
+
+    rows = [[0.0, 2.0, 0.0, 5.0], [1.0, 0.0, 0.0, 7.0]]
+    vec = spark.createDataFrame([(0, Vectors.sparse(4, [1, 3], [2.0, 5.0])), (1, Vectors.dense(rows[1]))], ["id", "features"])
+    arr = spark.createDataFrame([(0, rows[0]), (1, rows[1])], "id int, features array<double>")
+    cells = spark.createDataFrame([(0, ([1, 3], [2.0, 5.0])), (1, ([0, 2, 3], [1.0, None, 7.0]))],
+                                  "id int, features struct<slots:array<int>,values:array<double>>")
+    flat = nn.flatten(nn.init_params([4, 3, 1], 0))
+    got = [sorted((r.id, r.prediction) for r in nn.score_mlp(df, flat, [4, 3, 1], keys=["id"]).collect()) for df in (vec, arr, cells)]
+    assert got[0] == got[1] == got[2] and len(got[0]) == 2
 
 
 def test_gradient_sum_ignores_arrival_order():
@@ -176,3 +181,44 @@ def test_gradient_sum_ignores_arrival_order():
         assert all(np.array_equal(o[c].iloc[0], outs[0][c].iloc[0]) for c in ("coarse", "fine"))
     total = nn.join_units(outs[0]["coarse"].iloc[0], outs[0]["fine"].iloc[0])
     assert np.allclose(total, parts.sum(axis=0), rtol=1e-9, atol=1e-9)
+
+
+def test_registered_fits_have_the_reference_counts():
+    from starcast.plans import catalog
+
+    assert (catalog.QUERY_TREES, catalog.QUERY_WIDE_TREES) == (800, 300) and tr.TUNED_TREES == (1500, 2500)
+    assert (catalog.QUERY_EPOCHS, catalog.QUERY_WIDE_EPOCHS) == (20, 10)
+    assert nn.BATCH_ROWS == 32 and nn.ADAM["lr"] == 1e-3
+
+
+def test_epochs_in_one_task_match_plain_steps(spark):
+    """Batches of 32 in key order, Adam at 1e-3; sparse and dense rows alike."""
+    rng = np.random.default_rng(8)
+    x = np.where(rng.random((100, 4)) < 0.5, rng.uniform(0, 2, (100, 4)), 0.0)
+    y = x @ [1.0, 0.5, 0.0, -0.5] + 2
+    layers = [4, 6, 1]
+    rows = [(i, float(y[i]), ([j for j in range(4) if x[i, j]], [float(v) for v in x[i] if v])) for i in range(100)]
+    sparse = spark.createDataFrame(rows, "id int, stars double, features struct<slots:array<int>,values:array<double>>").repartition(3)
+    dense = spark.createDataFrame([(i, float(y[i]), x[i].tolist()) for i in range(100)], "id int, stars double, features array<double>")
+    scale = ([0.0, -1.0, 0.0, 0.0], [2.0, 2.0, 0.0, 2.0])
+    flat, hist = nn.fit_mlp(sparse, layers, epochs=3, validation=dense, seed=4, scale=scale)
+    again, same = nn.fit_mlp(dense.repartition(2), layers, epochs=3, validation=sparse, seed=4, scale=scale)
+    assert np.allclose(flat, again, rtol=0, atol=1e-6) and np.allclose(hist, same, atol=1e-5)
+    keys = {r["id"]: r["k"] for r in sparse.select("id", F.xxhash64(F.lit(4), "id").alias("k")).collect()}
+    order = np.array(sorted(range(100), key=keys.get))
+    lo, rng_ = nn._scale_arrays(scale)
+    params = nn.flatten(nn.init_params(layers, 4))
+    params[-1] = y.mean()
+    m, v, step = np.zeros_like(params), np.zeros_like(params), 0
+    for epoch in range(3):
+        turn = order[np.random.default_rng([4, epoch]).permutation(100)]
+        for at in range(0, 100, 32):
+            some = turn[at:at + 32]
+            grads, _ = nn._grad(nn.unflatten(params, layers), (x[some] - lo) / rng_, y[some])
+            g, step = nn.flatten(grads), step + 1
+            m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+            rate = 1e-3 * np.sqrt(1 - 0.999 ** step) / (1 - 0.9 ** step)
+            params = params - rate * m / (np.sqrt(v) + 1e-7)
+    assert np.allclose(flat, params, atol=2e-4)
+    got = {r["id"]: r["prediction"] for r in nn.score_mlp(sparse, flat, layers, keys=["id"], scale=scale).collect()}
+    assert np.allclose([got[i] for i in range(100)], nn.forward(nn.unflatten(flat, layers), (x - lo) / rng_))

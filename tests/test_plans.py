@@ -35,7 +35,7 @@ def test_scans_are_pruned_and_filtered(spark):
 
 
 def test_wide_matrix_broadcasts_dimensions(spark):
-    train, _ = c.wide_matrices(spark, SF)
+    train, _, _ = c.wide_matrices(spark, SF)
     p = physical(train)
     assert p.count("BroadcastHashJoin") >= 3 and "SortMergeJoin" not in p
 

@@ -15,8 +15,8 @@ def test_stream_matches_batch(spark, tmpdir_path):
     e = jobs.read_entities(spark, DATA)
     bfeat, bbytes, ufeat, ubytes = ft.feature_tables(e["business"], e["checkin"], e["photo"], e["tip"], e["user"])
     train = jobs.read_ratings_ordered(spark, os.path.join(DATA, "train.csv"))
-    model = tr.few_pipeline(n_estimators=3).fit(
-        ft.rating_features(train, bfeat, ufeat, keep=["stars"], bfeat_bytes=bbytes, ufeat_bytes=ubytes))
+    model = tr.fit_few(
+        ft.rating_features(train, bfeat, ufeat, keep=["stars"], bfeat_bytes=bbytes, ufeat_bytes=ubytes), n_estimators=3)
     inbox = os.path.join(tmpdir_path, "inbox")
     os.makedirs(inbox)
     shutil.copy(os.path.join(DATA, "val.csv"), os.path.join(inbox, "part1.csv"))
@@ -35,8 +35,8 @@ def test_stream_restart_scores_only_new_files(spark, tmpdir_path):
     e = jobs.read_entities(spark, DATA)
     bfeat, bbytes, ufeat, ubytes = ft.feature_tables(e["business"], e["checkin"], e["photo"], e["tip"], e["user"])
     train = jobs.read_ratings_ordered(spark, os.path.join(DATA, "train.csv"))
-    model = tr.few_pipeline(n_estimators=2).fit(
-        ft.rating_features(train, bfeat, ufeat, keep=["stars"], bfeat_bytes=bbytes, ufeat_bytes=ubytes))
+    model = tr.fit_few(
+        ft.rating_features(train, bfeat, ufeat, keep=["stars"], bfeat_bytes=bbytes, ufeat_bytes=ubytes), n_estimators=2)
     inbox, sink, ckpt = (os.path.join(tmpdir_path, x) for x in ("inbox", "sink", "ckpt"))
     os.makedirs(inbox)
     shutil.copy(os.path.join(DATA, "val.csv"), os.path.join(inbox, "a.csv"))
