@@ -267,7 +267,7 @@ def repeated_spans(numbered: DataFrame, *, span: int = SPAN, keep_first: bool =
                    hot_runs: int = HOT_RUNS) -> DataFrame:
     """``(row, spans)``: flat ``[start, stop, ...]`` byte ranges, unordered, of
     the rows ``(row, text)`` that hold repeated windows."""
-    every = _all_runs(numbered, span)
+    every = write_table(_all_runs(numbered, span), "suffix-all-runs")
     anchors = (every.groupBy("anchor").agg(F.sum("times").alias("n"), F.min("content").alias("a"), F.max("content").alias("b"))
                .where("n > 1").select("anchor", (F.col("a") != F.col("b")).alias("mixed")))
     found = write_table(every.join(anchors, "anchor"), "suffix-runs")
