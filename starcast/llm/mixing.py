@@ -21,6 +21,7 @@ from starcast.llm.common import write_table
 
 ALPHA = 0.5
 SEED = 17
+HEAVY_RATE = 64  # copies of a document that one task writes in a row
 BROADCAST_SOURCES = 100_000
 
 
@@ -68,17 +69,26 @@ def mix(docs: DataFrame, weights: dict | None = None, *, alpha: float = ALPHA, t
 
     The rates join is broadcast while there are at most
     ``BROADCAST_SOURCES`` sources (counted), else a shuffle join whose hot
-    sources the skew-join rule splits. Equal rows get equal counts; null
-    ids are told apart by their text. Null text counts as a document.
-    Empty table: no rows.
+    sources the skew-join rule splits. The shuffle key is a uniform hash, so
+    its ranges are known beforehand: rows go to them without a sampling pass,
+    and counts are drawn once. Documents of sources with a rate above
+    ``HEAVY_RATE`` are dealt out in parts of as many copies first. Equal rows
+    get equal counts; null ids are told apart by their text. Null text
+    counts as a document. Empty table: no rows.
     """
-    rates = target_rates(docs, weights, alpha=alpha, total=total)
-    rates = write_table(rates.select(F.col("source").alias("_mix_source"), F.col("rate").alias("_mix_rate")),
-                        "mix-rates")
-    if rates.count() <= BROADCAST_SOURCES:
-        rates = F.broadcast(rates)
-    docs = docs.drop("replica", "shuffle_key", "_mix_count")
-    u = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", "text"), 11) / F.lit(float(1 << 53))
+    rates = write_table(target_rates(docs, weights, alpha=alpha, total=total), "mix-rates")
+    row = rates.agg(F.count(F.lit(1)).alias("n"), F.max("rate").alias("top")).first()
+    heavy = (row["top"] or 0) > HEAVY_RATE
+    held = rates.select(F.col("source").alias("name"), "rate")
+    if row["n"] <= BROADCAST_SOURCES:
+        held = F.broadcast(held)
+    docs = docs.drop("replica", "shuffle_key")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # the documents as one struct, so that no name of theirs can clash
+    rows = (docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("i"), F.col("text").alias("t"),
+                        F.col("source").cast("string").alias("s"))
+            .join(held, F.col("s").eqNullSafe(F.col("name"))))
+    u = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "i", "t"), 11) / F.lit(float(1 << 53))
 
     @F.pandas_udf("bigint")
     def copies(u: pd.Series, rate: pd.Series) -> pd.Series:
@@ -88,8 +98,17 @@ def mix(docs: DataFrame, weights: dict | None = None, *, alpha: float = ALPHA, t
             out[at] = poisson_quantile(u.to_numpy()[at], float(mean))
         return pd.Series(out)
 
-    counted = (docs.join(rates, F.col("source").cast("string").eqNullSafe(F.col("_mix_source")))
-               .withColumn("_mix_count", copies(u, F.col("_mix_rate"))).where("_mix_count > 0"))
-    copied = counted.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_mix_count").cast("int"))).alias("replica"))
-    keyed = copied.withColumn("shuffle_key", F.xxhash64(F.lit(seed + 1), "doc_id", "text", "replica"))
-    return keyed.orderBy("shuffle_key", "doc_id", "replica")
+    counted = rows.select("doc", "i", "t", copies(u, F.col("rate")).alias("n")).where("n > 0")
+    if heavy:
+        counted = (counted.select("doc", "i", "t", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1, F.lit(HEAVY_RATE))).alias("base"))
+                   .repartition(parts, F.xxhash64("i", "t", "base")))
+        step = F.least(F.col("n") - F.col("base"), F.lit(HEAVY_RATE))
+        replica = F.explode(F.sequence(F.col("base") + 1, F.col("base") + step))
+    else:
+        replica = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n")))
+    copied = counted.select("doc", "i", "t", replica.alias("replica")).withColumn("replica", F.col("replica").cast("int"))
+    keyed = copied.select("doc", "i", "replica", F.xxhash64(F.lit(seed + 1), "i", "t", "replica").alias("shuffle_key"))
+    # equal ranges of the signed key, in order
+    part = F.floor((F.col("shuffle_key") / F.lit(2.0 ** 64) + 0.5) * parts).cast("int")
+    ranged = keyed.repartitionById(parts, F.least(part, F.lit(parts - 1))).sortWithinPartitions("shuffle_key", "i", "replica")
+    return ranged.select("doc.*", "replica", "shuffle_key")
