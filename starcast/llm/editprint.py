@@ -233,7 +233,7 @@ def neighbours(docs: DataFrame) -> DataFrame:
                             F.struct(F.col("_prev").alias("bucket"), F.lit(1).alias("peek")))
                     ).otherwise(F.array(F.struct("bucket", F.lit(0).alias("peek"))))
     spread = marked.select(F.explode(places).alias("p"), "doc_id", "text").select("p.bucket", "p.peek", "doc_id", "text")
-    return (spread.repartition(max(count, 1), "bucket")
+    return (spread.repartitionById(max(count, 1), F.col("bucket"))
             .sortWithinPartitions("bucket", "peek", F.col("doc_id").desc_nulls_last(), "text"))
 
 
