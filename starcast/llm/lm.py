@@ -27,6 +27,7 @@ from starcast.llm.common import crc_mod, write_table
 
 FOLDS, HELD_FOLD, EM_FOLD = 7, 2, 4
 CHUNK_ROWS = 2048
+SHARD_BYTES = 32 * 2 ** 20  # text whose requests one summing group holds
 BUCKETS = 24
 END = np.uint64(0xE703E703E703E703)
 START = np.uint64(0x57A2757A2757A275)
@@ -228,7 +229,8 @@ def score(docs: DataFrame, *, chunk_rows: int = CHUNK_ROWS, shards: int | None =
     """
     spark = docs.sparkSession
     if shards is None:
-        shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string"))).alias("b")).first()["b"] or 0
+        shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES))
     kind = docs.schema["doc_id"].dataType.simpleString()
     chunked = _chunked(docs, chunk_rows)
     answers = write_table(_answers(_requests(chunked, shards)), "lm-answers")
