@@ -48,16 +48,16 @@ def repeated_keys(lines: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
 
 
 def keep_bitmaps(docs: DataFrame, *, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """Run-length coded keep bitmaps ``(row, n_dropped, dropped_runs)`` of the
-    documents that lose lines; ``dropped_runs`` lists ``(first, last)`` line
-    positions and ``row`` is ``common.row_key`` of the document."""
+    """Run-length coded keep bitmaps ``(doc_id, row, n_dropped, dropped_runs)``
+    of the documents that lose lines; ``dropped_runs`` lists ``(first, last)``
+    line positions and ``row`` is ``common.row_key`` of the document."""
     lines = write_table(line_keys(docs, min_chars), "line-keys")
     repeated = write_table(repeated_keys(lines, min_docs), "line-repeated")
     lost = (lines.join(repeated, ["h1", "h2"]).where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
-            .groupBy("row").agg(F.array_sort(F.collect_set("pos")).alias("at")))
+            .groupBy("doc_id", "row").agg(F.array_sort(F.collect_set("pos")).alias("at")))
     heads = F.filter("at", lambda p, i: (i == 0) | (F.get(F.col("at"), i - 1) != p - 1))
     tails = F.filter("at", lambda p, i: (i == F.size("at") - 1) | (F.get(F.col("at"), i + 1) != p + 1))
-    return lost.select("row", F.size("at").alias("n_dropped"),
+    return lost.select("doc_id", "row", F.size("at").alias("n_dropped"),
                        F.arrays_zip(heads.alias("first"), tails.alias("last")).alias("dropped_runs"))
 
 
@@ -75,15 +75,17 @@ def dedup_lines(docs: DataFrame, *, min_chars: int = MIN_CHARS, min_docs: int =
     """
     new = ["kept_text", "n_lines", "n_dropped", "dropped_runs"]
     docs = docs.drop(*new)
-    maps = keep_bitmaps(docs, min_chars=min_chars, min_docs=min_docs)
-    maps = maps.select(F.col("row").alias("_ld_row"), F.col("n_dropped").alias("_ld_n"),
-                       F.col("dropped_runs").alias("dropped_runs"))
-    all_lines = _lines(F.col("text"))
-    joined = docs.join(maps, row_key(F.col("doc_id"), F.col("text")) == F.col("_ld_row"), "left")
+    maps = keep_bitmaps(docs, min_chars=min_chars, min_docs=min_docs).select(
+        F.col("doc_id").alias("k"), F.col("row").alias("r"), "n_dropped", "dropped_runs")
+    # the documents as one struct, so that no name of theirs can clash
+    held = docs.select(F.struct("*").alias("doc"), row_key(F.col("doc_id"), F.col("text")).alias("row"))
+    all_lines = _lines(F.col("doc.text"))
+    joined = held.join(maps, (F.col("row") == F.col("r")) & F.col("doc.doc_id").eqNullSafe(F.col("k")), "left")
     # the kept runs lie between the dropped ones; each is one slice of the lines
     begins = F.concat(F.array(F.lit(0)), F.transform("dropped_runs.last", lambda p: p + 1))
     ends = F.concat(F.col("dropped_runs.first"), F.array(F.size(all_lines)))
     kept = F.flatten(F.zip_with(begins, ends, lambda a, b: F.slice(all_lines, a + 1, b - a)))
-    text = F.when(F.col("_ld_n").isNull(), F.coalesce("text", F.lit(""))).otherwise(F.array_join(kept, "\n"))
-    return joined.select(*docs.columns, text.alias("kept_text"), F.size(all_lines).cast("bigint").alias("n_lines"),
-                         F.coalesce("_ld_n", F.lit(0)).cast("bigint").alias("n_dropped"), "dropped_runs")
+    text = F.when(F.col("n_dropped").isNull(), F.coalesce("doc.text", F.lit(""))).otherwise(F.array_join(kept, "\n"))
+    done = joined.select("doc", text.alias("kept_text"), F.size(all_lines).cast("bigint").alias("n_lines"),
+                         F.coalesce("n_dropped", F.lit(0)).cast("bigint").alias("n_dropped"), "dropped_runs")
+    return done.select("doc.*", *new)
