@@ -355,7 +355,7 @@ def judge(docs: DataFrame, trusted_ids: DataFrame, *, high: float = HIGH, margin
 def keep_good(docs: DataFrame, trusted_ids: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that ``judge`` keeps, with their columns. The
     smaller side of the decision, the rejected rows, is joined."""
-    rejected = judge(docs, trusted_ids, **options).where("not keep").select("row").distinct()
+    rejected = judge(docs, trusted_ids, **options).where("not keep").select(F.col("row").alias("r"), F.col("doc_id").alias("k")).distinct()
     # the documents as one struct, so that no name of theirs can clash
-    held = docs.select(F.struct("*").alias("doc"), row_key(F.col("doc_id"), F.col("text")).alias("row"))
-    return held.join(rejected, "row", "left_anti").select("doc.*")
+    held = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("id"), row_key(F.col("doc_id"), F.col("text")).alias("row"))
+    return held.join(rejected, (F.col("row") == F.col("r")) & F.col("id").eqNullSafe(F.col("k")), "left_anti").select("doc.*")
