@@ -30,6 +30,45 @@ SIMPLE_CHUNK = r"[!-~À-ÖØ-öø-ÿ]+"
 SIMPLE_PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+"
 
 
+# Fixed values of the vocabulary file: what the short way rests on.
+SPLIT_RULES = {
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
+    "pattern": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+",
+    "added": {"<|startoftext|>", "<|endoftext|>"},
+}
+
+
+def has_split_rules(path: str) -> bool:
+    """Does the tokenizer file split texts by ``SPLIT_RULES``?"""
+    import json
+
+    with open(path, encoding="utf-8") as f:
+        rules = json.load(f)
+    normal, before, model = (rules.get(k) or {} for k in ("normalizer", "pre_tokenizer", "model"))
+    steps = before.get("pretokenizers") or [{}]
+    return (normal.get("normalizers") == SPLIT_RULES["normalizers"] and model.get("type") == "BPE"
+            and [x.get("type") for x in steps] == ["Split", "ByteLevel"] and steps[0].get("behavior") == "Removed"
+            and steps[0].get("invert") is True and steps[0].get("pattern") == {"Regex": SPLIT_RULES["pattern"]}
+            and steps[1].get("add_prefix_space") is False and steps[1].get("use_regex") is False
+            and {x["content"] for x in rules.get("added_tokens") or []} <= SPLIT_RULES["added"])
+
+
+class TextEncoder:
+    """Ids of whole texts by the tokenizer itself, for files of other rules."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.full = Tokenizer.from_file(path)
+
+    def ids(self, text: bytes) -> bytes:
+        return np.array(self.full.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+
+def encoder(path: str):
+    return WordEncoder(path) if has_split_rules(path) else TextEncoder(path)
+
+
 class WordEncoder(dict):
     """Ids of white-space separated chunks as little-endian uint32 bytes.
 
@@ -192,7 +231,7 @@ def pack(docs: DataFrame, tokenizer_path: str, *, size: int = SEQUENCE, end_id:
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches):
-        encode = WordEncoder(tokenizer_path)
+        encode = encoder(tokenizer_path)
         out: list[tuple] = []
         packer = Packer(out.append, TaskContext.get().partitionId() << 33, size, open_limit)
         id_type = None
