@@ -87,6 +87,28 @@ def materialize_all(tables: dict[str, DataFrame]) -> dict[str, tuple[DataFrame,
         return {k: f.result() for k, f in futures.items()}
 
 
+def write_bucketed(df: DataFrame, key: str, name: str = "bucketed") -> DataFrame:
+    """Write ``df`` under the shared folder bucketed and sorted by ``key``, in as
+    many buckets as there are shuffle partitions, and read it back. A join
+    on the key then shuffles only the other side, and every job that joins
+    the table shares this one layout."""
+    from starcast.session import scratch_path
+
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    (df.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key).sortBy(key)
+     .option("path", path).saveAsTable(table))
+    return spark.table(table)
+
+
+def co_located(df: DataFrame, key: str, dim_bytes: int | None, broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+               name: str = "bucketed") -> DataFrame:
+    """A written dimension as it is where it is broadcast, else bucketed by its key."""
+    return df if fits_broadcast(dim_bytes, broadcast_bytes) else write_bucketed(df, key, name)
+
+
 def fits_broadcast(dim_bytes: int | None, broadcast_bytes: int) -> bool:
     return dim_bytes is not None and dim_bytes <= broadcast_bytes
 

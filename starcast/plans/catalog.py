@@ -22,7 +22,7 @@ from starcast.operators import scoring as scr
 from starcast.operators import trees as tr
 from starcast.operators import vocabulary as vb
 from starcast.operators import wide as wd
-from starcast.operators.joins import materialize_all, write_table
+from starcast.operators.joins import co_located, materialize_all, write_table
 from starcast.plans.oracle import CTES, hash32_sql, with_ctes
 from starcast.session import scratch_path
 from starcast.sources import files as fl
@@ -406,7 +406,9 @@ def wide_inputs(spark, d):
     done = materialize_all({"cells": wd.with_counts(wd.business_cells(business, index), counts, width),
                             "ufeat": ft.user_features(e["user"], e["tip"], fill="null")})
     cells = wd.check_unknown(done["cells"][0])
-    return cells, done["ufeat"][0], width, index, dict(cells_bytes=wd.cells_bytes(cells), ufeat_bytes=done["ufeat"][2])
+    sizes = dict(cells_bytes=wd.cells_bytes(cells), ufeat_bytes=done["ufeat"][2])
+    return (co_located(cells, "business_id", sizes["cells_bytes"], name="wide-cells"),
+            co_located(done["ufeat"][0], "user_id", sizes["ufeat_bytes"], name="user-features"), width, index, sizes)
 
 
 def wide_matrices(spark, d):

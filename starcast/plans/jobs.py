@@ -31,7 +31,7 @@ from starcast.operators import scaling as sc
 from starcast.operators import trees as tr
 from starcast.operators import vocabulary as vb
 from starcast.operators import wide as wd
-from starcast.operators.joins import (DEFAULT_BROADCAST_BYTES, DEFAULT_HOT_ROWS, fits_broadcast,
+from starcast.operators.joins import (DEFAULT_BROADCAST_BYTES, DEFAULT_HOT_ROWS, co_located, fits_broadcast,
                                      hot_keys_by, materialize_all, write_table)
 from starcast.sources import files as fl
 
@@ -137,7 +137,10 @@ def _wide_tables(spark, folder, index, handle_unknown):
         "cells": wd.with_counts(wd.business_cells(e["business"], index), counts, width),
         "ufeat": ft.user_features(e["user"], e["tip"], fill="null")})
     cells = wd.check_unknown(done["cells"][0], handle_unknown)
-    return cells, done["ufeat"][0], width, dict(cells_bytes=wd.cells_bytes(cells), ufeat_bytes=done["ufeat"][2])
+    sizes = dict(cells_bytes=wd.cells_bytes(cells), ufeat_bytes=done["ufeat"][2])
+    # too large to broadcast: one layout that training, validation and scoring share
+    return (co_located(cells, "business_id", sizes["cells_bytes"], name="wide-cells"),
+            co_located(done["ufeat"][0], "user_id", sizes["ufeat_bytes"], name="user-features"), width, sizes)
 
 
 def wide_matrix_for(spark, folder, pairs, index, *, keep=None, handle_unknown="error",

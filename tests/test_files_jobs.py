@@ -150,22 +150,32 @@ def test_wide_cells_take_one_scan_and_no_exchange(spark, tmp_path):
     assert wd.cells_bytes(cells) < 2000 * 51 * 12 + 2000 * 96 + 1
 
 
-def test_vector_crosses_no_exchange_twice(spark):
-    """With broadcast off the cells are joined last: one exchange holds them."""
+def test_no_exchange_holds_the_cells(spark, ents, monkeypatch):
+    """With broadcast off the cells are bucketed once: the pairs go to them,
+    for training and scoring alike, and the result is the broadcast join's."""
+    from starcast.operators import joins
     from starcast.plans import catalog
 
-    cells, users, width, _, _ = catalog.wide_inputs(spark, "/root/testdata/sf0.001")
-    pairs = spark.createDataFrame([(1, 2), (3, 4)], "user_id bigint, business_id bigint")
+    sf = "/root/testdata/sf0.001"
+    want = catalog.wide_matrices(spark, sf)[0]
+    want = {(r.user_id, r.business_id): (list(r.features.slots), list(r.features["values"])) for r in want.collect()}
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        m = wd.wide_matrix(pairs, cells, users, width, broadcast_bytes=0)
-        plan = m._jdf.queryExecution().executedPlan().toString()
+        for module in (catalog, joins):
+            monkeypatch.setattr(module, "co_located", lambda df, key, size, name: joins.write_bucketed(df, key, name))
+        cells, users, width, _, _ = catalog.wide_inputs(spark, sf)
+        for split in (True, False):
+            pairs = catalog.train_ratings(spark, sf) if split else catalog.valid_ratings(spark, sf)
+            m = wd.wide_matrix(joins.write_table(pairs, "pairs"), cells, users, width, broadcast_bytes=0)
+            plan = m._jdf.queryExecution().executedPlan().toString()
+            exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+            assert len(exchanges) == 2 and plan.count("Bucketed: true") == 2, plan  # the pairs by user, then by business
+            if split:
+                got = {(r.user_id, r.business_id): (list(r.features.slots), list(r.features["values"])) for r in m.collect()}
+                assert got == want
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
-    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
-    assert len(exchanges) == 4  # pairs by user, users, the joined rows by business, cells
-    assert m.count() == 2
 
 
 def test_narrow_job_and_evaluate(spark, tmpdir_path):
