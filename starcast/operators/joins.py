@@ -162,3 +162,14 @@ def join_dimension(fact: DataFrame, dim: DataFrame, key: str, how: str = "left",
     if hot is not None:
         return salted_join(fact, dim, key, hot, how)
     return fact.join(dim, key, how)
+
+
+def with_hot_keys(pairs: DataFrame, hot_rows: int | None = DEFAULT_HOT_ROWS, dim_bytes: list[int | None] = (),
+                  broadcast_bytes: int = DEFAULT_BROADCAST_BYTES):
+    """``(pairs, hot-key tables by key)``, only when some dimension will be
+    shuffle-joined: with every dimension broadcast the pairs never shuffle
+    for the joins and are not written out."""
+    if not hot_rows or all(fits_broadcast(b, broadcast_bytes) for b in dim_bytes):
+        return pairs, None
+    pairs = write_table(pairs, "pairs")  # read twice: key counts and the join
+    return pairs, hot_keys_by(pairs, ["business_id", "user_id"], hot_rows)

@@ -22,7 +22,7 @@ from starcast.operators import scoring as scr
 from starcast.operators import trees as tr
 from starcast.operators import vocabulary as vb
 from starcast.operators import wide as wd
-from starcast.operators.joins import co_located, materialize_all, write_table
+from starcast.operators.joins import co_located, materialize_all, with_hot_keys, write_table
 from starcast.plans.oracle import CTES, hash32_sql, with_ctes
 from starcast.session import scratch_path
 from starcast.sources import files as fl
@@ -71,16 +71,23 @@ def matrix_tables(spark, d, fill="zero", extra: dict | None = None):
     return done["bfeat"][0], done["ufeat"][0], sizes
 
 
+def with_features(pairs: DataFrame, b, u, sizes: dict, **options):
+    """Pairs with their features; hot keys are salted where a feature table
+    is too large to broadcast."""
+    pairs, hot = with_hot_keys(pairs, dim_bytes=list(sizes.values()))
+    return ft.rating_features(pairs, b, u, hot=hot, **sizes, **options)
+
+
 def few_matrix(spark, d, ratings: DataFrame, fill="zero"):
-    b, u, rows = matrix_tables(spark, d, fill)
-    return ft.rating_features(ratings, b, u, fill=fill, keep=["stars"], **rows)
+    b, u, sizes = matrix_tables(spark, d, fill)
+    return with_features(ratings, b, u, sizes, fill=fill, keep=["stars"])
 
 
 def few_matrices(spark, d, fill="zero"):
     """Train and validation matrices over one set of feature tables."""
-    b, u, rows = matrix_tables(spark, d, fill)
-    train = ft.rating_features(train_ratings(spark, d), b, u, fill=fill, keep=["stars"], **rows)
-    valid = ft.rating_features(valid_ratings(spark, d), b, u, fill=fill, keep=["stars"], **rows)
+    b, u, sizes = matrix_tables(spark, d, fill)
+    train = with_features(train_ratings(spark, d), b, u, sizes, fill=fill, keep=["stars"])
+    valid = with_features(valid_ratings(spark, d), b, u, sizes, fill=fill, keep=["stars"])
     return train.drop("cold_start"), valid.drop("cold_start")
 
 
@@ -289,8 +296,8 @@ def q_rating_features(spark, d):
          LEFT JOIN ufeat u ON v.user_id = u.user_id""", "raw_ratings", "bfeat", "ufeat"))
 def q_pair_features(spark, d):
     pairs = tb.raw_split(spark, d, validation=True).select(*ft.PAIR_KEYS).distinct()
-    b, u, rows = matrix_tables(spark, d)
-    return ft.rating_features(pairs, b, u, **rows)
+    b, u, sizes = matrix_tables(spark, d)
+    return with_features(pairs, b, u, sizes)
 
 
 @register("cold_start_pairs", with_ctes("""
@@ -311,8 +318,8 @@ def q_cold_start_pairs(spark, d):
 @register("labelled_features", with_ctes("SELECT * FROM train_matrix", "train_matrix"))
 def q_labelled_features(spark, d):
     pairs = tb.raw_split(spark, d, validation=False).select(*ft.PAIR_KEYS).distinct()
-    b, u, rows = matrix_tables(spark, d)
-    feats = ft.rating_features(pairs, b, u, **rows).drop("cold_start")
+    b, u, sizes = matrix_tables(spark, d)
+    feats = with_features(pairs, b, u, sizes).drop("cold_start")
     return ft.labelled_features(feats, train_ratings(spark, d))
 
 
@@ -806,8 +813,9 @@ def q_write_feature_list(spark, d):
 
 
 @register("write_feature_values", with_ctes("""
-    SELECT feature || ' : ' || coalesce(raw, CAST(value AS VARCHAR), 'None') AS value
-    FROM (SELECT DISTINCT feature, raw, value FROM wide_long)""", "wide_long"))
+    SELECT feature || ' : [' || string_agg(v, ', ' ORDER BY v) || ']' AS value
+    FROM (SELECT DISTINCT feature, coalesce(raw, CAST(value AS VARCHAR), 'None') AS v FROM wide_long)
+    GROUP BY feature""", "wide_long"))
 def q_write_feature_values(spark, d):
     path = fl.write_feature_values(vb.feature_values(wide_long(spark, d)), scratch_path(spark, "feature-values"))
     return spark.read.text(path)

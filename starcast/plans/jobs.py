@@ -31,8 +31,8 @@ from starcast.operators import scaling as sc
 from starcast.operators import trees as tr
 from starcast.operators import vocabulary as vb
 from starcast.operators import wide as wd
-from starcast.operators.joins import (DEFAULT_BROADCAST_BYTES, DEFAULT_HOT_ROWS, co_located, fits_broadcast,
-                                     hot_keys_by, materialize_all, write_table)
+from starcast.operators.joins import (DEFAULT_BROADCAST_BYTES, DEFAULT_HOT_ROWS, co_located, materialize_all,
+                                     with_hot_keys, write_table)
 from starcast.sources import files as fl
 
 ENTITIES = ["business", "checkin", "photo", "tip", "user"]
@@ -75,26 +75,15 @@ def _tables(spark, folder, fill):
     return ft.feature_tables(e["business"], e["checkin"], e["photo"], e["tip"], e["user"], fill=fill)
 
 
-def _hot(pairs: DataFrame, hot_rows: int | None, dim_bytes: list[int | None] = (),
-         broadcast_bytes: int = DEFAULT_BROADCAST_BYTES):
-    """Hot-key tables for the pairs, only when some dimension will be
-    shuffle-joined: with every dimension broadcast the pairs never shuffle
-    for the joins and are not written out."""
-    if not hot_rows or all(fits_broadcast(b, broadcast_bytes) for b in dim_bytes):
-        return pairs, None
-    pairs = write_table(pairs, "pairs")  # read twice: key counts and the join
-    return pairs, hot_keys_by(pairs, ["business_id", "user_id"], hot_rows)
-
-
 def narrow_matrices(spark, folder, train_csv, test_csv, *, hot_rows: int | None = DEFAULT_HOT_ROWS,
                     broadcast_bytes: int = DEFAULT_BROADCAST_BYTES):
     """(train matrix with stars, test matrix) over the 31 features."""
     bfeat, bbytes, ufeat, ubytes = _tables(spark, folder, "zero")
     sizes = dict(bfeat_bytes=bbytes, ufeat_bytes=ubytes, broadcast_bytes=broadcast_bytes)
     dims = [bbytes, ubytes]
-    train, hot = _hot(read_ratings_ordered(spark, train_csv), hot_rows, dims, broadcast_bytes)
+    train, hot = with_hot_keys(read_ratings_ordered(spark, train_csv), hot_rows, dims, broadcast_bytes)
     train_m = ft.rating_features(train, bfeat, ufeat, keep=["stars"], hot=hot, **sizes)
-    test, hot_t = _hot(fl.read_pairs_csv(spark, test_csv).distinct(), hot_rows, dims, broadcast_bytes)
+    test, hot_t = with_hot_keys(fl.read_pairs_csv(spark, test_csv).distinct(), hot_rows, dims, broadcast_bytes)
     test_m = ft.rating_features(test, bfeat, ufeat, hot=hot_t, **sizes)
     return train_m, test_m
 
@@ -146,7 +135,7 @@ def _wide_tables(spark, folder, index, handle_unknown):
 def wide_matrix_for(spark, folder, pairs, index, *, keep=None, handle_unknown="error",
                     hot_rows: int | None = DEFAULT_HOT_ROWS):
     cells, ufeat, width, sizes = _wide_tables(spark, folder, index, handle_unknown)
-    pairs, hot = _hot(pairs, hot_rows, list(sizes.values()))
+    pairs, hot = with_hot_keys(pairs, hot_rows, list(sizes.values()))
     return wd.wide_matrix(pairs, cells, ufeat, width, keep=keep, hot=hot, **sizes)
 
 
@@ -196,7 +185,7 @@ def mlp_train(spark, folder, train_csv, model_dir, *, val_csv: str | None = None
     bfeat, bbytes, ufeat, ubytes = _tables(spark, folder, "zero")   # once, for both matrices
 
     def labelled(csv):
-        pairs, hot = _hot(read_ratings_ordered(spark, csv), hot_rows, [bbytes, ubytes])
+        pairs, hot = with_hot_keys(read_ratings_ordered(spark, csv), hot_rows, [bbytes, ubytes])
         return ft.rating_features(pairs, bfeat, ufeat, keep=["stars"], hot=hot, bfeat_bytes=bbytes,
                                   ufeat_bytes=ubytes)
     train_m = labelled(train_csv)
@@ -220,7 +209,7 @@ def mlp_train_wide(spark, folder, train_csv, model_dir, *, val_csv: str | None =
     cells, ufeat, width, sizes = _wide_tables(spark, folder, index, "error")
 
     def matrix(csv):
-        pairs, hot = _hot(read_ratings_ordered(spark, csv), hot_rows, list(sizes.values()))
+        pairs, hot = with_hot_keys(read_ratings_ordered(spark, csv), hot_rows, list(sizes.values()))
         return wd.wide_matrix(pairs, cells, ufeat, width, keep=["stars"], hot=hot, **sizes)
     train = write_table(matrix(train_csv), "train-matrix")
     val = matrix(val_csv) if val_csv else None

@@ -118,9 +118,21 @@ def write_feature_list(vocabulary: DataFrame, path: str) -> str:
     return path
 
 
-def write_feature_values(values: DataFrame, path: str) -> str:
-    """``name : raw-or-value`` lines, sorted by name then value."""
+VALUES_PER_LINE = 100_000
+
+
+def write_feature_values(values: DataFrame, path: str, per_line: int = VALUES_PER_LINE) -> str:
+    """``name : [values]``, one line per feature, sorted by name, its values by
+    text. A feature of more than ``per_line`` values takes several lines,
+    ``name #1/3 : [values]``, dealt by a hash of the value, so that no line is
+    unbounded."""
     shown = F.coalesce(F.col("raw"), F.col("value").cast("string"), F.lit("None"))
-    lines = values.select("feature", shown.alias("_v")).orderBy("feature", "_v")
-    lines.select(F.concat_ws(" : ", "feature", "_v").alias("value")).write.mode("overwrite").text(path)
+    texts = values.select("feature", shown.alias("_v")).distinct()
+    lines = texts.groupBy("feature").agg(F.ceil(F.count(F.lit(1)) / F.lit(per_line)).alias("_n"))
+    dealt = texts.join(lines, "feature").withColumn("_k", F.pmod(F.xxhash64("_v"), F.col("_n")))
+    grouped = dealt.groupBy("feature", "_n", "_k").agg(F.sort_array(F.collect_list("_v")).alias("_l"))
+    name = F.when(F.col("_n") == 1, F.col("feature")).otherwise(
+        F.concat("feature", F.lit(" #"), (F.col("_k") + 1).cast("string"), F.lit("/"), F.col("_n").cast("string")))
+    text = F.concat(name, F.lit(" : ["), F.array_join("_l", ", "), F.lit("]"))
+    grouped.orderBy("feature", "_k").select(text.alias("value")).write.mode("overwrite").text(path)
     return path

@@ -81,7 +81,17 @@ def test_wide_long_and_vocabulary(spark, ents, tmpdir_path):
     lines = spark.read.text(os.path.join(tmpdir_path, "features")).collect()
     assert [r.value for r in lines] == names
     vals = spark.read.text(os.path.join(tmpdir_path, "feature_values")).collect()
-    assert "state : AZ" in [r.value for r in vals]
+    held = dict(r.value.split(" : ", 1) for r in vals)
+    assert list(held) == names and held["state"].startswith("[") and "AZ" in held["state"].strip("[]").split(", ")
+    fl.write_feature_values(values, os.path.join(tmpdir_path, "parts"), per_line=1)
+    parts = [r.value for r in spark.read.text(os.path.join(tmpdir_path, "parts")).collect()]
+    assert len(parts) > len(names) and any(" #1/" in p for p in parts)
+    whole = {n: sorted(v.strip("[]").split(", ")) for n, v in held.items()}
+    again = {}
+    for p in parts:
+        name, v = p.split(" : ", 1)
+        again.setdefault(name.split(" #")[0], []).extend(v.strip("[]").split(", "))
+    assert {n: sorted(v) for n, v in again.items()} == whole
 
 
 def test_feature_index_dense(spark, ents):
