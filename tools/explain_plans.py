@@ -22,9 +22,10 @@ NOTES = {
                          "168 slots). Here Catalyst broadcasts the aggregated sides from its "
                          "file-size estimate; when they are large the joins become sort-merge "
                          "joins that share the business_id hash partitioning.",
-    "wide_features_long": "Narrow: one scan of part per generator branch, no exchange.",
-    "assemble_wide": "Vectors (read back from the shared folder) and counts broadcast behind "
-                     "measured sizes; the rating side keeps the dedupe exchange only.",
+    "wide_features_long": "Narrow: one scan of part and one generator over a record's entries, no exchange.",
+    "assemble_wide": "Users, then cells with counts (both read back from the shared folder) "
+                     "broadcast behind measured sizes; the rating side keeps the dedupe exchange "
+                     "only. Too large to broadcast, both are bucketed by their key.",
     "error_distribution": "Truth and predictions join on the pair key (one row per pair after "
                           "dedupe, so no hot key); the 5-row bucket table joins a broadcast of "
                           "at most 5 counted buckets.",
