@@ -288,8 +288,9 @@ def keep_one(docs: DataFrame, *, words: int = SHINGLE, tau: int = MAX_DISTANCE)
     """``docs`` with one row of each near-duplicate group: that of its
     smallest id (equal ids: the least row hash; null ids last). Of rows that
     repeat the same id and text one stays. Empty table: no rows."""
-    keepers = _grouped(docs, words, tau)[1].select(F.col("component_id").alias("k"), F.col("keeper").alias("r")).distinct()
+    # ids as text, null as none: one plain key, so that join and dedup share a shuffle
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("none"))
+    keepers = _grouped(docs, words, tau)[1].select(F.col("keeper").alias("row"), text("component_id").alias("id")).distinct()
     # the documents as one struct, so that no name of theirs can clash
-    held = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("id"), row_key(F.col("doc_id"), F.col("text")).alias("row"))
-    kept = held.join(keepers, (F.col("row") == F.col("r")) & F.col("id").eqNullSafe(F.col("k")), "left_semi")
-    return kept.dropDuplicates(["row", "id"]).select("doc.*")
+    held = docs.select(F.struct("*").alias("doc"), row_key(F.col("doc_id"), F.col("text")).alias("row"), text("doc_id").alias("id"))
+    return held.join(keepers, ["row", "id"], "left_semi").dropDuplicates(["row", "id"]).select("doc.*")
