@@ -6,10 +6,10 @@ the prior-corrected loss of the unlabelled part as the negative class's
 loss; when a batch drives that part below zero, the step ascends it
 instead, so the classifier cannot memorize the positives. The classifier
 is linear over the presence of words and their prefixes (hashed). Only
-those significantly more frequent in the positives than in the unlabelled
-sample have weights, so a long text's many neutral words add no noise. It is
-fitted in numpy on a bounded sample; every whole text is scored on the
-executors.
+those significantly more frequent in the positives than in the whole corpus
+have weights, so a long text's many neutral words add no noise; document
+frequencies are counted over every usable document. The weights are fitted in
+numpy on a bounded sample; every whole text is scored on the executors.
 """
 
 from __future__ import annotations
@@ -29,7 +29,8 @@ BUCKETS = 1 << 18
 MAX_POSITIVE = 4000
 MAX_UNLABELLED = 8000
 MIN_DOCS = 4
-MIN_Z = 4.0  # two-proportion z score of a bucket's share of the positives over that of the unlabelled
+MIN_Z = 4.0  # two-proportion z score of a bucket's share of the positives over that of the corpus
+CACHE_WORDS = 500_000  # words whose buckets a task remembers
 PREFIXES = (4, 5, 6, 7)
 THRESHOLD = 0.3
 FOLDS, HELD_FOLD = 4, 2
@@ -61,6 +62,39 @@ def _sample_features(rows: DataFrame) -> list[np.ndarray]:
     return [np.frombuffer(r["f"], dtype=np.int32) for r in rows.select("text").mapInArrow(run, "f binary").collect()]
 
 
+def document_frequencies(docs: DataFrame) -> tuple[int, np.ndarray]:
+    """``(rows, documents per bucket)`` over every row of ``docs(text)``.
+
+    A task adds up its own rows in one array and sends a row per bucket it
+    met, so what is shuffled and what reaches the driver (at most ``BUCKETS``
+    rows) does not depend on the texts' lengths. Null texts have no words;
+    repeated rows count each; an empty table gives zeros."""
+    def run(batches):
+        rows, seen, cache = 0, np.zeros(BUCKETS, np.int64), {}
+        for batch in batches:
+            rows += batch.num_rows
+            for text in batch.column(0).to_pylist():
+                found: set[int] = set()
+                for word in words(text) if text else ():
+                    got = cache.get(word)
+                    if got is None:
+                        if len(cache) >= CACHE_WORDS:
+                            cache.clear()
+                        got = cache[word] = buckets(word)
+                    found.update(got)
+                seen[np.fromiter(found, np.int64, len(found))] += 1
+        met = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(met, -1).astype(np.int32)), pa.array(np.append(seen[met], rows))],
+                                         names=["bucket", "n"])
+
+    sums = (docs.select(F.col("text").cast("string")).mapInArrow(run, "bucket int, n bigint")
+            .groupBy("bucket").agg(F.sum("n").alias("n")).toArrow())
+    at, n = sums.column("bucket").to_numpy(), sums.column("n").to_numpy()
+    counts = np.zeros(BUCKETS, np.int64)
+    counts[at[at >= 0]] = n[at >= 0]
+    return int(n[at < 0].sum()), counts
+
+
 def _csr(feats: list[np.ndarray]):
     ptr = np.concatenate([[0], np.cumsum([len(f) for f in feats])]).astype(np.int64)
     return ptr, (np.concatenate(feats) if feats else np.zeros(0, np.int32))
@@ -70,26 +104,44 @@ def _sigmoid(z):
     return 1.0 / (1.0 + np.exp(-np.clip(z, -60, 60)))
 
 
-def screened(pi: np.ndarray, positives: int, ui: np.ndarray, others: int, min_docs: int = MIN_DOCS,
+def screened(in_positives: np.ndarray, positives: int, in_corpus: np.ndarray, documents: int, min_docs: int = MIN_DOCS,
              min_z: float = MIN_Z) -> np.ndarray:
-    """Buckets in at least ``min_docs`` sampled documents whose share of the
-    positives exceeds that of the unlabelled by ``min_z`` standard errors."""
-    a, b = np.bincount(pi, minlength=BUCKETS), np.bincount(ui, minlength=BUCKETS)
-    share = (a + b) / (positives + others)
-    error = np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / positives + 1 / others))
-    return np.flatnonzero((a + b >= min_docs) & (a / positives - b / others > min_z * error))
-
-
-def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, *, epochs: int = 40,
+    """Buckets in at least ``min_docs`` documents whose share of the positives
+    exceeds that of the corpus by ``min_z`` standard errors."""
+    both = in_positives + in_corpus
+    share = both / (positives + documents)
+    error = np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / positives + 1 / documents))
+    return np.flatnonzero((both >= min_docs) & (in_positives / positives - in_corpus / documents > min_z * error))
+
+
+def risk_gradient(positive: np.ndarray, unlabelled: np.ndarray, prior: float, beta: float = 0.0):
+    """``(negative part, d/d positive, d/d unlabelled)`` for a batch's scores.
+
+    The derivatives are those of the PU risk ``prior * E_p[l(g)] + negative
+    part`` under the logistic loss; where the negative part ``E_u[l(-g)] -
+    prior * E_p[l(-g)]`` is below ``-beta``, those of minus that part."""
+    sp, su = _sigmoid(positive), _sigmoid(unlabelled)
+    # l(g) = log(1 + exp(-g)): l'(g) = s - 1, and l(-g)' = s
+    negative = np.logaddexp(0, unlabelled).mean() - prior * np.logaddexp(0, positive).mean()
+    gp, gu = -prior * sp / len(sp), su / len(su)
+    if negative < -beta:
+        return negative, -gp, -gu
+    return negative, gp + prior * (sp - 1) / len(sp), gu
+
+
+def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, corpus: tuple[int, np.ndarray] | None = None, *,
+             epochs: int = 40,
              batches: int = 12, rate: float = 0.02, decay: float = 1e-3, beta: float = 0.0, averaged: int = 10, seed: int = 5):
     """Weights and bias of a linear classifier with minimal non-negative PU
     risk ``prior * E_p[l(g)] + max(0, E_u[l(-g)] - prior * E_p[l(-g)])`` under
     the logistic loss, by Adam over shuffled batches that hold the same
     fraction of both parts; the last ``averaged`` epochs' weights are averaged.
-    Buckets that ``screened`` leaves out have no weight."""
+    Buckets that ``screened`` leaves out have no weight; ``corpus`` is
+    ``document_frequencies`` of the corpus (else those of ``unlabelled``)."""
     pp, pi = _csr(positive)
     up, ui = _csr(unlabelled)
-    used = screened(pi, len(positive), ui, len(unlabelled))
+    documents, in_corpus = corpus or (len(unlabelled), np.bincount(ui, minlength=BUCKETS))
+    used = screened(np.bincount(pi, minlength=BUCKETS), len(positive), in_corpus, documents)
     column = np.full(BUCKETS, -1, np.int64)
     column[used] = np.arange(len(used))
     w, b = np.zeros(len(used)), np.log(prior / (1 - prior))
@@ -114,14 +166,7 @@ def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: fl
             if not len(a) or not len(c):
                 continue
             p, u = rows(pp, pi, a), rows(up, ui, c)
-            sp, su = _sigmoid(score(p)), _sigmoid(score(u))
-            # l(g) = log(1 + exp(-g)): l'(g) = s - 1, and l(-g)' = s
-            negative = -np.log1p(-su.clip(max=1 - 1e-12)).mean() + prior * np.log1p(-sp.clip(max=1 - 1e-12)).mean()
-            gp, gu = -prior * sp / len(a), su / len(c)
-            if negative < -beta:
-                gp, gu = -gp, -gu
-            else:
-                gp = gp + prior * (sp - 1) / len(a)
+            _, gp, gu = risk_gradient(score(p), score(u), prior, beta)
             grad = (np.bincount(p[0], weights=gp[p[1]], minlength=len(w))
                     + np.bincount(u[0], weights=gu[u[1]], minlength=len(w)) + decay * w)
             gb = gp.sum() + gu.sum()
@@ -147,9 +192,10 @@ def train(docs: DataFrame, labels: DataFrame, *, max_positive: int = MAX_POSITIV
     Positives are rows labelled toxic, unlabelled are all other rows (a row's
     label 0 is not used but for the prior). Both samples are bounded and
     drawn by id hash; only ids are shuffled, the texts of the drawn ids are
-    found by a broadcast of those ids. Rows that repeat an id count once, with
-    the least text. Without positives or unlabelled rows the model is
-    constant at the prior."""
+    found by a broadcast of those ids. In them, rows that repeat an id count
+    once, with the least text. Document frequencies are those of all usable
+    rows. Without positives or unlabelled rows the model is constant at the
+    prior."""
     known = (labels.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic"))
              .where(F.col("_id").isNotNull() & F.col("toxic").isNotNull())
              .groupBy("_id").agg(F.max("toxic").alias("toxic")))
@@ -178,7 +224,7 @@ def train(docs: DataFrame, labels: DataFrame, *, max_positive: int = MAX_POSITIV
     # the positives were taken out of the unlabelled part; put their share back
     add = max(1, round(len(unlabelled) * p / max(1, others)))
     unlabelled = unlabelled + positive[:min(add, len(positive))]
-    return fit_nnpu(positive, unlabelled, prior)
+    return fit_nnpu(positive, unlabelled, prior, document_frequencies(usable))
 
 
 def score(docs: DataFrame, model) -> DataFrame:
@@ -199,7 +245,7 @@ def score(docs: DataFrame, model) -> DataFrame:
                 for word in words(text) if text else ():
                     got = cache.get(word)
                     if got is None:
-                        if len(cache) >= 500_000:
+                        if len(cache) >= CACHE_WORDS:
                             cache.clear()
                         got = cache[word] = tuple(b for b in buckets(word) if b in weight)
                     found.update(got)

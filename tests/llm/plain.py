@@ -118,3 +118,21 @@ def kneser_ney(trusted, order):
 
 def fold(doc, modulus):
     return zlib.crc32(str(doc).encode()) % modulus if doc is not None else -1
+
+
+def permutation_table(names, size):
+    """Slot -> shard: whole preference lists, from which shards claim in turns."""
+    import xxhash
+
+    def lists(i):
+        offset = xxhash.xxh64_intdigest(f"offset:{names[i]}".encode()) % size
+        skip = xxhash.xxh64_intdigest(f"skip:{names[i]}".encode()) % (size - 1) + 1
+        return [(offset + j * skip) % size for j in range(size)]
+
+    wishes = {i: lists(i) for i in sorted(range(len(names)), key=lambda i: names[i])}
+    owner = {}
+    while len(owner) < size:
+        for i, wish in wishes.items():
+            if len(owner) < size:
+                owner[next(slot for slot in wish if slot not in owner)] = i
+    return [owner[slot] for slot in range(size)]

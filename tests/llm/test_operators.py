@@ -296,13 +296,63 @@ def test_toxicity(spark, none, labels):
     assert toxicity.score(none, empty).count() == 0
 
 
+def test_document_frequencies_cover_all_rows(spark, docs, rows, none):
+    n, counts = toxicity.document_frequencies(docs.repartition(5))
+    want = np.zeros(toxicity.BUCKETS, np.int64)
+    for _, text in rows:
+        want[toxicity.features(text or "")] += 1
+    assert n == len(rows) and (counts == want).all()
+    n, counts = toxicity.document_frequencies(none)
+    assert n == 0 and not counts.any()
+
+
+def test_words_are_chosen_by_the_whole_corpus(spark):
+    """The unlabelled sample holds a tenth of the documents; what is neutral in all of them has no weight."""
+    rows = [(i, "vileword plain" if i % 10 == 0 else "plain other") for i in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    marks = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(0, 800, 2)], "doc_id bigint, toxic int")
+    weights, _ = toxicity.train(docs, marks, max_unlabelled=60)
+    assert set(np.flatnonzero(weights)) == set(toxicity.buckets("vileword")) - set(toxicity.buckets("plain"))
+
+
+def test_risk_gradient_against_differences():
+    """Derivatives of the risk written out plainly, on both sides of the switch."""
+    def loss(g):
+        return math.log1p(math.exp(-g))
+
+    def parts(p, u, prior):
+        negative = sum(loss(-g) for g in u) / len(u) - prior * sum(loss(-g) for g in p) / len(p)
+        return prior * sum(loss(g) for g in p) / len(p) + negative, negative
+
+    rng = np.random.default_rng(1)
+    for shift, descends in ((2.0, True), (-4.0, False)):
+        p, u = rng.normal(2.0, 1, 6), rng.normal(shift, 1, 9)
+        negative, gp, gu = toxicity.risk_gradient(p, u, 0.4)
+        assert abs(negative - parts(p, u, 0.4)[1]) < 1e-9 and (negative >= 0) == descends
+        for part, grad in ((p, gp), (u, gu)):
+            for i in range(len(part)):
+                at = part[i]
+                value = []
+                for step in (1e-5, -1e-5):
+                    part[i] = at + step
+                    value.append(parts(p, u, 0.4)[0] if descends else -parts(p, u, 0.4)[1])
+                part[i] = at
+                assert abs((value[0] - value[1]) / 2e-5 - grad[i]) < 1e-6
+
+
 def test_negative_risk_is_not_descended():
-    """With no positives among the unlabelled beyond the prior the estimate of the negative part turns negative."""
+    """With no positives among the unlabelled beyond the prior the negative part's estimate turns negative; the fit
+    keeps it near zero, where plain descent would drive the unlabelled scores down without end."""
     rng = np.random.default_rng(0)
     pos = [np.array([1, 2, 3], dtype=np.int32)] * 20
     unl = [rng.integers(10, 40, 5).astype(np.int32) for _ in range(200)]
-    w, b = toxicity.fit_nnpu(pos, unl, 0.4, epochs=20)
-    assert np.isfinite(w).all() and np.isfinite(b)
+    held, plain_fit = (toxicity.fit_nnpu(pos, unl, 0.4, epochs=60, beta=beta) for beta in (0.0, 1e9))
+
+    def negative(model):
+        w, b = model
+        return toxicity.risk_gradient(np.array([b + w[f].sum() for f in pos]), np.array([b + w[f].sum() for f in unl]), 0.4)[0]
+
+    assert negative(held) > -0.2 > negative(plain_fit)
 
 
 @pytest.mark.parametrize("mean", [0.05, 0.9, 3.7, 25.0])
@@ -335,6 +385,7 @@ def test_sharding(docs, rows, none):
     less = sharding.lookup_table(names[:-1], 1009)
     moved = sum(a != b for a, b in zip(owner, less))
     assert moved < 0.35 * 1009  # a seventh has to move
+    assert owner == plain.permutation_table(names, 1009) and less == plain.permutation_table(names[:-1], 1009)
     out = sharding.place(docs, names, size=1009)
     assert out.count() == len(rows) and out.columns == [c for c in docs.columns if c != "slot"] + ["slot", "shard"]
     assert all(r["shard"] == names[owner[r["slot"]]] for r in out.collect())
