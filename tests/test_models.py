@@ -222,3 +222,35 @@ def test_epochs_in_one_task_match_plain_steps(spark):
     assert np.allclose(flat, params, atol=2e-4)
     got = {r["id"]: r["prediction"] for r in nn.score_mlp(sparse, flat, layers, keys=["id"], scale=scale).collect()}
     assert np.allclose([got[i] for i in range(100)], nn.forward(nn.unflatten(flat, layers), (x - lo) / rng_))
+
+
+def test_mlp_tasks_that_keep_their_blocks_give_the_weights_of_single_steps(spark, signal):
+    """120 steps between tasks; a job a step took far longer."""
+    import time
+
+    vec = signal.select("user_id", "business_id", "stars", array_to_vector(F.array(*ft.FEW_FEATURES)).alias("features"))
+    scale = ([1.0] + [0.0] * 30, [3.0] + [1.0] * 30)
+    how = dict(seed=5, block_rows=64, scale=scale, keys=["user_id", "business_id"])
+    steps = nn.fit_mlp(vec, nn.FEW_LAYERS, epochs=2, batches=3, tasks=0, **how)
+    for tasks in (1, 3):
+        kept = nn.fit_mlp(vec, nn.FEW_LAYERS, epochs=2, batches=3, tasks=tasks, validation=vec, **how)
+        assert np.array_equal(kept[0], steps[0])
+        assert np.allclose([h[:2] for h in kept[1]], [h[:2] for h in steps[1]], rtol=1e-12) and kept[1][1][2] > 0
+    started = time.time()
+    nn.fit_mlp(vec, nn.FEW_LAYERS, epochs=40, batches=3, tasks=3, **how)
+    assert time.time() - started < 30
+
+
+def test_mlp_block_gradient_matches_the_dense_one():
+    rng = np.random.default_rng(3)
+    n, layers = 50, [30, 7, 4, 1]
+    x = rng.normal(size=(n, 30)) * (rng.random((n, 30)) < np.linspace(0.02, 1, 30))
+    y, params = rng.normal(size=n), nn.init_params(layers, 2)
+    lo, size = rng.normal(size=30) * (np.arange(30) % 3 == 0), rng.random(30) + 0.5
+    at = np.flatnonzero(x.ravel())
+    block = (n, at.astype("<i4").tobytes(), x.ravel()[at].tobytes(), y.tobytes(), 30)
+    for scale, dense in ((None, x), ((lo, size), (x - lo) / size)):
+        held = nn.Held(*block, scale)
+        assert 0 < len(held.columns) < 30
+        grads, loss = nn._grad(params, dense, y)
+        assert np.allclose(held.gradient(params), np.append(nn.flatten(grads), loss), rtol=1e-4, atol=1e-6)
