@@ -89,3 +89,41 @@ def test_matrix_paths_agree_on_tables(spark):
     assert "Broadcast" in plan(bcast)
     rows = lambda df: sorted(tuple(r) for r in df.select(*cols).collect())
     assert rows(bcast) == rows(salted) == rows(plain)
+
+
+def test_few_hot_keys_are_found_without_a_shuffle_of_all_keys(spark):
+    fact = skewed_fact(spark)
+    hot = jn.rare_hot_keys(fact, ["business_id", "user_id"], hot_rows=100)
+    assert list(hot) == ["business_id"] and [tuple(r) for r in hot["business_id"].collect()] == [(7, 11)]
+    # buckets that several keys share, none of them hot
+    assert [tuple(r) for r in jn.rare_hot_keys(fact, ["business_id"], hot_rows=100, buckets=2)["business_id"].collect()] == [(7, 11)]
+    assert jn.rare_hot_keys(fact, ["user_id"], hot_rows=100, buckets=2)["user_id"].count() == 0
+
+
+def test_matrices_read_the_line_items_once(spark, monkeypatch):
+    """Training and validation ratings come from one written pass, and the
+    label lookup shuffles pairs, not features."""
+    import os
+
+    import pytest
+
+    from starcast.operators import features as ft
+    from starcast.plans import catalog as c
+    from starcast.sources import tables as tb
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("benchmark tables not present")
+    calls, raw = [], tb.raw_ratings
+    monkeypatch.setattr(tb, "raw_ratings", lambda *a: calls.append(1) or raw(*a))
+    looked_up = []
+    monkeypatch.setattr(ft, "labelled_features", lambda f, l, real=ft.labelled_features: looked_up.append(f.columns) or real(f, l))
+    train, valid = c.few_matrices(spark, sf)
+    out = c.q_labelled_features(spark, sf)
+    assert len(calls) == 2 and looked_up == [ft.PAIR_KEYS]
+    assert out.columns == [*ft.PAIR_KEYS, *ft.FEW_FEATURES, "stars"]
+    rows = lambda df: sorted(tuple(r) for r in df.select(*ft.PAIR_KEYS, "stars", *ft.FEW_FEATURES).collect())
+    assert rows(out) == rows(train)
+    want = lambda v: sorted(tuple(r) for r in ft.dedupe_last(tb.raw_split(spark, sf, validation=v)).collect())
+    got = lambda m: sorted(tuple(r) for r in m.select(*ft.PAIR_KEYS, "stars").collect())
+    assert got(train) == want(False) and got(valid) == want(True)
