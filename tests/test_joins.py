@@ -127,3 +127,24 @@ def test_matrices_read_the_line_items_once(spark, monkeypatch):
     want = lambda v: sorted(tuple(r) for r in ft.dedupe_last(tb.raw_split(spark, sf, validation=v)).collect())
     got = lambda m: sorted(tuple(r) for r in m.select(*ft.PAIR_KEYS, "stars").collect())
     assert got(train) == want(False) and got(valid) == want(True)
+
+
+def test_records_of_one_small_file_are_spread_over_tasks(spark):
+    import os
+
+    import pytest
+
+    from starcast.plans import catalog as c
+    from starcast.sources import tables as tb
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("benchmark tables not present")
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    assert tb.table(spark, sf, "part").rdd.getNumPartitions() < tasks
+    held = c.wide_long(spark, sf).select(F.spark_partition_id().alias("p"), "business_id").distinct().groupBy("p").count().collect()
+    assert len(held) > tasks / 2
+    many = spark.range(0, 1000, 1, tasks)
+    assert tb.spread(many, "id") is many
+    key = lambda r: tuple(str(v) for v in r)
+    assert sorted(map(key, tb.business(spark, sf, spread_rows=True).collect())) == sorted(map(key, tb.business(spark, sf).collect()))
