@@ -1,0 +1,87 @@
+"""What the fits hold, and how they sum it."""
+
+import numpy as np
+import pytest
+
+from starcast.operators import boosting as bo
+from tests.test_boosting import COLUMNS, frame, same, table
+
+KEYS = ["user_id", "business_id"]
+P = bo.Params(learning_rate=0.3, max_depth=4, reg_alpha=0.5, subsample=0.7, colsample_bytree=0.8)
+
+
+def test_a_dense_cell_takes_one_byte(spark):
+    x, y = table()
+    data = bo.prepare(frame(spark, x, y, 2), columns=COLUMNS, keys=KEYS)
+    blocks = [b.asDict() for b in data.blocks.collect()]
+    held = sum(len(v) for b in blocks for v in b.values() if isinstance(v, (bytes, bytearray)))
+    assert held == 400 * (4 + 8 + 8)  # bins, label, key
+
+
+def test_rows_of_a_gigabyte_stay_in_the_tasks(spark):
+    """27 million rows of 31 columns: neither a job a level nor memory a row."""
+    blocks = spark.createDataFrame([(456_181, 14_000_000, b"")] * 60, "n int, cells int, bins binary")
+    bins = bo.Bins([np.arange(50.0)] * 31, np.zeros(31, bool), np.ones(31, bool))
+    tasks, figures = bo.plan_tasks(spark, blocks, bins, bo.Params(max_depth=5, subsample=0.6, colsample_bytree=0.6))
+    assert tasks == spark.sparkContext.defaultParallelism and figures["in_file"]
+
+
+def test_rows_kept_in_a_file_give_equal_trees(spark, monkeypatch):
+    x, y = table()
+    data = bo.prepare(frame(spark, x, y, 4), columns=COLUMNS, keys=KEYS)
+    want = bo.grow(data, P, 3)
+    monkeypatch.setattr(bo, "FILE_BYTES", 0)
+    assert bo.plan_tasks(spark, data.blocks, data.bins, P)[1]["in_file"]
+    assert same(want, bo.grow(data, P, 3))
+    piece = bo.Shard([b.asDict() for b in data.blocks.collect()], data.bins, data.base, True).pieces[0]
+    assert all(isinstance(a, np.memmap) for a in (piece.dense, piece.y, piece.keys))
+
+
+@pytest.mark.parametrize("lone, codes, piece", [(1, 4096, 1 << 18), (1, 8, 100), (1 << 20, 4096, 130), (60, 4096, 1 << 18)])
+def test_every_way_to_add_up_gives_equal_trees(spark, monkeypatch, lone, codes, piece):
+    x, y = table(600, 5)
+    data = bo.prepare(frame(spark, x, y, 6), columns=COLUMNS, keys=KEYS)
+    want = bo.grow(data, P, 4)
+    monkeypatch.setattr(bo, "LONE_ROWS", lone)
+    monkeypatch.setattr(bo, "CODES", codes)
+    monkeypatch.setattr(bo, "PIECE_ROWS", piece)
+    shard = bo.Shard([b.asDict() for b in data.blocks.collect()], data.bins, data.base)
+    trees = [bo.grow_tree(shard, i, P, data.bins) for i in range(4)]
+    assert same(want, bo.Ensemble(data.base, trees, data.bins.zero))
+
+
+def test_sums_of_gradients_and_rows_at_once_are_exact():
+    rng = np.random.default_rng(2)
+    for size, largest in ((1000, 1 << 26), (1000, 1 << 40), (200_000, 1 << 10)):
+        g, cell = np.rint(rng.uniform(-largest, largest, size)), rng.integers(0, 7, size)
+        weights, bits = bo._weights(g)
+        sums = np.bincount(cell, weights).astype(np.int64)
+        assert bits or largest == 1 << 40
+        assert (sums >> bits).tolist() == [int(g[cell == k].sum()) for k in range(7)]
+        if bits:
+            assert (sums & ((1 << bits) - 1)).tolist() == np.bincount(cell).tolist()
+
+
+def test_summaries_are_exact_or_off_by_little():
+    rng = np.random.default_rng(3)
+    found = bo.Summaries(200)
+    few, many = rng.integers(0, 150, 5000).astype(float), rng.normal(size=60_000)
+    for lo in range(0, 60_000, 700):
+        found.add(1, many[lo:lo + 700])
+        if lo < 5000:
+            found.add(0, few[lo:lo + 700])
+    v, n = found.one(0)
+    assert dict(zip(v, n)) == dict(zip(*np.unique(few, return_counts=True)))
+    v, n = found.one(1)
+    assert n.sum() == 60_000 and v[-1] == many.max() and len(v) <= 1600
+    ranks = np.searchsorted(np.sort(many), v, "right")
+    assert np.abs(ranks - np.cumsum(n)).max() < 60_000 * 0.05
+
+
+def test_borders_are_quantiles_of_all_rows(spark):
+    x, y = table(3000, 9)
+    bins = bo.fit_bins(frame(spark, x, y, 5), COLUMNS)
+    for j in range(4):
+        own = np.sort(x[~np.isnan(x[:, j]), j])
+        q = np.unique(own[np.ceil(np.array([(k + 1) / 255 for k in range(254)]) * len(own)).astype(int) - 1])
+        assert bins.borders[j].tolist() == q[q < own[-1]].tolist()
