@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from starcast.operators import boosting as bo
+from starcast.operators import mlp as nn
 from tests.test_boosting import COLUMNS, frame, same, table
 
 KEYS = ["user_id", "business_id"]
@@ -85,3 +86,44 @@ def test_borders_are_quantiles_of_all_rows(spark):
         own = np.sort(x[~np.isnan(x[:, j]), j])
         q = np.unique(own[np.ceil(np.array([(k + 1) / 255 for k in range(254)]) * len(own)).astype(int) - 1])
         assert bins.borders[j].tolist() == q[q < own[-1]].tolist()
+
+
+def test_network_rows_beyond_memory_stay_in_the_tasks(spark, monkeypatch):
+    """No job a step, and the same weights, whatever the rows' size."""
+    rng = np.random.default_rng(4)
+    x = rng.uniform(0, 1, (900, 5)) * (rng.random((900, 5)) < [1, 1, 0.5, 0.1, 0.004])
+    rows = [(i, float(1 + 2 * a[0] + a[3]), ([j for j in range(5) if a[j]], [float(v) for v in a if v])) for i, a in enumerate(x)]
+    data = spark.createDataFrame(rows, "id int, stars double, features struct<slots:array<int>,values:array<double>>").repartition(3)
+    how = dict(epochs=2, batches=3, seed=2, scale=([0.0, 0.2, 0, 0, 0], [1.0] * 5), keys=["id"], block_rows=100)
+    want = nn.fit_mlp(data, [5, 6, 1], tasks=0, **how)
+    monkeypatch.setattr(nn, "TASK_BYTES", 1)
+    monkeypatch.setattr(nn, "TASK_CELLS", 500)
+    monkeypatch.setattr(nn, "_gradients", None)  # of the way by one job a step
+    files, whole = [], nn._epochs_between_tasks
+    monkeypatch.setattr(nn, "_epochs_between_tasks", lambda *a: files.append(a[-1]) or whole(*a))
+    got = nn.fit_mlp(data, [5, 6, 1], **how)
+    assert files == [True] and np.array_equal(got[0], want[0])
+
+
+def test_written_network_blocks_hold_single_precision(spark):
+    x = np.random.default_rng(5).uniform(0.1, 1, (300, 31))
+    data = spark.createDataFrame([(i, float(i % 5), r.tolist()) for i, r in enumerate(x)], "id int, stars double, features array<double>")
+    held, _ = nn.blocks(data, 31, features="features", label="stars", keys=["id"], batches=2, block_rows=64, seed=1, apart=False)
+    blocks = [r.asDict() for r in held[0][0].collect()]
+    size = sum(len(v) for b in blocks for v in b.values() if isinstance(v, (bytes, bytearray)))
+    assert size == 300 * (31 * 4 + 8) + len(blocks) * 31 * 4
+    assert sorted(np.concatenate([nn.Held.of(b, None).x for b in blocks])[:, 0].tolist()) == sorted(x[:, 0].astype(np.float32).tolist())
+
+
+@pytest.mark.parametrize("kind", [np.float32, np.float64])
+def test_products_add_every_cell(kind):
+    rng = np.random.default_rng(6)
+    key, other = np.sort(rng.integers(0, 40, 500)).astype(np.int32), rng.integers(0, 30, 500).astype(np.int32)
+    for value in (np.ones(500, kind), rng.normal(size=500).astype(kind)):
+        m, out = rng.normal(size=(30, 7)).astype(kind), np.zeros((40, 7), kind)
+        nn.Products(key, other, value).add(out, m)
+        want = np.zeros((40, 7))
+        np.add.at(want, key, value[:, None].astype(float) * m[other])
+        assert np.allclose(out, want, atol=1e-4 if kind == np.float32 else 1e-12)
+    none = np.zeros(0, np.int32)
+    nn.Products(none, none, none.astype(kind)).add(out, m)
