@@ -127,3 +127,25 @@ def test_products_add_every_cell(kind):
         assert np.allclose(out, want, atol=1e-4 if kind == np.float32 else 1e-12)
     none = np.zeros(0, np.int32)
     nn.Products(none, none, none.astype(kind)).add(out, m)
+
+
+def test_readers_take_few_large_rows_at_once(spark):
+    """A reader holds up to 4,096 rows of a row group."""
+    import glob
+    import os
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+
+    from starcast.operators.joins import write_table
+
+    def large(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([os.urandom(400_000) for _ in range(batch.num_rows)])], names=["id", "x"])
+
+    rows = spark.range(0, 120, 1, 1).mapInArrow(large, "id bigint, x binary")
+    path = write_table(rows, "large", True).inputFiles()[0].removeprefix("file:")
+    meta = pq.ParquetFile(glob.glob(path)[0]).metadata
+    assert max(meta.row_group(i).total_byte_size for i in range(meta.num_row_groups)) < 16 * 2 ** 20 and meta.num_rows == 120
+    assert write_table(rows, "large", True).agg(F.sum(F.octet_length("x"))).first()[0] == 120 * 400_000
